@@ -73,7 +73,8 @@ def positive_prices(df: DataFrame, columns: Sequence[str] = PRICES) -> DataFrame
 def quartiles(df: DataFrame, keys: Sequence[str], column: str, method: str = "exact", accuracy: int = ACCURACY) -> DataFrame:
     """(keys, q1, q3)."""
     find = {"exact": exact_quantiles, "approx": approx_quantiles}[method]
-    return find(df, keys, column, (0.25, 0.75), accuracy).withColumnsRenamed({"q0": "q1", "q1": "q3"})
+    found = find(df, keys, column, (0.25, 0.75), accuracy)
+    return found.select(*keys, F.col("q0").alias("q1"), F.col("q1").alias("q3"))
 
 
 def iqr_bounds(
@@ -161,7 +162,7 @@ def price_summary(df: DataFrame, keys: Sequence[str], ts: str = "ts") -> DataFra
     return df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_records"),
         F.min(ts).alias("start"),
-        F.max(ts).alias("end"),
+        F.max(ts).alias("finish"),
         *[f(c).alias(f"{c}_{name}") for c in PRICES for name, f in stats.items()],
     )
 
@@ -183,7 +184,7 @@ def quality_report(records: DataFrame, keys: Sequence[str], min_rows: int = 60,
     dates = F.when(~_missing(TIME_FIELD), F.col(TIME_FIELD))
     # Copies of a date are combined before the count, so a date that fills a
     # third of the table is one row per map task.
-    copies = read.groupBy(*keys, dates.alias("_d")).agg(F.count("_d").alias("_c"))
+    copies = read.withColumn("_d", dates).groupBy(*keys, "_d").agg(F.count("_d").alias("_c"))
     repeats = copies.groupBy(*keys).agg(F.sum(F.greatest(F.col("_c") - 1, F.lit(0))).alias("duplicate_dates"))
     counts = attach(read, moments, keys).groupBy(*keys).agg(
         F.greatest(F.lit(min_rows) - F.count(F.lit(1)), F.lit(0)).alias("insufficient_rows"),

@@ -19,7 +19,7 @@ from tidemark.operators.cleaning import (
     split_bad_records,
     zscore_outliers,
 )
-from tidemark.plans.catalog.registry import query, rounded, rounding
+from tidemark.plans.catalog.registry import query, rounded, rounded_sql
 from tidemark.plans.views import (
     ARRIVAL,
     PRICES_LINEITEM,
@@ -194,10 +194,13 @@ def _positive(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "iqr_bounds",
-    """SELECT series, round(q1, 6) AS q1, round(q3, 6) AS q3,
-              round(q1 - 1.5 * (q3 - q1), 6) AS lower, round(q3 + 1.5 * (q3 - q1), 6) AS upper
-       FROM (SELECT event_type AS series, quantile_cont(value, CAST(0.25 AS DOUBLE)) AS q1,
-                    quantile_cont(value, CAST(0.75 AS DOUBLE)) AS q3 FROM events GROUP BY event_type)""",
+    rounded_sql(
+        """SELECT series, q1, q3, q1 - 1.5 * (q3 - q1) AS lower, q3 + 1.5 * (q3 - q1) AS upper
+           FROM (SELECT event_type AS series, quantile_cont(value, CAST(0.25 AS DOUBLE)) AS q1,
+                        quantile_cont(value, CAST(0.75 AS DOUBLE)) AS q3 FROM events GROUP BY event_type)""",
+        {6: ["q1", "q3", "lower", "upper"]},
+        ["series", "q1", "q3", "lower", "upper"],
+    ),
 )
 def _iqr_bounds(spark: SparkSession, folder: str) -> DataFrame:
     values = table(spark, folder, "events").select(F.col("event_type").alias("series"), "value")
@@ -267,12 +270,16 @@ _STATS = [f"{c}_{s}" for c in ("selling_price", "buying_price") for s in ("mean"
 
 @query(
     "price_summary",
-    f"""SELECT series, count(*) AS total_records, min(ts) AS start, max(ts) AS "end",
-               min(selling_price) AS selling_price_min, max(selling_price) AS selling_price_max,
-               round(avg(selling_price), 4) AS selling_price_mean, round(stddev_pop(selling_price), 4) AS selling_price_std,
-               min(buying_price) AS buying_price_min, max(buying_price) AS buying_price_max,
-               round(avg(buying_price), 4) AS buying_price_mean, round(stddev_pop(buying_price), 4) AS buying_price_std
-        FROM ({TICKS_LINEITEM}) GROUP BY series""",
+    rounded_sql(
+        f"""SELECT series, count(*) AS total_records, min(ts) AS start, max(ts) AS finish,
+                   min(selling_price) AS selling_price_min, max(selling_price) AS selling_price_max,
+                   avg(selling_price) AS selling_price_mean, stddev_pop(selling_price) AS selling_price_std,
+                   min(buying_price) AS buying_price_min, max(buying_price) AS buying_price_max,
+                   avg(buying_price) AS buying_price_mean, stddev_pop(buying_price) AS buying_price_std
+            FROM ({TICKS_LINEITEM}) GROUP BY series""",
+        {4: _STATS},
+        ["series", "total_records", "start", "finish", *[f"{c}_{f}" for c in ("selling_price", "buying_price") for f in ("min", "max", "mean", "std")]],
+    ),
 )
 def _summary(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(price_summary(ticks_lineitem(spark, folder), KEY), {4: _STATS})

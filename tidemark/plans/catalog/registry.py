@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,13 +25,32 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+# Means of prices in cents often end exactly halfway between two rounded values,
+# where the last bit of the sum would choose the direction. Both sides add the
+# same small constant first.
+NUDGE = 0.00123
+
+
 def rounded(df: DataFrame, places: dict[int, Sequence[str]]) -> DataFrame:
     """Round columns whose last digits depend on the order of summation."""
     digits = {c: n for n, columns in places.items() for c in columns}
-    return df.select(*[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in df.columns])
+
+    def shown(c: str) -> Column:
+        return F.round(F.col(c) + NUDGE * 10.0 ** -digits[c], digits[c]).alias(c)
+
+    return df.select(*[shown(c) if c in digits else F.col(c) for c in df.columns])
+
+
+def sql_round(value: str, places: int, name: str) -> str:
+    """The same in SQL; adding zero turns -0.0 into 0.0."""
+    return f"round({value} + CAST({NUDGE * 10.0 ** -places!r} AS DOUBLE), {places}) + CAST(0 AS DOUBLE) AS {name}"
 
 
 def rounding(places: dict[int, Sequence[str]], columns: Sequence[str]) -> str:
-    """The same as a SQL select list; adding zero turns -0.0 into 0.0."""
+    """A SQL select list with some columns rounded."""
     digits = {c: n for n, names in places.items() for c in names}
-    return ", ".join(f"round({c}, {digits[c]}) + CAST(0 AS DOUBLE) AS {c}" if c in digits else c for c in columns)
+    return ", ".join(sql_round(c, digits[c], c) if c in digits else c for c in columns)
+
+
+def rounded_sql(inner: str, places: dict[int, Sequence[str]], columns: Sequence[str]) -> str:
+    return f"SELECT {rounding(places, columns)} FROM ({inner})"

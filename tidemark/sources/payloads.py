@@ -29,6 +29,12 @@ def parse_payloads(df: DataFrame, column: str = "value") -> DataFrame:
     return df.select(*others, F.from_json(column, PAYLOAD).alias("_p")).select(*others, "_p.*")
 
 
+def _first_records_own(records: Column, name: str) -> Column:
+    return F.forall(
+        F.slice(records, 1, CHECKED_RECORDS), lambda r: F.coalesce(F.map_contains_key(r, name), F.lit(False))
+    )
+
+
 def validate_payload(df: DataFrame) -> DataFrame:
     """Add `is_valid` and `reject_reason`.
 
@@ -36,17 +42,13 @@ def validate_payload(df: DataFrame) -> DataFrame:
     the first records. A field that is present with a null value passes.
     """
     records = F.col("data.priceList")
-    owns_all = [
-        F.forall(F.slice(records, 1, CHECKED_RECORDS), lambda r, f=f: F.coalesce(F.map_contains_key(r, f), F.lit(False)))
-        for f in REQUIRED_FIELDS
-    ]
     reason = (
         F.when(~F.col("responseCode").eqNullSafe(SUCCESS_CODE), "response_code")
         .when(records.isNull(), "missing_price_list")
         .when(F.size(records) == 0, "empty_price_list")
     )
-    for name, owned in zip(REQUIRED_FIELDS, owns_all):
-        reason = reason.when(~owned, f"missing_{name}")
+    for name in REQUIRED_FIELDS:
+        reason = reason.when(~_first_records_own(records, name), f"missing_{name}")
     return df.withColumn("reject_reason", reason).withColumn("is_valid", F.col("reject_reason").isNull())
 
 
