@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.rolling import rolling_mean
-from tidemark.operators.blocks import BLOCK_ROWS, in_blocks
+from tidemark.operators.blocks import BLOCK_ROWS, Blocks, in_blocks
 from tidemark.operators.features import series_window
 
 
@@ -42,19 +42,19 @@ def merge_metrics(tables: Sequence[DataFrame], group: Sequence[str]) -> DataFram
 
 def naive_forecast(
     df: DataFrame, keys: Sequence[str], ts: str = "ts", column: str = "selling_price",
-    block_rows: int | None = BLOCK_ROWS,
+    blocks: Blocks = BLOCK_ROWS,
 ) -> DataFrame:
     """(model='naive', keys, ts, y_true, y_pred): the previous value as prediction."""
 
     def run(part: DataFrame, by: list[str]) -> DataFrame:
         return part.withColumn("y_pred", F.lag(column, 1).over(series_window(by, ts)))
 
-    return _predictions(in_blocks(df, run, keys, ts, 1, block_rows), "naive", keys, ts, column)
+    return _predictions(in_blocks(df, run, keys, ts, 1, blocks), "naive", keys, ts, column)
 
 
 def trailing_mean_forecast(
     df: DataFrame, keys: Sequence[str], ts: str = "ts", column: str = "selling_price", n: int = 10,
-    block_rows: int | None = BLOCK_ROWS,
+    blocks: Blocks = BLOCK_ROWS,
 ) -> DataFrame:
     """(model='ma<n>', ...): the mean of the n rows before as prediction."""
 
@@ -63,7 +63,7 @@ def trailing_mean_forecast(
         part = part.withColumn("_mean", rolling_mean(F.col(column), w, n))
         return part.withColumn("y_pred", F.lag("_mean", 1).over(w)).drop("_mean")
 
-    return _predictions(in_blocks(df, run, keys, ts, n + 1, block_rows), f"ma{n}", keys, ts, column)
+    return _predictions(in_blocks(df, run, keys, ts, n + 1, blocks), f"ma{n}", keys, ts, column)
 
 
 def _predictions(df: DataFrame, model: str, keys: Sequence[str], ts: str, column: str) -> DataFrame:

@@ -20,18 +20,19 @@ Steps 1 to 3 run when the plan is built: their small tables are stored, so that
 lookups are broadcast if they measure small and shuffled by (key, cell), which is
 even, if not. `df` is read in steps 1, 2 and 4, so pass a table or a plan that is
 cheap to repeat (`tidemark.session.stored` writes one); steps 1 and 2 read only
-the key and order columns.
+the key and order columns. `plan_blocks` runs them once for several operators.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.numeric import attach
+from tidemark.session import stored
 
 BLOCK_ROWS = 250_000
 CELLS_PER_BLOCK = 16
@@ -53,7 +54,22 @@ def _position(df: DataFrame, order: str) -> Column:
     return F.col(order)
 
 
-def _with_cell(df: DataFrame, keys: list[str], order: str, block_rows: int) -> DataFrame:
+@dataclass(frozen=True)
+class Layout:
+    """Where the blocks of a table lie; made by `plan_blocks`, valid while its rows do not change."""
+
+    keys: tuple[str, ...]
+    order: str
+    halo: int
+    spans: DataFrame
+    cells: DataFrame
+
+
+Blocks = int | None | Layout
+
+
+def _spans(df: DataFrame, keys: list[str], order: str, block_rows: int) -> DataFrame:
+    """(key, lowest position, width, number of cells)."""
     pos = _position(df, order)
     span = df.groupBy(*keys).agg(
         F.min(pos).alias("_lo"), F.max(pos).alias("_hi"), F.count(F.lit(1)).alias("_n")
@@ -61,75 +77,97 @@ def _with_cell(df: DataFrame, keys: list[str], order: str, block_rows: int) -> D
     cells = F.when(F.col("_n") <= block_rows, 1).otherwise(
         F.ceil(F.col("_n") * CELLS_PER_BLOCK / block_rows)
     )
-    span = span.select(*keys, "_lo", (F.col("_hi") - F.col("_lo")).cast("double").alias("_width"), cells.alias("_cells"))
-    share = F.coalesce(F.try_divide((pos - F.col("_lo")).cast("double"), F.col("_width")), F.lit(0.0))
+    return span.select(*keys, "_lo", (F.col("_hi") - F.col("_lo")).cast("double").alias("_width"), cells.alias("_cells"))
+
+
+def _with_cell(df: DataFrame, keys: list[str], order: str, spans: DataFrame) -> DataFrame:
+    share = F.coalesce(
+        F.try_divide((_position(df, order) - F.col("_lo")).cast("double"), F.col("_width")), F.lit(0.0)
+    )
     cell = F.least(F.floor(share * F.col("_cells")), F.col("_cells") - 1)
-    return attach(df, span, keys).select(*df.columns, cell.alias("_cell"))
+    return df.join(spans, keys).select(*df.columns, cell.alias("_cell"))
 
 
-def _cell_map(celled: DataFrame, keys: list[str], halo: int, block_rows: int) -> DataFrame:
+def _cells(celled: DataFrame, keys: list[str], halo: int, block_rows: int) -> DataFrame:
     """(key, cell) -> own block, its first row number, later blocks that need the cell."""
     by_cell = Window.partitionBy(*keys).orderBy("_cell")
     counts = celled.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_rows"))
     first_row = F.coalesce(F.sum("_rows").over(by_cell.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    numbered = counts.withColumn("_first", first_row).withColumn(BLOCK, F.floor(F.col("_first") / block_rows))
-    opens = F.coalesce(F.lag(BLOCK).over(by_cell) != F.col(BLOCK), F.lit(True))
+    numbered = counts.withColumn("_first", first_row).withColumn("_own", F.floor(F.col("_first") / block_rows))
+    opens = F.coalesce(F.lag("_own").over(by_cell) != F.col("_own"), F.lit(True))
     opened = numbered.withColumn("_opens", opens)
     opened = opened.withColumn(START, F.max(F.when(F.col("_opens"), F.col("_first"))).over(by_cell))
-    if not halo:
-        return opened.select(*keys, "_cell", BLOCK, START, F.array(F.col(BLOCK)).alias("_targets"))
     # Every cell has at least one row, so a block whose halo reaches this cell
     # opens within the next `halo` cells.
-    ahead = F.collect_list(F.when(F.col("_opens"), F.struct(F.col("_first").alias("first"), F.col(BLOCK).alias("block"))))
-    ahead = ahead.over(by_cell.rowsBetween(1, halo))
-    reach = F.col("_first") + F.col("_rows") - 1 + halo
-    later = F.transform(F.filter(ahead, lambda b: b["first"] <= reach), lambda b: b["block"])
-    return opened.select(*keys, "_cell", BLOCK, START, F.concat(F.array(F.col(BLOCK)), later).alias("_targets"))
+    opening = F.struct(F.col("_first").alias("first"), F.col("_own").alias("block"))
+    ahead = F.collect_list(F.when(F.col("_opens"), opening)).over(by_cell.rowsBetween(1, max(halo, 1)))
+    last_row = F.col("_first") + F.col("_rows") - 1
+    later = F.transform(
+        F.filter(ahead, lambda b: b["first"] <= last_row + halo),
+        lambda b: F.struct((b["first"] - last_row).alias("distance"), b["block"].alias("block")),
+    )
+    return opened.select(*keys, "_cell", "_own", START, later.alias("_later"))
+
+
+def plan_blocks(
+    df: DataFrame, keys: Sequence[str], order: str, halo: int = 0, block_rows: int = BLOCK_ROWS
+) -> Layout:
+    """Find the blocks once, for several operators over the same rows.
+
+    `halo` is the longest look-back any of them needs.
+    """
+    keys = list(keys)
+    if not keys:
+        raise ValueError("name at least one key column; a single series needs a constant one")
+    spans = stored(_spans(df, keys, order, block_rows), "spans")
+    cells = stored(_cells(_with_cell(df, keys, order, spans), keys, halo, block_rows), "cells")
+    return Layout(tuple(keys), order, halo, spans, cells)
 
 
 def assign_blocks(
-    df: DataFrame, keys: Sequence[str], order: str, halo: int = 0, block_rows: int | None = BLOCK_ROWS
+    df: DataFrame, keys: Sequence[str], order: str, halo: int = 0, blocks: Blocks = BLOCK_ROWS
 ) -> DataFrame:
     """Add `_block`, `_halo` and `_block_start` (row number of the block's first own row).
 
     Rows needed by later blocks appear once more per such block with `_halo` true.
-    `block_rows=None` makes one block of each series, for series whose length has
-    a known small bound, such as one row per calendar day.
+    `blocks` is the number of rows per block, a layout made before, or None for one
+    block per series: only for series whose length has a known small bound, such
+    as one row per calendar day.
     """
     keys = list(keys)
-    if block_rows is None:
+    if blocks is None:
         return df.withColumns({BLOCK: F.lit(0).cast("long"), HALO: F.lit(False), START: F.lit(0).cast("long")})
-    if not keys:
-        raise ValueError("name at least one key column; a single series needs a constant one")
-    celled = _with_cell(df, keys, order, block_rows)
-    cells = _cell_map(celled, keys, halo, block_rows).withColumnRenamed(BLOCK, "_own")
-    placed = attach(celled, cells, [*keys, "_cell"]).select("*", F.explode("_targets").alias(BLOCK))
-    return placed.select(
-        *df.columns, BLOCK, (F.col(BLOCK) != F.col("_own")).alias(HALO),
-        F.when(F.col(BLOCK) == F.col("_own"), F.col(START)).alias(START),
-    )
+    layout = blocks if isinstance(blocks, Layout) else plan_blocks(df, keys, order, halo, blocks)
+    if (list(layout.keys), layout.order) != (keys, order) or layout.halo < halo:
+        raise ValueError(f"the layout is for {layout.keys}, {layout.order}, {layout.halo} rows back")
+    placed = _with_cell(df, keys, order, layout.spans).join(layout.cells, [*keys, "_cell"])
+    near = F.filter("_later", lambda b: b["distance"] <= halo)
+    targets = F.concat(F.array(F.col("_own")), F.transform(near, lambda b: b["block"]))
+    spread = placed.select("*", F.explode(targets).alias(BLOCK))
+    own = F.col(BLOCK) == F.col("_own")
+    return spread.select(*df.columns, BLOCK, (~own).alias(HALO), F.when(own, F.col(START)).alias(START))
 
 
 def in_blocks(
-    df: DataFrame, operator: Operator, keys: Sequence[str], order: str, halo: int, block_rows: int | None = BLOCK_ROWS
+    df: DataFrame, operator: Operator, keys: Sequence[str], order: str, halo: int, blocks: Blocks = BLOCK_ROWS
 ) -> DataFrame:
     """Run `operator(df, keys)`, which looks back at most `halo` rows, block by block.
 
     The result equals `operator(df, keys)` on whole series.
     """
     keys = list(keys)
-    if block_rows is None:
+    if blocks is None:
         return operator(df, keys)
-    blocked = assign_blocks(df, keys, order, halo, block_rows).drop(START)
+    blocked = assign_blocks(df, keys, order, halo, blocks).drop(START)
     return operator(blocked, [*keys, BLOCK]).filter(~F.col(HALO)).drop(BLOCK, HALO)
 
 
 def row_numbers(
-    df: DataFrame, keys: Sequence[str], order: str, name: str = "row_no", block_rows: int | None = BLOCK_ROWS
+    df: DataFrame, keys: Sequence[str], order: str, name: str = "row_no", blocks: Blocks = BLOCK_ROWS
 ) -> DataFrame:
     """0-based position of each row in its series."""
     w = Window.partitionBy(*keys, BLOCK).orderBy(order)
-    blocked = assign_blocks(df, keys, order, 0, block_rows)
+    blocked = assign_blocks(df, keys, order, 0, blocks)
     return blocked.withColumn(name, F.col(START) + F.row_number().over(w) - 1).drop(BLOCK, HALO, START)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import attach, null_if_nan
-from tidemark.operators.blocks import BLOCK, BLOCK_ROWS, HALO, START, assign_blocks, earlier_blocks
+from tidemark.operators.blocks import BLOCK, BLOCK_ROWS, HALO, START, Blocks, assign_blocks, earlier_blocks
 from tidemark.operators.quantiles import ACCURACY, approx_quantiles, exact_quantiles
 from tidemark.schemas import BUY_FIELD, SELL_FIELD, TIME_FIELD
 
@@ -119,7 +119,7 @@ def fill_missing(
     ts: str,
     columns: Sequence[str],
     how: str = "ffill_bfill",
-    block_rows: int | None = BLOCK_ROWS,
+    blocks: Blocks = BLOCK_ROWS,
 ) -> DataFrame:
     """Fill gaps forward, then backward, then drop rows that still have one.
 
@@ -130,10 +130,10 @@ def fill_missing(
     if how == "drop":
         return df.dropna(subset=columns)
     keys = list(keys)
-    blocked = assign_blocks(df, keys, ts, 0, block_rows).drop(HALO, START)
+    blocked = assign_blocks(df, keys, ts, 0, blocks).drop(HALO, START)
     so_far = Window.partitionBy(*keys, BLOCK).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
     forward = {c: F.coalesce(F.col(c), F.last(c, ignorenulls=True).over(so_far)) for c in columns}
-    if block_rows is None:
+    if blocks is None:
         whole = so_far.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         filled = {c: F.coalesce(forward[c], F.first(c, ignorenulls=True).over(whole)) for c in columns}
         return blocked.withColumns(filled).drop(BLOCK).dropna(subset=columns)

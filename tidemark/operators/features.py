@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import ratio
 from tidemark.functions.rolling import diff, pct_change, rolling_mean, rolling_std
-from tidemark.operators.blocks import BLOCK_ROWS, in_blocks
+from tidemark.operators.blocks import BLOCK_ROWS, Blocks, in_blocks
 from tidemark.schemas import FEATURES
 
 LAGS = (1, 3, 7)
+INDICATOR_HALO = 20
 
 
 def series_window(keys: Sequence[str], ts: str = "ts") -> WindowSpec:
@@ -26,7 +27,7 @@ def lags(column: str, w: WindowSpec, steps: Sequence[int], prefix: str) -> dict[
 
 def moving_averages(
     df: DataFrame, keys: Sequence[str], ts: str, column: str, periods: Sequence[int] = (10, 20, 50),
-    block_rows: int | None = BLOCK_ROWS,
+    blocks: Blocks = BLOCK_ROWS,
 ) -> DataFrame:
     """`sma_<n>` for each period."""
 
@@ -34,12 +35,12 @@ def moving_averages(
         w = series_window(by, ts)
         return part.withColumns({f"sma_{n}": rolling_mean(F.col(column), w, n) for n in periods})
 
-    return in_blocks(df, run, keys, ts, max(periods), block_rows)
+    return in_blocks(df, run, keys, ts, max(periods), blocks)
 
 
 def price_changes(
     df: DataFrame, keys: Sequence[str], ts: str, column: str, steps: Sequence[int] = (1, 5, 10, 20),
-    block_rows: int | None = BLOCK_ROWS,
+    blocks: Blocks = BLOCK_ROWS,
 ) -> DataFrame:
     """`change_<k>` = relative change over k rows."""
 
@@ -47,17 +48,17 @@ def price_changes(
         w = series_window(by, ts)
         return part.withColumns({f"change_{k}": pct_change(F.col(column), w, k) for k in steps})
 
-    return in_blocks(df, run, keys, ts, max(steps), block_rows)
+    return in_blocks(df, run, keys, ts, max(steps), blocks)
 
 
 def lag_features(
     df: DataFrame, keys: Sequence[str], ts: str, column: str, steps: Sequence[int] = (1, 2, 3, 5, 10),
-    prefix: str | None = None, block_rows: int | None = BLOCK_ROWS,
+    prefix: str | None = None, blocks: Blocks = BLOCK_ROWS,
 ) -> DataFrame:
     def run(part: DataFrame, by: list[str]) -> DataFrame:
         return part.withColumns(lags(column, series_window(by, ts), steps, prefix or column))
 
-    return in_blocks(df, run, keys, ts, max(steps), block_rows)
+    return in_blocks(df, run, keys, ts, max(steps), blocks)
 
 
 def _band_columns(mean: Column, std: Column, price: Column, k: float) -> dict[str, Column]:
@@ -67,7 +68,7 @@ def _band_columns(mean: Column, std: Column, price: Column, k: float) -> dict[st
 
 def bollinger(
     df: DataFrame, keys: Sequence[str], ts: str, column: str, n: int = 20, k: float = 2.0,
-    block_rows: int | None = BLOCK_ROWS,
+    blocks: Blocks = BLOCK_ROWS,
 ) -> DataFrame:
     """`bb_upper`, `bb_lower`, `bb_position`; the position is NULL on a flat window."""
 
@@ -77,7 +78,7 @@ def bollinger(
         part = part.withColumns({"_mean": rolling_mean(price, w, n), "_std": rolling_std(price, w, n)})
         return part.withColumns(_band_columns(F.col("_mean"), F.col("_std"), price, k)).drop("_mean", "_std")
 
-    return in_blocks(df, run, keys, ts, n, block_rows)
+    return in_blocks(df, run, keys, ts, n, blocks)
 
 
 def _up_down(column: str, w: WindowSpec) -> dict[str, Column]:
@@ -94,7 +95,7 @@ def _rsi(w: WindowSpec, n: int) -> Column:
 
 
 def rsi_sma(
-    df: DataFrame, keys: Sequence[str], ts: str, column: str, n: int = 14, block_rows: int | None = BLOCK_ROWS
+    df: DataFrame, keys: Sequence[str], ts: str, column: str, n: int = 14, blocks: Blocks = BLOCK_ROWS
 ) -> DataFrame:
     """`rsi` from simple n-row means of gains and losses; NULL while both are zero."""
 
@@ -102,7 +103,7 @@ def rsi_sma(
         w = series_window(by, ts)
         return part.withColumns(_up_down(column, w)).withColumn("rsi", _rsi(w, n)).drop("_up", "_down")
 
-    return in_blocks(df, run, keys, ts, n, block_rows)
+    return in_blocks(df, run, keys, ts, n, blocks)
 
 
 def calendar_columns(ts: str = "ts") -> dict[str, Column]:
@@ -127,7 +128,7 @@ def add_indicators(
     bands: int = 20,
     width: float = 2.0,
     rsi: int = 14,
-    block_rows: int | None = BLOCK_ROWS,
+    blocks: Blocks = BLOCK_ROWS,
 ) -> DataFrame:
     """Price table -> (other columns, ts, the 24 features in their fixed order).
 
@@ -165,7 +166,7 @@ def add_indicators(
         return part.withColumns(second).select(*others, ts, *FEATURES, *[c for c in ("_block", "_halo") if c in part.columns])
 
     others = [c for c in df.columns if c != ts and c not in FEATURES]
-    return in_blocks(df, run, keys, ts, max(2 * short, volatility, roc, bands, rsi, *LAGS), block_rows)
+    return in_blocks(df, run, keys, ts, max(2 * short, volatility, roc, bands, rsi, *LAGS), blocks)
 
 
 def _ema_chunk(alpha: float) -> int:
@@ -199,7 +200,7 @@ def _ema(part: DataFrame, by: Sequence[str], ts: str, column: str, n: int, name:
 
 def ema(
     df: DataFrame, keys: Sequence[str], ts: str, column: str, periods: Sequence[int] = (12, 26),
-    block_rows: int | None = BLOCK_ROWS,
+    blocks: Blocks = BLOCK_ROWS,
 ) -> DataFrame:
     """`ema_<n>` for each period."""
 
@@ -209,12 +210,12 @@ def ema(
         return part
 
     halo = max(_ema_chunk(2.0 / (n + 1)) for n in periods)
-    return in_blocks(df, run, keys, ts, halo, block_rows)
+    return in_blocks(df, run, keys, ts, halo, blocks)
 
 
 def macd(
     df: DataFrame, keys: Sequence[str], ts: str, column: str, fast: int = 12, slow: int = 26, signal: int = 9,
-    block_rows: int | None = BLOCK_ROWS,
+    blocks: Blocks = BLOCK_ROWS,
 ) -> DataFrame:
     """`macd`, `macd_signal`, `macd_histogram`."""
 
@@ -226,7 +227,7 @@ def macd(
         return part.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
 
     halo = sum(_ema_chunk(2.0 / (n + 1)) for n in (max(fast, slow), signal))
-    return in_blocks(df, run, keys, ts, halo, block_rows)
+    return in_blocks(df, run, keys, ts, halo, blocks)
 
 
 def with_lookback(df: DataFrame, ts: str, since: str, lookback_days: int) -> DataFrame:

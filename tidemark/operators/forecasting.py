@@ -6,33 +6,34 @@ and the fit is a linear regression, solved by MLlib from a distributed Gramian.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.blocks import BLOCK, HALO, START, assign_blocks
+from tidemark.functions import recurrent
+from tidemark.functions.recurrent import BATCH, EncoderSpec, encode_driven, encode_windows, layer_weights
+from tidemark.operators.blocks import BLOCK, HALO, START, Blocks, assign_blocks
 from tidemark.operators.metrics import regression_metrics
 from tidemark.operators.scaling import inverse_price
 from tidemark.schemas import FEATURES
+from tidemark.session import stored
 
 ENCODE_BLOCK_ROWS = 20_000
-BATCH = 512
 
-
-@dataclass(frozen=True)
-class EncoderSpec:
-    hidden: int = 64
-    layers: int = 2
-    seed: int = 42
+# The functions that run in Python workers travel with the job, so executors need
+# NumPy and pandas but not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(recurrent)
 
 
 @dataclass
@@ -48,57 +49,6 @@ class Forecaster:
     fitted_at: str = field(default_factory=lambda: datetime.now(timezone.utc).isoformat())
 
 
-@lru_cache(maxsize=8)
-def _weights(spec: EncoderSpec, n_features: int) -> tuple[tuple[np.ndarray, np.ndarray], ...]:
-    """Per layer: (input weights, recurrent weights), gates side by side: forget, input, candidate, output."""
-    rng = np.random.default_rng(spec.seed)
-    layers, width = [], n_features
-    for _ in range(spec.layers):
-        scale = np.sqrt(2.0 / (width + spec.hidden))
-        w = rng.normal(0.0, scale, (width + spec.hidden, 4 * spec.hidden))
-        layers.append((w[:width], w[width:]))
-        width = spec.hidden
-    return tuple(layers)
-
-
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1.0 / (1.0 + np.exp(-np.clip(x, -500.0, 500.0)))
-
-
-def _run_layer(drive: np.ndarray, recurrent: np.ndarray, keep_all: bool) -> np.ndarray:
-    """`drive` is (steps, batch, 4*hidden): the input part of all gates. Returns hidden states."""
-    steps, batch, width = drive.shape
-    n = width // 4
-    h, c = np.zeros((batch, n)), np.zeros((batch, n))
-    kept = np.empty((steps, batch, n)) if keep_all else None
-    for t in range(steps):
-        z = drive[t] + h @ recurrent
-        gates = _sigmoid(z[:, : 2 * n])
-        c = gates[:, :n] * c + gates[:, n:] * np.tanh(z[:, 2 * n : 3 * n])
-        h = _sigmoid(z[:, 3 * n :]) * np.tanh(c)
-        if keep_all:
-            kept[t] = h
-    return kept if keep_all else h
-
-
-def _encode_driven(drive: np.ndarray, layers: tuple[tuple[np.ndarray, np.ndarray], ...]) -> np.ndarray:
-    """Last hidden state of the top layer from the first layer's input part."""
-    for i, (_, recurrent) in enumerate(layers):
-        top = i == len(layers) - 1
-        out = _run_layer(drive, recurrent, keep_all=not top)
-        if not top:
-            drive = out @ layers[i + 1][0]
-    return out
-
-
-def encode_windows(x: np.ndarray, spec: EncoderSpec) -> np.ndarray:
-    """(batch, length, features) -> (batch, hidden)."""
-    layers = _weights(spec, x.shape[2])
-    return np.concatenate(
-        [_encode_driven(x[i : i + BATCH].transpose(1, 0, 2) @ layers[0][0], layers) for i in range(0, len(x), BATCH)]
-    )
-
-
 def encode_sequences(df: DataFrame, spec: EncoderSpec, n_features: int = len(FEATURES)) -> DataFrame:
     """Replace the flat sequence `x` by its encoding `h`."""
     others = [c for c in df.columns if c != "x"]
@@ -125,7 +75,7 @@ def encode_series(
     features: Sequence[str] = FEATURES,
     target: str = "selling_price",
     length: int = 60,
-    block_rows: int | None = ENCODE_BLOCK_ROWS,
+    blocks: Blocks = ENCODE_BLOCK_ROWS,
 ) -> DataFrame:
     """(keys, target_ts, y, h) straight from the scaled feature table.
 
@@ -138,7 +88,7 @@ def encode_series(
         *keys, F.col(ts).alias("target_ts"), F.col(target).cast("double").alias("y"),
         F.array(*[F.col(c).cast("double") for c in features]).alias("row"),
     )
-    blocked = assign_blocks(rows, keys, "target_ts", length, block_rows).drop(START)
+    blocked = assign_blocks(rows, keys, "target_ts", length, blocks).drop(START)
     schema = T.StructType(
         [rows.schema[c] for c in (*keys, "target_ts", "y")] + [T.StructField("h", T.ArrayType(T.DoubleType()))]
     )
@@ -152,13 +102,13 @@ def encode_series(
         if not len(at):
             out["h"] = []
             return out
-        layers = _weights(spec, len(features))
+        layers = layer_weights(spec, len(features))
         drive = np.stack(block["row"].to_numpy()) @ layers[0][0]
         encoded = []
         for i in range(0, len(at), BATCH):
             # Row numbers of each window, oldest first: (length, batch).
             window = at[i : i + BATCH][None, :] - length + np.arange(length)[:, None]
-            encoded.append(_encode_driven(drive[window], layers))
+            encoded.append(encode_driven(drive[window], layers))
         out["h"] = list(np.concatenate(encoded))
         return out
 
@@ -228,7 +178,7 @@ class Trial:
 
 def sweep(
     scaled: DataFrame, keys: Sequence[str], trials: Sequence[Trial], scaler: DataFrame | None = None,
-    features: Sequence[str] = FEATURES, length: int = 60, block_rows: int | None = ENCODE_BLOCK_ROWS,
+    features: Sequence[str] = FEATURES, length: int = 60, blocks: Blocks = ENCODE_BLOCK_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """(leaderboard, history) over encoder and penalty settings.
 
@@ -238,11 +188,12 @@ def sweep(
     boards, runs = [], []
     splits = scaled.select(*keys, F.col("ts").alias("target_ts"), "split")
     for step, trial in enumerate(trials, 1):
-        encoded = encode_series(scaled, keys, "ts", trial.spec, features, "selling_price", length, block_rows)
-        encoded = encoded.join(splits, [*keys, "target_ts"])
+        encoded = encode_series(scaled, keys, "ts", trial.spec, features, "selling_price", length, blocks)
+        # The fit and both scorings read the encodings; encode once.
+        encoded = stored(encoded.join(splits, [*keys, "target_ts"]), "encoded")
         fitted = fit_forecaster(encoded.filter(F.col("split") == "train"), trial.spec, scaler, trial.reg, features, length, trial.name)
         scored = predict(encoded.filter(F.col("split") == "val"), fitted, keys)
-        metrics = regression_metrics(scored, ("model",), "ts", None) if not keys else regression_metrics(scored, ("model", *keys), "ts", block_rows)
+        metrics = regression_metrics(scored, ("model",), "ts", None) if not keys else regression_metrics(scored, ("model", *keys), "ts", blocks)
         boards.append(metrics)
         residual = F.col("y") - F.col("prediction")
         losses = fitted.readout.transform(encoded.withColumn("features", array_to_vector("h")))

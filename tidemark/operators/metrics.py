@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import correlation, inf, ratio
-from tidemark.operators.blocks import BLOCK, BLOCK_ROWS, HALO, START, assign_blocks, earlier_blocks
+from tidemark.operators.blocks import BLOCK, BLOCK_ROWS, HALO, START, Blocks, assign_blocks, earlier_blocks
 from tidemark.schemas import DIAGNOSTIC_METRICS, REGRESSION_METRICS, TRADING_METRICS
 
 GROUP = ("model", "series")
@@ -27,10 +27,10 @@ def _error() -> Column:
     return F.col("y_true") - F.col("y_pred")
 
 
-def _previous(df: DataFrame, group: Sequence[str], ts: str, block_rows: int | None) -> DataFrame:
+def _previous(df: DataFrame, group: Sequence[str], ts: str, blocks: Blocks) -> DataFrame:
     """Rows with the previous truth and prediction of their group, tagged with their block."""
     by = [*group, BLOCK]
-    blocked = assign_blocks(df.select(*group, ts, "y_true", "y_pred"), group, ts, 1, block_rows)
+    blocked = assign_blocks(df.select(*group, ts, "y_true", "y_pred"), group, ts, 1, blocks)
     w = Window.partitionBy(*by).orderBy(ts)
     seen = blocked.withColumns({"_y1": F.lag("y_true").over(w), "_p1": F.lag("y_pred").over(w)})
     return seen.filter(~F.col(HALO)).drop(HALO, START)
@@ -79,23 +79,23 @@ def _diagnostics() -> dict[str, Column]:
 
 
 def strategy_returns(
-    df: DataFrame, group: Sequence[str] = GROUP, ts: str = "ts", cost: float = 0.0, block_rows: int | None = BLOCK_ROWS
+    df: DataFrame, group: Sequence[str] = GROUP, ts: str = "ts", cost: float = 0.0, blocks: Blocks = BLOCK_ROWS
 ) -> DataFrame:
     """(group, ts, position, strategy_return) from the second row of each group on.
 
     `cost` is charged on entry and whenever the position flips.
     """
-    return _strategy_rows(df, group, ts, cost, block_rows).filter(F.col("position").isNotNull()).select(
+    return _strategy_rows(df, group, ts, cost, blocks).filter(F.col("position").isNotNull()).select(
         *group, ts, "position", "strategy_return"
     )
 
 
-def _strategy_rows(df: DataFrame, group: Sequence[str], ts: str, cost: float, block_rows: int | None) -> DataFrame:
+def _strategy_rows(df: DataFrame, group: Sequence[str], ts: str, cost: float, blocks: Blocks) -> DataFrame:
     """All rows with previous values, position, strategy return and block."""
     w = Window.partitionBy(*group, BLOCK).orderBy(ts)
     # Two rows back: a flip is seen against the previous position, which itself
     # looks one row back.
-    blocked = assign_blocks(df.select(*group, ts, "y_true", "y_pred"), group, ts, 2, block_rows)
+    blocked = assign_blocks(df.select(*group, ts, "y_true", "y_pred"), group, ts, 2, blocks)
     rows = blocked.withColumns({"_y1": F.lag("y_true").over(w), "_p1": F.lag("y_pred").over(w)})
     _, long = _direction()
     position = F.when(F.col("_y1").isNotNull(), F.when(long, 1).otherwise(-1))
@@ -108,13 +108,13 @@ def _strategy_rows(df: DataFrame, group: Sequence[str], ts: str, cost: float, bl
     return rows.withColumn("strategy_return", result).filter(~F.col(HALO)).drop(HALO, START)
 
 
-def _with_equity(rows: DataFrame, group: Sequence[str], ts: str, block_rows: int | None) -> DataFrame:
+def _with_equity(rows: DataFrame, group: Sequence[str], ts: str, blocks: Blocks) -> DataFrame:
     """Add cumulative_return (running product), running_max and drawdown."""
     by = [*group, BLOCK]
     so_far = Window.partitionBy(*by).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
     growth = F.when(F.col("strategy_return").isNotNull(), 1 + F.col("strategy_return"))
     rows = rows.withColumn("cumulative_return", F.product(growth).over(so_far))
-    if block_rows is not None:
+    if blocks is not None:
         # Earlier blocks contribute their product, and the highest level reached.
         # Levels scale with the product before the block, and swap ends if it is negative.
         ends = rows.groupBy(*by).agg(
@@ -138,10 +138,10 @@ def _with_equity(rows: DataFrame, group: Sequence[str], ts: str, block_rows: int
 
 
 def equity_curve(
-    df: DataFrame, group: Sequence[str] = GROUP, ts: str = "ts", cost: float = 0.0, block_rows: int | None = BLOCK_ROWS
+    df: DataFrame, group: Sequence[str] = GROUP, ts: str = "ts", cost: float = 0.0, blocks: Blocks = BLOCK_ROWS
 ) -> DataFrame:
     """(group, ts, strategy_return, cumulative_return, running_max, drawdown)."""
-    rows = _with_equity(_strategy_rows(df, group, ts, cost, block_rows), group, ts, block_rows)
+    rows = _with_equity(_strategy_rows(df, group, ts, cost, blocks), group, ts, blocks)
     return rows.filter(F.col("position").isNotNull()).select(
         *group, ts, "strategy_return", "cumulative_return", "running_max", "drawdown"
     )
@@ -173,36 +173,36 @@ def _named(columns: dict[str, Column], names: Sequence[str]) -> list[Column]:
 
 
 def regression_metrics(
-    df: DataFrame, group: Sequence[str] = GROUP, ts: str = "ts", block_rows: int | None = BLOCK_ROWS
+    df: DataFrame, group: Sequence[str] = GROUP, ts: str = "ts", blocks: Blocks = BLOCK_ROWS
 ) -> DataFrame:
-    rows = _previous(df, group, ts, block_rows)
+    rows = _previous(df, group, ts, blocks)
     return rows.groupBy(*group).agg(*_named(_regression(), REGRESSION_METRICS))
 
 
 def forecast_diagnostics(
-    df: DataFrame, group: Sequence[str] = GROUP, ts: str = "ts", block_rows: int | None = BLOCK_ROWS
+    df: DataFrame, group: Sequence[str] = GROUP, ts: str = "ts", blocks: Blocks = BLOCK_ROWS
 ) -> DataFrame:
-    rows = _previous(df, group, ts, block_rows)
+    rows = _previous(df, group, ts, blocks)
     return rows.groupBy(*group).agg(*_named(_diagnostics(), DIAGNOSTIC_METRICS))
 
 
 def trading_metrics(
     df: DataFrame, group: Sequence[str] = GROUP, ts: str = "ts", initial: float = CAPITAL, cost: float = 0.0,
-    block_rows: int | None = BLOCK_ROWS,
+    blocks: Blocks = BLOCK_ROWS,
 ) -> DataFrame:
     """Back-test of the forecast's direction; groups with fewer than two rows give no row."""
-    rows = _with_equity(_strategy_rows(df, group, ts, cost, block_rows), group, ts, block_rows)
+    rows = _with_equity(_strategy_rows(df, group, ts, cost, blocks), group, ts, blocks)
     found = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), *_named(_trading(ts, initial), TRADING_METRICS))
     return found.filter(F.col("_n") > 1).drop("_n")
 
 
 def trend_accuracy(
-    df: DataFrame, group: Sequence[str] = GROUP, ts: str = "ts", block_rows: int | None = BLOCK_ROWS
+    df: DataFrame, group: Sequence[str] = GROUP, ts: str = "ts", blocks: Blocks = BLOCK_ROWS
 ) -> DataFrame:
     """Share of rises forecast as rises, and of falls forecast as no rise, in percent."""
     up, forecast_up = _direction()
     down = F.col("y_true") < F.col("_y1")
-    return _previous(df, group, ts, block_rows).groupBy(*group).agg(
+    return _previous(df, group, ts, blocks).groupBy(*group).agg(
         (F.avg(F.when(up, forecast_up.cast("int"))) * 100).alias("uptrend_accuracy"),
         (F.avg(F.when(down, (~forecast_up).cast("int"))) * 100).alias("downtrend_accuracy"),
     )
@@ -210,13 +210,13 @@ def trend_accuracy(
 
 def evaluate_wide(
     df: DataFrame, group: Sequence[str] = GROUP, ts: str = "ts", include_trading: bool = True,
-    initial: float = CAPITAL, cost: float = 0.0, block_rows: int | None = BLOCK_ROWS,
+    initial: float = CAPITAL, cost: float = 0.0, blocks: Blocks = BLOCK_ROWS,
 ) -> DataFrame:
     """All metric families in one row per group, from one ordered pass and one aggregation."""
     if include_trading:
-        rows = _with_equity(_strategy_rows(df, group, ts, cost, block_rows), group, ts, block_rows)
+        rows = _with_equity(_strategy_rows(df, group, ts, cost, blocks), group, ts, blocks)
     else:
-        rows = _previous(df, group, ts, block_rows)
+        rows = _previous(df, group, ts, blocks)
     wanted = _named(_regression(), REGRESSION_METRICS) + _named(_diagnostics(), DIAGNOSTIC_METRICS)
     if include_trading:
         wanted += [
@@ -240,29 +240,29 @@ def to_long(wide: DataFrame, group: Sequence[str]) -> DataFrame:
 
 def evaluate(
     df: DataFrame, group: Sequence[str] = GROUP, ts: str = "ts", include_trading: bool = True,
-    initial: float = CAPITAL, cost: float = 0.0, block_rows: int | None = BLOCK_ROWS,
+    initial: float = CAPITAL, cost: float = 0.0, blocks: Blocks = BLOCK_ROWS,
 ) -> DataFrame:
     """(group, category, metric, value) for all metric families."""
-    return to_long(evaluate_wide(df, group, ts, include_trading, initial, cost, block_rows), group)
+    return to_long(evaluate_wide(df, group, ts, include_trading, initial, cost, blocks), group)
 
 
 def compare_models(
-    df: DataFrame, keys: Sequence[str] = ("series",), ts: str = "ts", block_rows: int | None = BLOCK_ROWS
+    df: DataFrame, keys: Sequence[str] = ("series",), ts: str = "ts", blocks: Blocks = BLOCK_ROWS
 ) -> DataFrame:
     """Regression metrics per model (and key) as one row each."""
-    return regression_metrics(df, ("model", *keys), ts, block_rows)
+    return regression_metrics(df, ("model", *keys), ts, blocks)
 
 
 def returns_to_date(
     df: DataFrame, keys: Sequence[str], ts: str = "ts", column: str = "selling_price",
-    block_rows: int | None = BLOCK_ROWS,
+    blocks: Blocks = BLOCK_ROWS,
 ) -> DataFrame:
     """Holding the series itself: `return`, `cumulative_return`, `running_max`, `drawdown` per row."""
     w = Window.partitionBy(*keys, BLOCK).orderBy(ts)
-    blocked = assign_blocks(df.select(*keys, ts, column), keys, ts, 1, block_rows)
+    blocked = assign_blocks(df.select(*keys, ts, column), keys, ts, 1, blocks)
     before = F.lag(column).over(w)
     rows = blocked.withColumn("strategy_return", ratio(F.col(column) - before, before))
-    rows = _with_equity(rows.filter(~F.col(HALO)).drop(HALO, START), keys, ts, block_rows)
+    rows = _with_equity(rows.filter(~F.col(HALO)).drop(HALO, START), keys, ts, blocks)
     return rows.filter(F.col("strategy_return").isNotNull()).select(
         *keys, ts, F.col("strategy_return").alias("return"), "cumulative_return", "running_max", "drawdown"
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.normal import normal_quantile
 from tidemark.functions.numeric import attach, correlation
-from tidemark.operators.blocks import BLOCK, BLOCK_ROWS, assign_blocks, earlier_blocks
+from tidemark.operators.blocks import BLOCK, BLOCK_ROWS, Blocks, assign_blocks, earlier_blocks
 from tidemark.schemas import REGRESSION_PANEL, SUMMARY_ORDER, TRADING_PANEL
 
 COPY_CHUNK = 10_000
@@ -93,7 +93,7 @@ def _median_position(i: Column, n: Column) -> Column:
     return F.when(i == n, last).when(i == 1, 1.0 - last).otherwise((i - 0.3175) / (n + 0.365))
 
 
-def qq_points(df: DataFrame, column: str, keys: Sequence[str], block_rows: int | None = BLOCK_ROWS) -> DataFrame:
+def qq_points(df: DataFrame, column: str, keys: Sequence[str], blocks: Blocks = BLOCK_ROWS) -> DataFrame:
     """(keys, rank, theoretical, ordered): normal probability plot.
 
     Equal values are counted first and ranked once, in blocks along the value;
@@ -103,11 +103,11 @@ def qq_points(df: DataFrame, column: str, keys: Sequence[str], block_rows: int |
     keys = list(keys)
     values = df.select(*keys, F.col(column).cast("double").alias("ordered")).filter(F.col("ordered").isNotNull())
     counted = values.groupBy(*keys, "ordered").agg(F.count(F.lit(1)).alias("_copies"))
-    blocked = assign_blocks(counted, keys, "ordered", 0, block_rows)
+    blocked = assign_blocks(counted, keys, "ordered", 0, blocks)
     w = Window.partitionBy(*keys, BLOCK).orderBy("ordered")
     upto = F.sum("_copies").over(w.rowsBetween(Window.unboundedPreceding, 0))
     ranked = blocked.withColumn("_rank", upto - F.col("_copies")).select(*keys, BLOCK, "ordered", "_copies", "_rank")
-    if block_rows is not None:
+    if blocks is not None:
         ends = blocked.groupBy(*keys, BLOCK).agg(F.sum("_copies").alias("_sum"))
         before = ends.select(*keys, BLOCK, F.coalesce(F.sum("_sum").over(earlier_blocks(keys)), F.lit(0)).alias("_before"))
         ranked = ranked.join(before, [*keys, BLOCK]).withColumn("_rank", F.col("_rank") + F.col("_before"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import attach
-from tidemark.operators.blocks import BLOCK_ROWS, in_blocks, row_numbers
+from tidemark.operators.blocks import BLOCK_ROWS, Blocks, in_blocks, row_numbers
 from tidemark.schemas import FEATURES
 
 
@@ -19,7 +19,7 @@ def make_sequences(
     features: Sequence[str] = FEATURES,
     target: str = "selling_price",
     length: int = 60,
-    block_rows: int | None = BLOCK_ROWS,
+    blocks: Blocks = BLOCK_ROWS,
 ) -> DataFrame:
     """(keys, target_ts, x, y): the `length` rows before each row, and its target.
 
@@ -37,7 +37,7 @@ def make_sequences(
         full = rows.filter(F.size("_rows") == length)
         return full.select(*keys, *tags, "target_ts", F.flatten("_rows").alias("x"), "y")
 
-    return in_blocks(df, run, keys, ts, length, block_rows)
+    return in_blocks(df, run, keys, ts, length, blocks)
 
 
 def chronological_split(
@@ -46,14 +46,14 @@ def chronological_split(
     ts: str = "target_ts",
     val: float = 0.2,
     test: float = 0.1,
-    block_rows: int | None = BLOCK_ROWS,
+    blocks: Blocks = BLOCK_ROWS,
 ) -> DataFrame:
     """Add `seq_no` (0-based) and `split`: oldest rows train, then val, newest test.
 
     Sizes are int(n * test), int(n * val) and the rest.
     """
     keys = list(keys)
-    numbered = row_numbers(df, keys, ts, "seq_no", block_rows)
+    numbered = row_numbers(df, keys, ts, "seq_no", blocks)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     n_test, n_val = F.floor(F.col("_n") * F.lit(test)), F.floor(F.col("_n") * F.lit(val))
     n_train = F.col("_n") - n_test - n_val
@@ -64,11 +64,11 @@ def chronological_split(
 
 
 def holdout_split(
-    df: DataFrame, keys: Sequence[str], ts: str = "target_ts", val: float = 0.2, block_rows: int | None = BLOCK_ROWS
+    df: DataFrame, keys: Sequence[str], ts: str = "target_ts", val: float = 0.2, blocks: Blocks = BLOCK_ROWS
 ) -> DataFrame:
     """Two-way split: the first int(n * (1 - val)) rows train, the rest val."""
     keys = list(keys)
-    numbered = row_numbers(df, keys, ts, "seq_no", block_rows)
+    numbered = row_numbers(df, keys, ts, "seq_no", blocks)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     split = F.when(F.col("seq_no") < F.floor(F.col("_n") * F.lit(1.0 - val)), "train").otherwise("val")
     return attach(numbered, sizes, keys).select(*df.columns, "seq_no", split.alias("split"))

@@ -255,14 +255,14 @@ def _fill(spark: SparkSession, folder: str) -> DataFrame:
     hole = F.pmod(F.unix_date(F.col("ts").cast("date")), F.lit(7)) < 3
     gaps = prices_lineitem(spark, folder)
     gaps = gaps.withColumns({c: F.when(~hole, F.col(c)) for c in ("selling_price", "spread")})
-    return fill_missing(gaps, KEY, "ts", ["selling_price", "spread"], block_rows=None)
+    return fill_missing(gaps, KEY, "ts", ["selling_price", "spread"], blocks=None)
 
 
 @query("fill_missing_blocks", _filled_sql(TICKS_EVENTS))
 def _fill_blocks(spark: SparkSession, folder: str) -> DataFrame:
     """The same over long tick series, block by block with carries."""
     gaps = _with_gaps(ticks_events(spark, folder))
-    return fill_missing(gaps, KEY, "ts", ["selling_price", "spread"], block_rows=BLOCK)
+    return fill_missing(gaps, KEY, "ts", ["selling_price", "spread"], blocks=BLOCK)
 
 
 _STATS = [f"{c}_{s}" for c in ("selling_price", "buying_price") for s in ("mean", "std")]

@@ -92,13 +92,13 @@ _INDICATORS = f"SELECT {_select(PLACES, _ALL)} FROM features"
 
 @query("indicators", indicators_sql(PRICES_LINEITEM) + _INDICATORS)
 def _indicators(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(add_indicators(prices_lineitem(spark, folder), KEY, block_rows=None), PLACES)
+    return rounded(add_indicators(prices_lineitem(spark, folder), KEY, blocks=None), PLACES)
 
 
 @query("indicators_blocks", indicators_sql(TICKS_EVENTS) + _INDICATORS)
 def _indicators_blocks(spark: SparkSession, folder: str) -> DataFrame:
     """Few, very long tick series, cut into even blocks."""
-    return rounded(add_indicators(ticks_events(spark, folder), KEY, block_rows=BLOCK), PLACES)
+    return rounded(add_indicators(ticks_events(spark, folder), KEY, blocks=BLOCK), PLACES)
 
 
 _FIRST_TICKS = f"""
@@ -113,7 +113,7 @@ def _clean_indicators(spark: SparkSession, folder: str) -> DataFrame:
     """First tick of each day, cleaned, with indicators."""
     first = dedupe_first(ticks_lineitem(spark, folder), KEY, "ts", ARRIVAL)
     clean = iqr_filter(stored(first.select("series", "ts", "selling_price", "buying_price", "spread")), KEY)
-    return rounded(add_indicators(clean, KEY, block_rows=None), PLACES)
+    return rounded(add_indicators(clean, KEY, blocks=None), PLACES)
 
 
 _FILLED = ", ".join(
@@ -168,7 +168,7 @@ _SMA = ["sma_10", "sma_20", "sma_50"]
     ),
 )
 def _sma(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(moving_averages(prices_orders(spark, folder), KEY, "ts", "selling_price", block_rows=None).drop("selling_price"), {4: _SMA})
+    return rounded(moving_averages(prices_orders(spark, folder), KEY, "ts", "selling_price", blocks=None).drop("selling_price"), {4: _SMA})
 
 
 _STEPS = (1, 5, 10, 20)
@@ -250,7 +250,7 @@ def _numbered(source: str) -> str:
         FROM x JOIN e12 USING (series, i) JOIN e26 USING (series, i)""",
 )
 def _ema(spark: SparkSession, folder: str) -> DataFrame:
-    made = ema(prices_orders(spark, folder), KEY, "ts", "selling_price", block_rows=None)
+    made = ema(prices_orders(spark, folder), KEY, "ts", "selling_price", blocks=None)
     return rounded(made.drop("selling_price"), {4: ["ema_12", "ema_26"]})
 
 
@@ -267,13 +267,13 @@ def _macd_sql(source: str) -> str:
 
 @query("macd", _macd_sql(PRICES_LINEITEM))
 def _macd(spark: SparkSession, folder: str) -> DataFrame:
-    made = macd(prices_lineitem(spark, folder), KEY, "ts", "selling_price", block_rows=None)
+    made = macd(prices_lineitem(spark, folder), KEY, "ts", "selling_price", blocks=None)
     return rounded(made.select("series", "ts", *_MACD), {4: _MACD})
 
 
 @query("macd_blocks", _macd_sql(TICKS_EVENTS))
 def _macd_blocks(spark: SparkSession, folder: str) -> DataFrame:
-    made = macd(ticks_events(spark, folder), KEY, "ts", "selling_price", block_rows=BLOCK)
+    made = macd(ticks_events(spark, folder), KEY, "ts", "selling_price", blocks=BLOCK)
     return rounded(made.select("series", "ts", *_MACD), {4: _MACD})
 
 
@@ -287,7 +287,7 @@ _PANEL = ["price", "ma_short", "ma_long", "rsi", "bb_upper", "bb_lower"]
         (SELECT *, selling_price AS price, CASE WHEN rsi > 70 THEN 'overbought' WHEN rsi < 30 THEN 'oversold' WHEN rsi IS NOT NULL THEN 'neutral' END AS rsi_state FROM features)""",
 )
 def _panel(spark: SparkSession, folder: str) -> DataFrame:
-    panel = indicator_panel(add_indicators(prices_lineitem(spark, folder), KEY, block_rows=None), KEY)
+    panel = indicator_panel(add_indicators(prices_lineitem(spark, folder), KEY, blocks=None), KEY)
     return rounded(panel, {4: _PANEL[1:3] + _PANEL[4:], 6: ["rsi"]})
 
 
@@ -298,7 +298,7 @@ def _panel(spark: SparkSession, folder: str) -> DataFrame:
 def _recent(spark: SparkSession, folder: str) -> DataFrame:
     """Indicators of one year: the scan is cut to that year and the history it needs."""
     prices = with_lookback(prices_lineitem(spark, folder), "ts", "2001-01-01", 120)
-    made = add_indicators(prices, KEY, block_rows=None).filter(F.col("ts") >= F.lit("2001-01-01").cast("timestamp_ntz"))
+    made = add_indicators(prices, KEY, blocks=None).filter(F.col("ts") >= F.lit("2001-01-01").cast("timestamp_ntz"))
     return rounded(made, PLACES)
 
 
@@ -391,7 +391,7 @@ def _split_sql(source: str) -> str:
 
 @query("chronological_split", _split_sql(TICKS_EVENTS))
 def _split(spark: SparkSession, folder: str) -> DataFrame:
-    return chronological_split(ticks_events(spark, folder).select("series", "ts"), KEY, "ts", block_rows=BLOCK)
+    return chronological_split(ticks_events(spark, folder).select("series", "ts"), KEY, "ts", blocks=BLOCK)
 
 
 @query(
@@ -400,12 +400,12 @@ def _split(spark: SparkSession, folder: str) -> DataFrame:
         FROM (SELECT series, ts, row_number() OVER (PARTITION BY series ORDER BY ts) - 1 AS i, count(*) OVER (PARTITION BY series) AS n FROM ({TICKS_EVENTS}))""",
 )
 def _holdout(spark: SparkSession, folder: str) -> DataFrame:
-    return holdout_split(ticks_events(spark, folder).select("series", "ts"), KEY, "ts", block_rows=BLOCK)
+    return holdout_split(ticks_events(spark, folder).select("series", "ts"), KEY, "ts", blocks=BLOCK)
 
 
 @query("concat_splits", f"SELECT * FROM ({_split_sql(PRICES_ORDERS)}) WHERE split IN ('train', 'val')")
 def _concat(spark: SparkSession, folder: str) -> DataFrame:
-    return concat_splits(chronological_split(prices_orders(spark, folder).select("series", "ts"), KEY, "ts", block_rows=None))
+    return concat_splits(chronological_split(prices_orders(spark, folder).select("series", "ts"), KEY, "ts", blocks=None))
 
 
 @query(

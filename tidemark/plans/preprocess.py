@@ -8,12 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.blocks import BLOCK_ROWS
+from tidemark.operators.blocks import BLOCK_ROWS, Blocks, plan_blocks
 from tidemark.operators.cleaning import dedupe_first, fill_missing, iqr_filter, positive_prices
-from tidemark.operators.features import add_indicators
+from tidemark.operators.features import INDICATOR_HALO, add_indicators
+from tidemark.functions.recurrent import EncoderSpec
 from tidemark.operators.forecasting import (
     ENCODE_BLOCK_ROWS,
-    EncoderSpec,
     Forecaster,
     encode_series,
     fit_forecaster,
@@ -51,13 +51,13 @@ def prepare(
 ) -> Prepared:
     """Clean, add indicators, fill gaps, fit and apply scalers.
 
-    The clean and the filled table are stored: each is narrow or read by two later passes.
+    The clean and the filled table are stored, because two later passes read each; the
+    blocks are found once, on the clean table.
     """
     clean = stored(clean_prices(prices, keys, ts, arrival, method))
-    indicators = add_indicators(clean, keys, ts, block_rows=block_rows)
-    if block_rows is not None:
-        indicators = stored(indicators)
-    features = stored(fill_missing(indicators, keys, ts, FEATURES, fill, block_rows))
+    blocks = None if block_rows is None else plan_blocks(clean, keys, ts, INDICATOR_HALO, block_rows)
+    indicators = add_indicators(clean, keys, ts, blocks=blocks)
+    features = stored(fill_missing(indicators, keys, ts, FEATURES, fill, blocks))
     scaler = fit_scaler(features, keys)
     return Prepared(clean, features, scaler, apply_scaler(features, scaler))
 
@@ -71,14 +71,14 @@ class Fitted:
 
 def fit_and_predict(
     prepared: Prepared, keys: Sequence[str], spec: EncoderSpec = EncoderSpec(), length: int = 60, reg: float = 1e-4,
-    block_rows: int | None = ENCODE_BLOCK_ROWS,
+    blocks: Blocks = ENCODE_BLOCK_ROWS,
 ) -> Fitted:
     """Encode every sequence, fit on the oldest part of each series, predict the newest part.
 
     The split is taken on the narrow encoded table, one row per sequence.
     """
-    encoded = stored(encode_series(prepared.scaled, keys, "ts", spec, length=length, block_rows=block_rows))
-    split = chronological_split(encoded, keys, block_rows=block_rows)
+    encoded = stored(encode_series(prepared.scaled, keys, "ts", spec, length=length, blocks=blocks))
+    split = chronological_split(encoded, keys, blocks=blocks)
     scaler = stored(prepared.scaler)
     forecaster = fit_forecaster(split.filter(F.col("split") != "test"), spec, scaler, reg, length=length)
     return Fitted(forecaster, split, predict(split.filter(F.col("split") == "test"), forecaster, keys))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.alignment import naive_forecast, trailing_mean_forecast
+from tidemark.operators.blocks import plan_blocks
 from tidemark.operators.cleaning import dedupe_first
 from tidemark.session import stored
 
@@ -101,8 +102,8 @@ WHERE copy = 1"""
 def predictions_lineitem(spark: SparkSession, folder: str) -> DataFrame:
     """Two models over the daily prices: previous value and trailing mean of ten."""
     prices = prices_lineitem(spark, folder)
-    return naive_forecast(prices, ["series"], block_rows=None).unionByName(
-        trailing_mean_forecast(prices, ["series"], block_rows=None)
+    return naive_forecast(prices, ["series"], blocks=None).unionByName(
+        trailing_mean_forecast(prices, ["series"], blocks=None)
     )
 
 
@@ -122,7 +123,8 @@ PREDICTIONS_EVENTS = _PREDICTIONS.format(source=f"({TICKS_EVENTS})")
 
 def predictions_events(spark: SparkSession, folder: str, block_rows: int) -> DataFrame:
     ticks = ticks_events(spark, folder)
-    both = naive_forecast(ticks, ["series"], block_rows=block_rows).unionByName(
-        trailing_mean_forecast(ticks, ["series"], block_rows=block_rows)
+    blocks = plan_blocks(ticks, ["series"], "ts", 11, block_rows)
+    both = naive_forecast(ticks, ["series"], blocks=blocks).unionByName(
+        trailing_mean_forecast(ticks, ["series"], blocks=blocks)
     )
     return stored(both, "predictions")
