@@ -5,7 +5,7 @@ import pytest
 from frames import predictions, prices
 from pyspark.sql import functions as F
 
-from tidemark.functions.normal import normal_quantile
+from tidemark.functions.normal import with_normal_quantile
 from tidemark.functions.numeric import correlation
 from tidemark.operators.features import add_indicators
 from tidemark.operators.metrics import evaluate
@@ -32,7 +32,7 @@ GROUP = ["model", "series"]
 def test_normal_quantile(spark):
     p = [1e-12, 1e-5, 0.01, 0.07, 0.075, 0.3, 0.5, 0.8, 0.925, 0.93, 0.999, 1 - 1e-9]
     df = spark.createDataFrame([(x,) for x in p], "p double")
-    for r in df.select("p", normal_quantile(F.col("p")).alias("z")).collect():
+    for r in with_normal_quantile(df, "p", "z").collect():
         assert r.z == pytest.approx(statistics.NormalDist().inv_cdf(r.p), abs=1e-9)
 
 

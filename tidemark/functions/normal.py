@@ -1,10 +1,10 @@
-"""Quantile function of the standard normal distribution as a column expression."""
+"""Quantile function of the standard normal distribution as column expressions."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Coefficients of Wichura's algorithm AS 241 (1988), lowest order first.
@@ -44,12 +44,19 @@ def _poly(coefficients: tuple[float, ...], x: Column) -> Column:
     return reduce(lambda acc, c: acc * x + F.lit(c), reversed(coefficients[:-1]), F.lit(coefficients[-1]))
 
 
-def normal_quantile(p: Column) -> Column:
-    q = p - 0.5
-    centre_arg = F.lit(0.180625) - q * q
-    centre = q * _poly(CENTRE_NUM, centre_arg) / _poly(CENTRE_DEN, centre_arg)
-    r = F.sqrt(-F.ln(F.when(q < 0, p).otherwise(1 - p)))
+def with_normal_quantile(df: DataFrame, p: str, name: str) -> DataFrame:
+    """Add the quantile of probability column `p`.
+
+    The arguments of the polynomials are columns of their own, so that they are
+    computed once per row and not once per term.
+    """
+    columns = df.columns
+    q = F.col(p) - 0.5
+    tail = F.when(F.col(p) < 0.5, F.col(p)).otherwise(1 - F.col(p))
+    df = df.withColumns({"_c": F.lit(0.180625) - q * q, "_r": F.sqrt(-F.ln(tail))})
+    c, r = F.col("_c"), F.col("_r")
+    centre = q * _poly(CENTRE_NUM, c) / _poly(CENTRE_DEN, c)
     middle = _poly(MIDDLE_NUM, r - 1.6) / _poly(MIDDLE_DEN, r - 1.6)
-    tail = _poly(TAIL_NUM, r - 5.0) / _poly(TAIL_DEN, r - 5.0)
-    outer = F.when(r <= 5.0, middle).otherwise(tail)
-    return F.when(F.abs(q) <= 0.425, centre).otherwise(F.when(q < 0, -outer).otherwise(outer))
+    outer = F.when(r <= 5.0, middle).otherwise(_poly(TAIL_NUM, r - 5.0) / _poly(TAIL_DEN, r - 5.0))
+    signed = outer * F.when(q < 0, -1.0).otherwise(1.0)
+    return df.select(*columns, F.when(F.abs(q) <= 0.425, centre).otherwise(signed).alias(name))

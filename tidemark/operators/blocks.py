@@ -11,7 +11,9 @@ How blocks are found, without sorting the data and without sampling:
 
 1. per key: count, lowest and highest position (map-side combined, one row per key);
 2. per (key, cell): count, where a cell is an equal slice of the key's span and
-   there are about CELLS_PER_BLOCK cells per block (map-side combined);
+   there are about CELLS_PER_BLOCK cells per block (map-side combined). A cell that
+   still holds many rows, because they came in a burst, is sliced again over its
+   own span, as often as needed;
 3. running counts over cells give each cell its first row number, its block and
    the later blocks whose halo reaches into it;
 4. rows look up their cell and are shuffled once by (key, block).
@@ -36,6 +38,7 @@ from tidemark.session import stored
 
 BLOCK_ROWS = 250_000
 CELLS_PER_BLOCK = 16
+DENSE = 0.25
 
 BLOCK = "_block"
 HALO = "_halo"
@@ -56,43 +59,64 @@ def _position(df: DataFrame, order: str) -> Column:
 
 @dataclass(frozen=True)
 class Layout:
-    """Where the blocks of a table lie; made by `plan_blocks`, valid while its rows do not change."""
+    """Where the blocks of a table lie; made by `plan_blocks`, valid while its rows do not change.
+
+    `slices[i]` divides the cells of depth i (whole series at depth 0) into those of depth i + 1.
+    """
 
     keys: tuple[str, ...]
     order: str
     halo: int
-    spans: DataFrame
+    slices: tuple[DataFrame, ...]
     cells: DataFrame
 
 
 Blocks = int | None | Layout
 
 
-def _spans(df: DataFrame, keys: list[str], order: str, block_rows: int) -> DataFrame:
-    """(key, lowest position, width, number of cells)."""
-    pos = _position(df, order)
-    span = df.groupBy(*keys).agg(
-        F.min(pos).alias("_lo"), F.max(pos).alias("_hi"), F.count(F.lit(1)).alias("_n")
-    )
-    cells = F.when(F.col("_n") <= block_rows, 1).otherwise(
-        F.ceil(F.col("_n") * CELLS_PER_BLOCK / block_rows)
-    )
-    return span.select(*keys, "_lo", (F.col("_hi") - F.col("_lo")).cast("double").alias("_width"), cells.alias("_cells"))
+def _cell_names(depth: int) -> list[str]:
+    return [f"_cell_{i}" for i in range(1, depth + 1)]
+
 
+def _slices(counts: DataFrame, by: list[str], block_rows: int) -> DataFrame:
+    """(by, lowest position, width, number of slices) from (by, _n, _lo, _hi)."""
+    slices = F.when(F.col("_n") <= block_rows * DENSE, 1).otherwise(F.ceil(F.col("_n") * CELLS_PER_BLOCK / block_rows))
+    width = (F.col("_hi") - F.col("_lo")).cast("double")
+    return counts.select(*by, "_lo", width.alias("_width"), slices.alias("_slices"))
 
-def _with_cell(df: DataFrame, keys: list[str], order: str, spans: DataFrame) -> DataFrame:
-    share = F.coalesce(
-        F.try_divide((_position(df, order) - F.col("_lo")).cast("double"), F.col("_width")), F.lit(0.0)
+
+def _dense(counts: DataFrame, keys: list[str], block_rows: int) -> DataFrame:
+    """Cells to slice again: large ones with more than one position, of series longer than a block."""
+    series = F.sum("_n").over(Window.partitionBy(*keys))
+    whole = counts.withColumn("_series", series).filter(F.col("_series") > block_rows).drop("_series")
+    return whole.filter((F.col("_n") > block_rows * DENSE) & (F.col("_hi") > F.col("_lo")))
+
+
+def _with_cells(df: DataFrame, keys: list[str], order: str, slices: Sequence[DataFrame]) -> DataFrame:
+    """Add `_cell_1`, ...: the slice of each depth; 0 where a cell is not sliced further."""
+    pos = _position(df, order)
+    columns = df.columns
+    for depth, table in enumerate(slices):
+        names = _cell_names(depth)
+        share = F.coalesce(F.try_divide((pos - F.col("_lo")).cast("double"), F.col("_width")), F.lit(0.0))
+        place = F.least(F.floor(share * F.col("_slices")), F.col("_slices") - 1)
+        df = df.join(table, [*keys, *names], "left" if depth else "inner").select(
+            *columns, *names, F.coalesce(place, F.lit(0)).alias(f"_cell_{depth + 1}")
+        )
+    return df
+
+
+def _count_cells(df: DataFrame, keys: list[str], order: str, slices: Sequence[DataFrame]) -> DataFrame:
+    pos = _position(df, order)
+    return _with_cells(df, keys, order, slices).groupBy(*keys, *_cell_names(len(slices))).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_lo"), F.max(pos).alias("_hi")
     )
-    cell = F.least(F.floor(share * F.col("_cells")), F.col("_cells") - 1)
-    return df.join(spans, keys).select(*df.columns, cell.alias("_cell"))
 
 
-def _cells(celled: DataFrame, keys: list[str], halo: int, block_rows: int) -> DataFrame:
+def _cells(counts: DataFrame, keys: list[str], names: list[str], halo: int, block_rows: int) -> DataFrame:
     """(key, cell) -> own block, its first row number, later blocks that need the cell."""
-    by_cell = Window.partitionBy(*keys).orderBy("_cell")
-    counts = celled.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_rows"))
-    first_row = F.coalesce(F.sum("_rows").over(by_cell.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    by_cell = Window.partitionBy(*keys).orderBy(*names)
+    first_row = F.coalesce(F.sum("_n").over(by_cell.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     numbered = counts.withColumn("_first", first_row).withColumn("_own", F.floor(F.col("_first") / block_rows))
     opens = F.coalesce(F.lag("_own").over(by_cell) != F.col("_own"), F.lit(True))
     opened = numbered.withColumn("_opens", opens)
@@ -101,12 +125,12 @@ def _cells(celled: DataFrame, keys: list[str], halo: int, block_rows: int) -> Da
     # opens within the next `halo` cells.
     opening = F.struct(F.col("_first").alias("first"), F.col("_own").alias("block"))
     ahead = F.collect_list(F.when(F.col("_opens"), opening)).over(by_cell.rowsBetween(1, max(halo, 1)))
-    last_row = F.col("_first") + F.col("_rows") - 1
+    last_row = F.col("_first") + F.col("_n") - 1
     later = F.transform(
         F.filter(ahead, lambda b: b["first"] <= last_row + halo),
         lambda b: F.struct((b["first"] - last_row).alias("distance"), b["block"].alias("block")),
     )
-    return opened.select(*keys, "_cell", "_own", START, later.alias("_later"))
+    return opened.select(*keys, *names, "_own", START, later.alias("_later"))
 
 
 def plan_blocks(
@@ -119,9 +143,18 @@ def plan_blocks(
     keys = list(keys)
     if not keys:
         raise ValueError("name at least one key column; a single series needs a constant one")
-    spans = stored(_spans(df, keys, order, block_rows), "spans")
-    cells = stored(_cells(_with_cell(df, keys, order, spans), keys, halo, block_rows), "cells")
-    return Layout(tuple(keys), order, halo, spans, cells)
+    pos = _position(df, order)
+    series = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_lo"), F.max(pos).alias("_hi"))
+    slices = [stored(_slices(series, keys, block_rows), "slices")]
+    while True:
+        names = _cell_names(len(slices))
+        counts = stored(_count_cells(df, keys, order, slices), "counts")
+        dense = _dense(counts, keys, block_rows)
+        if dense.isEmpty():
+            break
+        slices.append(stored(_slices(dense, [*keys, *names], block_rows), "slices"))
+    cells = stored(_cells(counts, keys, names, halo, block_rows), "cells")
+    return Layout(tuple(keys), order, halo, tuple(slices), cells)
 
 
 def assign_blocks(
@@ -140,7 +173,8 @@ def assign_blocks(
     layout = blocks if isinstance(blocks, Layout) else plan_blocks(df, keys, order, halo, blocks)
     if (list(layout.keys), layout.order) != (keys, order) or layout.halo < halo:
         raise ValueError(f"the layout is for {layout.keys}, {layout.order}, {layout.halo} rows back")
-    placed = _with_cell(df, keys, order, layout.spans).join(layout.cells, [*keys, "_cell"])
+    names = _cell_names(len(layout.slices))
+    placed = _with_cells(df, keys, order, layout.slices).join(layout.cells, [*keys, *names])
     near = F.filter("_later", lambda b: b["distance"] <= halo)
     targets = F.concat(F.array(F.col("_own")), F.transform(near, lambda b: b["block"]))
     spread = placed.select("*", F.explode(targets).alias(BLOCK))

@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 from tidemark.functions.numeric import attach
 
 ACCURACY = 100_000
+# Groups up to WHOLE rows are ranked whole. Groups up to `accuracy` rows use the wide
+# margin, which is some ranks wide there; larger groups the narrow one, 4/accuracy.
+WHOLE = 1_000
+WIDE_MARGIN = 4.0 / WHOLE
+
+
+def _edges(probabilities: Sequence[float], margin: float) -> list[float]:
+    return [e for p in probabilities for e in (max(p - margin, 0.0), min(p + margin, 1.0))]
 
 
 def exact_quantiles(
@@ -17,58 +25,53 @@ def exact_quantiles(
 ) -> DataFrame:
     """(keys, q0, q1, ...): linear interpolation between the two nearest order statistics.
 
-    A mergeable sketch brackets each wanted rank: a range of values that holds
-    about 8/accuracy of the group (groups of up to `accuracy` rows are taken whole).
-    A second pass counts the values below the bracket and the copies of each value
-    inside it; the wanted order statistics are read off those counts. Both
-    passes are combined map-side, so a hot group sends one sketch per task and then at
-    most max(accuracy, 8n/accuracy) distinct values to the ranking task.
+    A mergeable sketch brackets each wanted rank by two values between which only
+    a small share of the group lies: 8/1000 of it, or 8/accuracy if it has more
+    than `accuracy` rows. A second pass counts the values below the bracket and the
+    copies of each value inside it, and the wanted order statistics are read off
+    those counts. Both passes combine map-side: a hot group sends one sketch per
+    task, and then max(WHOLE, 8n/1000 or 8n/accuracy) distinct values at most.
     """
     keys = list(keys)
     values = df.select(*keys, F.col(column).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    margin = 4.0 / accuracy
-    edges = [e for p in probabilities for e in (max(p - margin, 0.0), min(p + margin, 1.0))]
+    narrow, wide = _edges(probabilities, 4.0 / accuracy), _edges(probabilities, WIDE_MARGIN)
     sketch = values.groupBy(*keys).agg(
-        F.count("_v").alias("_n"), F.percentile_approx("_v", edges, accuracy).alias("_edges")
-    )
-    small = F.col("_n") <= accuracy
-    brackets = sketch.select(
-        *keys,
-        "_n",
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("i"),
-                    F.lit(float(p)).alias("p"),
-                    F.when(~small, F.col("_edges")[2 * i]).alias("lo"),
-                    F.when(~small, F.col("_edges")[2 * i + 1]).alias("hi"),
-                )
-                for i, p in enumerate(probabilities)
-            ]
-        ).alias("_brackets"),
+        F.count("_v").alias("_n"), F.percentile_approx("_v", narrow + wide, accuracy).alias("_edges")
     )
+
+    def edge(i: int) -> Column:
+        chosen = F.when(F.col("_n") > accuracy, F.col("_edges")[i]).otherwise(F.col("_edges")[len(narrow) + i])
+        return F.when(F.col("_n") > min(WHOLE, accuracy), chosen)
+
+    wanted = [
+        F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"), edge(2 * i).alias("lo"), edge(2 * i + 1).alias("hi"))
+        for i, p in enumerate(probabilities)
+    ]
+    brackets = sketch.select(*keys, "_n", F.array(*wanted).alias("_brackets"))
     placed = attach(values, brackets, keys).select(*keys, "_v", "_n", F.explode("_brackets").alias("_b"))
-    below = F.col("_v") < F.col("_b.lo")
-    above = F.col("_v") > F.col("_b.hi")
-    # Values outside the bracket collapse into one NULL row each side.
-    inside = F.when(F.coalesce(below | above, F.lit(False)), None).otherwise(F.col("_v"))
-    side = F.when(F.coalesce(below, F.lit(False)), -1).when(F.coalesce(above, F.lit(False)), 1).otherwise(0)
-    counted = placed.groupBy(
-        *keys, F.col("_b.i").alias("_i"), F.col("_b.p").alias("_p"), "_n", side.alias("_side"), inside.alias("_v")
-    ).agg(F.count(F.lit(1)).alias("_copies"))
-
-    by_value = Window.partitionBy(*keys, "_i").orderBy("_side", "_v")
+    side = F.when(F.col("_v") < F.col("_b.lo"), -1).when(F.col("_v") > F.col("_b.hi"), 1).otherwise(0)
+    placed = placed.select(*keys, "_v", "_n", F.col("_b.i").alias("_i"), F.col("_b.p").alias("_p"), side.alias("_side"))
+    # Each side outside the bracket becomes one row with its count and the value
+    # next to the bracket, whose rank is known too.
+    inside = F.when(F.col("_side") == 0, F.col("_v")).alias("_inside")
+    counted = placed.groupBy(*keys, "_i", "_p", "_n", "_side", inside).agg(
+        F.count(F.lit(1)).alias("_copies"), F.min("_v").alias("_least"), F.max("_v").alias("_most")
+    )
+
+    by_value = Window.partitionBy(*keys, "_i").orderBy("_side", "_inside")
     upto = F.sum("_copies").over(by_value.rowsBetween(Window.unboundedPreceding, 0))
     at = F.col("_p") * (F.col("_n") - 1)
-    ranked = counted.select(
-        *keys, "_i", "_v", at.alias("_at"), (upto - F.col("_copies")).alias("_from"), upto.alias("_upto")
-    )
+    ranked = counted.withColumns({"_at": at, "_upto": upto}).withColumn("_from", F.col("_upto") - F.col("_copies"))
 
-    def covers(rank: Column) -> Column:
-        return (F.col("_from") <= rank) & (rank < F.col("_upto"))
+    def value_at(rank: Column) -> Column:
+        known = (
+            F.when(F.col("_side") == 0, (F.col("_from") <= rank) & (rank < F.col("_upto")))
+            .when(F.col("_side") == -1, rank == F.col("_upto") - 1)
+            .otherwise(rank == F.col("_from"))
+        )
+        return F.max(F.when(known, F.when(F.col("_side") == 1, F.col("_least")).otherwise(F.col("_most"))))
 
-    lower = F.max(F.when(covers(F.floor("_at")), F.col("_v")))
-    upper = F.max(F.when(covers(F.ceil("_at")), F.col("_v")))
+    lower, upper = value_at(F.floor("_at")), value_at(F.ceil("_at"))
     weight = F.max(F.col("_at") - F.floor("_at"))
     quantile = F.when(lower.isNull() | upper.isNull(), F.raise_error(F.lit("quantile rank fell outside its bracket")))
     quantile = quantile.otherwise(lower + (upper - lower) * weight)

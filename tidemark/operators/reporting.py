@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.normal import normal_quantile
+from tidemark.functions.normal import with_normal_quantile
 from tidemark.functions.numeric import attach, correlation
 from tidemark.operators.blocks import BLOCK, BLOCK_ROWS, Blocks, assign_blocks, earlier_blocks
 from tidemark.schemas import REGRESSION_PANEL, SUMMARY_ORDER, TRADING_PANEL
+from tidemark.session import stored
 
 COPY_CHUNK = 10_000
 
@@ -96,13 +97,14 @@ def _median_position(i: Column, n: Column) -> Column:
 def qq_points(df: DataFrame, column: str, keys: Sequence[str], blocks: Blocks = BLOCK_ROWS) -> DataFrame:
     """(keys, rank, theoretical, ordered): normal probability plot.
 
-    Equal values are counted first and ranked once, in blocks along the value;
+    Equal values are counted first (and stored, for the passes that rank them) and
+    ranked once, in blocks along the value;
     their copies are produced afterwards, COPY_CHUNK at a time, so one
     frequent value is spread over many rows of work.
     """
     keys = list(keys)
     values = df.select(*keys, F.col(column).cast("double").alias("ordered")).filter(F.col("ordered").isNotNull())
-    counted = values.groupBy(*keys, "ordered").agg(F.count(F.lit(1)).alias("_copies"))
+    counted = stored(values.groupBy(*keys, "ordered").agg(F.count(F.lit(1)).alias("_copies")), "counted")
     blocked = assign_blocks(counted, keys, "ordered", 0, blocks)
     w = Window.partitionBy(*keys, BLOCK).orderBy("ordered")
     upto = F.sum("_copies").over(w.rowsBetween(Window.unboundedPreceding, 0))
@@ -111,17 +113,16 @@ def qq_points(df: DataFrame, column: str, keys: Sequence[str], blocks: Blocks =
         ends = blocked.groupBy(*keys, BLOCK).agg(F.sum("_copies").alias("_sum"))
         before = ends.select(*keys, BLOCK, F.coalesce(F.sum("_sum").over(earlier_blocks(keys)), F.lit(0)).alias("_before"))
         ranked = ranked.join(before, [*keys, BLOCK]).withColumn("_rank", F.col("_rank") + F.col("_before"))
-    sizes = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = counted.groupBy(*keys).agg(F.sum("_copies").alias("_n"))
     chunks = attach(ranked, sizes, keys).select(
         *keys, "ordered", "_rank", "_copies", "_n",
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1, F.lit(COPY_CHUNK).cast("long"))).alias("_from"),
     )
     stop = F.least(F.col("_from") + COPY_CHUNK, F.col("_copies")) - 1
     copies = chunks.select("*", F.explode(F.sequence(F.col("_from"), stop)).alias("_copy"))
-    rank = F.col("_rank") + F.col("_copy") + 1
-    return copies.select(
-        *keys, rank.alias("rank"), normal_quantile(_median_position(rank, F.col("_n"))).alias("theoretical"), "ordered"
-    )
+    placed = copies.withColumn("rank", F.col("_rank") + F.col("_copy") + 1)
+    placed = placed.withColumn("_p", _median_position(F.col("rank"), F.col("_n")))
+    return with_normal_quantile(placed, "_p", "theoretical").select(*keys, "rank", "theoretical", "ordered")
 
 
 def qq_fit(points: DataFrame, keys: Sequence[str]) -> DataFrame:
