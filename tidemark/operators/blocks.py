@@ -39,6 +39,8 @@ from tidemark.session import stored
 BLOCK_ROWS = 250_000
 CELLS_PER_BLOCK = 16
 DENSE = 0.25
+# Dense cells are few, so they are sliced finely: a burst is found in fewer passes.
+BURST_FINENESS = 64
 
 BLOCK = "_block"
 HALO = "_halo"
@@ -78,9 +80,10 @@ def _cell_names(depth: int) -> list[str]:
     return [f"_cell_{i}" for i in range(1, depth + 1)]
 
 
-def _slices(counts: DataFrame, by: list[str], block_rows: int) -> DataFrame:
+def _slices(counts: DataFrame, by: list[str], block_rows: int, fineness: int = 1) -> DataFrame:
     """(by, lowest position, width, number of slices) from (by, _n, _lo, _hi)."""
-    slices = F.when(F.col("_n") <= block_rows * DENSE, 1).otherwise(F.ceil(F.col("_n") * CELLS_PER_BLOCK / block_rows))
+    wanted = F.ceil(F.col("_n") * (CELLS_PER_BLOCK * fineness) / block_rows)
+    slices = F.when(F.col("_n") <= block_rows * DENSE, 1).otherwise(wanted)
     width = (F.col("_hi") - F.col("_lo")).cast("double")
     return counts.select(*by, "_lo", width.alias("_width"), slices.alias("_slices"))
 
@@ -152,7 +155,7 @@ def plan_blocks(
         dense = _dense(counts, keys, block_rows)
         if dense.isEmpty():
             break
-        slices.append(stored(_slices(dense, [*keys, *names], block_rows), "slices"))
+        slices.append(stored(_slices(dense, [*keys, *names], block_rows, BURST_FINENESS), "slices"))
     cells = stored(_cells(counts, keys, names, halo, block_rows), "cells")
     return Layout(tuple(keys), order, halo, tuple(slices), cells)
 
