@@ -33,7 +33,7 @@ from tidemark.plans.views import (
     ticks_lineitem,
 )
 from tidemark.schemas import BUY_FIELD, SELL_FIELD, SUCCESS_CODE, TIME_FIELD
-from tidemark.session import new_folder, stored
+from tidemark.session import new_folder
 from tidemark.sources.payloads import (
     explode_records,
     land_payloads,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.cleaning import dedupe_first, fill_missing, iqr_filter
+from tidemark.operators.cleaning import dedupe_first, iqr_filter
 from tidemark.operators.features import (
     add_indicators,
     bollinger,
