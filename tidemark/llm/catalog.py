@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.bucket_refinement import remove_repeats
 from tidemark.llm.language_id import fit_language_model, identify, is_held_out
+from tidemark.llm.minmax_dedup import near_components
 from tidemark.llm.mixing import mix_sources
+from tidemark.llm.positional_index import decontaminate
 from tidemark.llm.token_records import read_digests, write_records
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +84,20 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify(docs.select("doc_id", "text"), model).select(
         "doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
     )
+
+
+@query("op4_positional_index")
+def op4_positional_index(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+    return found.drop("text_key")
+
+
+@query("op5_minmax_dedup")
+def op5_minmax_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_components(documents(spark, folder))
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+@query("op10_bucket_refinement")
+def op10_bucket_refinement(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(documents(spark, folder), with_texts=False)

@@ -58,7 +58,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def seeded(seed: int, n: int) -> np.ndarray:
     """n fixed pseudo-random 64-bit numbers."""
-    start = np.uint64(seed) * np.uint64(0x9E3779B97F4A7C15 >> 1)
+    start = np.uint64(seed * 0x4F1BBCDCBFA53E0B & (1 << 64) - 1)
     return mix(start + np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
