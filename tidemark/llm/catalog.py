@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bucket_refinement import remove_repeats
+from tidemark.llm.divergence import judge
 from tidemark.llm.language_id import fit_language_model, identify, is_held_out
+from tidemark.llm.license_scan import TEMPLATES, scan_licenses
 from tidemark.llm.minmax_dedup import near_components
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.positional_index import decontaminate
@@ -34,6 +36,42 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def _template_rows() -> str:
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    return ", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in sorted(TEMPLATES.items()))
+
+
+OP1_SQL = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row, doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS words
+  FROM documents),
+templates AS (
+  SELECT name, list_filter(string_split_regex(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS words FROM (VALUES {_template_rows()}) AS t(name, text)),
+wanted AS (
+  SELECT name, i.shingle, count(*) OVER (PARTITION BY name) AS n
+  FROM (SELECT DISTINCT name, array_to_string(words[g.i : g.i + 4], ' ') AS shingle
+        FROM templates, LATERAL (SELECT unnest(range(1, len(words) - 3)) AS i) g) AS i),
+shingles AS (
+  SELECT DISTINCT row, array_to_string(words[g.i : g.i + 4], ' ') AS shingle
+  FROM texts, LATERAL (SELECT unnest(range(1, len(words) - 3)) AS i) g),
+found AS (
+  SELECT row, name, 100 * count(*) / max(n) AS percent FROM shingles JOIN wanted USING (shingle) GROUP BY row, name
+  HAVING 100 * count(*) >= 80 * max(n))
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(count(name) AS BIGINT) AS n_licenses,
+       coalesce(string_agg(name, ',' ORDER BY name), '') AS licenses
+FROM texts LEFT JOIN found USING (row) GROUP BY row, doc_id, words
+"""
+
+
+@query("op1_license_scan", OP1_SQL)
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = scan_licenses(documents(spark, folder))
+    return found.select(
+        "doc_id", "n_words", F.size("licenses").cast("long").alias("n_licenses"),
+        F.concat_ws(",", F.sort_array(F.col("licenses.name"))).alias("licenses"),
+    )
+
+
 @query("op2_token_records")
 def op2_token_records(spark: SparkSession, folder: str) -> DataFrame:
     return read_digests(write_records(documents(spark, folder)))
@@ -86,6 +124,11 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op3_divergence_rules")
+def op3_divergence_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return judge(documents(spark, folder)).drop("text_key", "class_distance", "word_distance")
+
+
 @query("op4_positional_index")
 def op4_positional_index(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
