@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bucket_refinement import remove_repeats
+from tidemark.llm.compact_windows import repeated_passages
 from tidemark.llm.divergence import judge
 from tidemark.llm.language_id import fit_language_model, identify, is_held_out
 from tidemark.llm.license_scan import TEMPLATES, scan_licenses
@@ -115,6 +116,11 @@ def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+@query("op8_compact_windows")
+def op8_compact_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_passages(documents(spark, folder)).drop("text_key")
+
+
 @query("op9_language_id")
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
