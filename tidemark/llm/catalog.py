@@ -15,6 +15,7 @@ from tidemark.llm.license_scan import TEMPLATES, scan_licenses
 from tidemark.llm.minmax_dedup import near_components
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.positional_index import decontaminate
+from tidemark.llm.separator_scan import count_tokens, write_token_files
 from tidemark.llm.token_records import read_digests, write_records
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +117,11 @@ def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+@query("op7_separator_scan")
+def op7_separator_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return count_tokens(write_token_files(documents(spark, folder))).select("doc_no", "n_tokens", "ended")
+
+
 @query("op8_compact_windows")
 def op8_compact_windows(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_passages(documents(spark, folder)).drop("text_key")
