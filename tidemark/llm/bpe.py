@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 import sys
+import types
 from itertools import chain
 
 import numpy as np
@@ -20,10 +21,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-MAX_CACHED = 600_000
+MAX_CACHED = 1_200_000
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 # Texts handled at once, in characters.
 GROUP_CHARS = 1 << 20
+# After a letter these begin a part of their own, so a word's ids do not depend on them.
+MARKS = ".,;:!?*#$%&|<>)"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -35,11 +38,12 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 class BpeEncoder:
     """Ids of texts as bytes of little-endian unsigned integers of `width` bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, specials_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = specials_as_text
         vocabulary = self.tokenizer.get_vocab()
         size = max(vocabulary.values()) + 1
         self.width = 2 if size <= 1 << 16 else 4
@@ -48,6 +52,7 @@ class BpeEncoder:
         self.bytes_of = np.zeros(size, np.int64)
         for token, i in vocabulary.items():
             self.bytes_of[i] = len(token)
+        self.special = [] if specials_as_text else [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.parts = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+").findall
         self.starts_in_space = re.compile(f"[{SPACE}].*[^{SPACE}]", re.S).fullmatch
         self.known: dict[str, bytes] = {}
@@ -56,6 +61,21 @@ class BpeEncoder:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
 
     def _learn(self, new: list[str]) -> None:
+        """Add the ids of unseen parts, those of a word and of the marks after it apart."""
+        known, whole, split = self.known, set(), []
+        for part in new:
+            word = part.rstrip(MARKS)
+            if len(word) < len(part) and word[-1:].isalpha() and not any(x in part for x in self.special):
+                marks = part[len(word) :]
+                whole.update(x for x in (word, marks) if x not in known)
+                split.append((part, word, marks))
+            else:
+                whole.add(part)
+        self._encode_parts(sorted(whole))
+        for part, word, marks in split:
+            known[part] = known[word] + known[marks]
+
+    def _encode_parts(self, new: list[str]) -> None:
         known, packed = self.known, []
         for part in new:
             # A text's first part and trailing white space would join their neighbours.
@@ -92,8 +112,17 @@ class BpeEncoder:
                 self.known.clear()
             new = set(chain.from_iterable(split)) - self.known.keys()
             if new:
-                self._learn(sorted(new))
+                self._learn(list(new))
             ids_of = self.known.__getitem__
             out += [b"".join(map(ids_of, parts)) for parts in split]
             first = last
         return out
+
+
+def worker_encoder(path: str, specials_as_text: bool = False) -> BpeEncoder:
+    """The encoder of this worker process, which keeps its known parts from task to task."""
+    kept = sys.modules.setdefault("_tidemark_encoders", types.ModuleType("_tidemark_encoders")).__dict__
+    name = f"{path} {specials_as_text}"
+    if name not in kept:
+        kept[name] = BpeEncoder(path, specials_as_text)
+    return kept[name]

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import bpe
-from tidemark.llm.bpe import BpeEncoder, END_ID
+from tidemark.llm.bpe import END_ID, worker_encoder
 from tidemark.llm.text import text_key
 from tidemark.session import new_folder, stored
 
@@ -100,7 +100,7 @@ def write_records(
             if not batch.num_rows:
                 continue
             if out is None:
-                out, encoder = files.open_output_stream(f"{root}/{file}"), BpeEncoder(path)
+                out, encoder = files.open_output_stream(f"{root}/{file}"), worker_encoder(path)
                 end = np.array([end_id], encoder.dtype).tobytes()
                 out.write(MAGIC)
             sizes = []
