@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import n_words, text_key
+from tidemark.llm.text import n_words, text_key, with_rows
 from tidemark.session import stored
 
 WEIGHTS = (1.0, 2.0, 3.0)
@@ -151,11 +151,7 @@ def mix_sources(
 
 def mixed(docs: DataFrame, **options: object) -> DataFrame:
     """The mix itself: each row of `docs`, with all its columns, as often as it is taken."""
-    counts = mix_sources(docs, **options).groupBy("doc_id", "text_key").agg(F.first("copies").alias("_copies"))
-    counts = counts.select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key"), "_copies")
-    taken = docs.join(
-        counts.filter("_copies > 0"),
-        F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (text_key(F.col("text")) == F.col("_text_key")),
-    )
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return taken.select(*columns, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")).drop("_copy")
+    counts = mix_sources(docs, **options).groupBy("doc_id", "text_key").agg(F.first("copies").alias("copies"))
+    counts = counts.filter("copies > 0").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "copies")
+    taken = with_rows(docs).join(counts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")))
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")

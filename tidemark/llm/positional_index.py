@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import text
-from tidemark.llm.text import text_key
+from tidemark.llm.text import text_key, with_rows
 from tidemark.session import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -119,10 +119,10 @@ def positional_index(docs: DataFrame, vocabulary: np.ndarray | None) -> DataFram
     return rows.mapInArrow(run, f"doc_id {kind}, text_key long, term long, positions array<int>")
 
 
-def _lists(index: DataFrame, picked: DataFrame) -> DataFrame:
+def _lists(index: DataFrame, picked: DataFrame, slop: int) -> DataFrame:
     """(text_key, window, start): the picked terms' places, moved back by their offsets."""
     joined = index.join(picked, "term").select("text_key", "window", F.explode("positions").alias("p"), "offset")
-    return joined.select("text_key", "window", (F.col("p") - F.col("offset")).alias("start")).filter("start >= 0").distinct()
+    return joined.select("text_key", "window", (F.col("p") - F.col("offset")).alias("start")).filter(F.col("start") >= -slop).distinct()
 
 
 def find_windows(index: DataFrame, windows: DataFrame, slop: int = 0) -> DataFrame:
@@ -143,8 +143,8 @@ def find_windows(index: DataFrame, windows: DataFrame, slop: int = 0) -> DataFra
     distinct = counted.join(possible, "window").groupBy("window", "term", "freq").agg(F.min("offset").alias("offset"))
     rank = Window.partitionBy("window").orderBy("freq", "term")
     ranked = stored(distinct.withColumn("rank", F.row_number().over(rank)).select("window", "term", "offset", "rank"), "ranked-terms")
-    rarest = _lists(index, ranked.filter("rank = 1"))
-    second = _lists(index, ranked.filter("rank = 2")).select("text_key", "window", F.col("start").alias("_start"))
+    rarest = _lists(index, ranked.filter("rank = 1"), slop)
+    second = _lists(index, ranked.filter("rank = 2"), slop).select("text_key", "window", F.col("start").alias("_start"))
     near = F.col("_start") == F.col("start") if not slop else F.abs(F.col("_start") - F.col("start")) <= slop
     both = rarest.alias("r").join(
         second.alias("s"), (F.col("r.text_key") == F.col("s.text_key")) & (F.col("r.window") == F.col("s.window")) & near, "left_semi"
@@ -198,5 +198,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW_WOR
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW_WORDS) -> DataFrame:
     """`docs` without the rows that hold a benchmark window."""
-    bad = decontaminate(docs, benchmark, width).filter("contaminated").select(F.col("text_key").alias("_key")).distinct()
-    return docs.join(stored(bad, "contaminated-keys"), text_key(F.col("text")) == F.col("_key"), "left_anti")
+    bad = decontaminate(docs, benchmark, width).filter("contaminated").select("text_key").distinct()
+    return with_rows(docs).join(stored(bad, "contaminated-keys"), "text_key", "left_anti").select("row.*")

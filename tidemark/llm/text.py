@@ -44,9 +44,10 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text.isNull(), text)
 
 
-def as_documents(df: DataFrame, *columns: str) -> DataFrame:
-    """Only the named columns, so that others with clashing names never matter."""
-    return df.select(*columns)
+def with_rows(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, text, text_key): whole rows as structs, so that their names never clash."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(whole.alias("row"), "doc_id", "text", text_key(F.col("text")).alias("text_key"))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
