@@ -154,3 +154,43 @@ def test_latest_window_orders_and_rejects(ticks):
     assert [(r.series, r.n_rows) for r in short.collect()] == [("single", 1)]
     last = [r[0] for r in ticks.filter("series = 'sparse'").orderBy(F.desc("ts")).select("selling_price").limit(100).collect()]
     assert full.filter("series = 'sparse'").first().x == last[::-1]
+
+
+def test_null_keys_stay(spark):
+    rows_ = [("a" if i % 3 else None, day(i), float(i), 1.0, 0.0) for i in range(300)]
+    df = spark.createDataFrame(rows_, SCHEMA)
+    whole, cut = (row_numbers(df, KEY, "ts", "n", b).select("series", "ts", "n") for b in (None, 32))
+    assert sorted(map(repr, whole.collect())) == sorted(map(repr, cut.collect()))
+    filled = fill_missing(df.withColumn("selling_price", F.when(F.col("selling_price") % 4 != 0, F.col("selling_price"))), KEY, "ts", ["selling_price"], blocks=32)
+    assert filled.filter("series IS NULL").count() == 100
+
+
+@pytest.mark.parametrize("extreme", [float("inf"), float("-inf"), float("nan"), 1.7e308])
+def test_positions_that_are_not_finite(spark, extreme):
+    values = [float(i % 180) for i in range(400)] + [extreme] * 3 + ([-1.7e308] if extreme == 1.7e308 else [])
+    df = spark.createDataFrame([("a", v) for v in values] + [("b", extreme)], "series string, v double")
+    whole, cut = (qq_points(df, "v", KEY, b).select("series", "rank", "ordered").collect() for b in (None, 64))
+    assert sorted(map(repr, whole)) == sorted(map(repr, cut))
+
+
+def test_blocks_do_not_depend_on_the_zone(spark):
+    hours = [(START.replace(month=3, day=9) + timedelta(minutes=10 * i)) for i in range(400)]
+    df = spark.createDataFrame([("a", t, float(i)) for i, t in enumerate(hours)], "series string, ts timestamp_ntz, v double")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        cut = row_numbers(df, KEY, "ts", "n", 32).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert sorted(int(r.v) for r in cut) == list(range(400)) and all(int(r.v) == r.n for r in cut)
+
+
+def test_averages_skip_unknown_values(spark):
+    known = [100.0] * 60
+    for at in (0, 1, 5, 30):
+        known[at] = None
+    df = spark.createDataFrame([("a", day(i), v, 1.0, 0.0) for i, v in enumerate(known)], SCHEMA)
+    for blocks in (None, 16):
+        got = [r.ema_12 for r in ema(df, KEY, "ts", "selling_price", (12,), blocks).orderBy("ts").collect()]
+        assert [g is None for g in got] == [v is None for v in known]
+        assert all(g is None or abs(g - 100) < 1e-9 for g in got)

@@ -156,3 +156,23 @@ def test_short_series_are_rejected(spark):
 
 def test_latest_days(spark):
     assert by_time(latest_days(prices(spark, range(10)), KEY, "ts", 3), "selling_price") == [6, 7, 8, 9]
+
+
+def test_lookups_lose_no_rows(spark):
+    from tidemark.operators.scaling import apply_scaler, fit_scaler, inverse_price
+
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("new", 7.0), (None, 9.0)], "series string, selling_price double")
+    scaler = fit_scaler(df.filter("series = 'a'"), ["series"], ["selling_price"], "zscore")
+    scaled = apply_scaler(df, scaler, ["selling_price"])
+    assert sorted((r.series or "", r.selling_price) for r in scaled.collect()) == [("", 9.0), ("a", -1.0), ("a", 1.0), ("new", 7.0)]
+    back = inverse_price(scaled, "selling_price", scaler)
+    assert sorted(r.selling_price for r in back.collect()) == [1.0, 3.0, 7.0, 9.0]
+
+
+def test_a_number_zero_counts_as_missing(spark):
+    from tidemark.operators.cleaning import quality_report
+    from tidemark.schemas import BUY_FIELD, SELL_FIELD, TIME_FIELD
+
+    df = spark.createDataFrame([("a", "0", "5", "2024-01-01"), ("a", "7", "", "2024-01-02")], f"series string, {SELL_FIELD} string, {BUY_FIELD} string, {TIME_FIELD} string")
+    bad = {r.check: r.n_bad for r in quality_report(df, ["series"]).collect()}
+    assert bad["missing_selling_price"] == 1 and bad["missing_buying_price"] == 1 and bad["missing_dates"] == 0

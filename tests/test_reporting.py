@@ -112,3 +112,13 @@ def test_indicator_panel(spark):
     panel = indicator_panel(add_indicators(prices(spark, range(1, 31)), KEY, blocks=None), KEY)
     assert {r.rsi_state for r in panel.collect()} == {None, "overbought"}
     assert "volume" not in panel.columns and "bb_upper" in panel.columns
+
+
+def test_histogram_counts_what_is_not_finite_apart(spark):
+    from tidemark.operators.reporting import histogram
+
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([("a", 0.0), ("a", 10.0), ("a", nan), ("a", -inf), ("b", inf), ("c", 1.0)], "series string, v double")
+    got = {(r.series, r.bin): (r.lower, r.upper, r.n) for r in histogram(df, "v", 2, ["series"]).collect()}
+    assert got == {("a", 0): (0.0, 5.0, 1), ("a", 1): (5.0, 10.0, 1), ("a", None): (None, None, 2), ("b", None): (None, None, 1),
+                   ("c", 0): (0.5, 1.0, 0), ("c", 1): (1.0, 1.5, 1)}

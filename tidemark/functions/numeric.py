@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,9 +33,23 @@ def correlation(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
 
 
+def key_join(
+    df: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "inner", exact: Sequence[str] = ()
+) -> DataFrame:
+    """Join on `keys`, where NULL equals NULL, and on `exact`; the key columns are those of `df`."""
+    names = {k: f"__key_{k}" for k in (*keys, *exact)}
+    other = table.select(*[F.col(k).alias(n) for k, n in names.items()], *[c for c in table.columns if c not in names])
+    same = [F.col(k).eqNullSafe(F.col(names[k])) for k in keys] + [F.col(k) == F.col(names[k]) for k in exact]
+    joined = df.join(other, reduce(Column.__and__, same), how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*names.values())
+
+
 def attach(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add the columns of a one-row-per-key table to every row of `df`.
 
+    No row is lost: NULL keys find NULL keys, and a row without a match gets NULLs, which
+    the caller has to deal with.
+
     With keys, `table` is computed and stored first, so the planner knows its real
     size: below the broadcast threshold `df` is not shuffled at all, above it the
     join is shuffled and the adaptive planner splits hot keys. (Planned in one go,
@@ -43,7 +58,7 @@ def attach(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     and is read as a scalar subquery.
     """
     if keys:
-        return df.join(stored(table, "lookup"), list(keys))
+        return key_join(df, stored(table, "lookup"), keys, "left")
     row = table.select(F.struct(*table.columns).alias("row")).scalar()
     return df.select("*", row.alias("__row")).select(
         *df.columns, *[F.col("__row")[c].alias(c) for c in table.columns]

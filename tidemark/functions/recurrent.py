@@ -61,9 +61,9 @@ def encode_driven(drive: np.ndarray, layers: tuple[tuple[np.ndarray, np.ndarray]
     return out
 
 
-def encode_windows(x: np.ndarray, spec: EncoderSpec) -> np.ndarray:
-    """(batch, length, features) -> (batch, hidden)."""
-    layers = layer_weights(spec, x.shape[2])
+def encode_windows(x: np.ndarray, spec: EncoderSpec, layers: list | None = None) -> np.ndarray:
+    """(batch, length, features) -> (batch, hidden); `layers` saves drawing the weights again."""
+    layers = layers or layer_weights(spec, x.shape[2])
     return np.concatenate(
         [encode_driven(x[i : i + BATCH].transpose(1, 0, 2) @ layers[0][0], layers) for i in range(0, len(x), BATCH)]
     )

@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.numeric import key_join
 from tidemark.session import stored
 
 BLOCK_ROWS = 250_000
@@ -50,13 +51,35 @@ Operator = Callable[[DataFrame, list[str]], DataFrame]
 
 
 def _position(df: DataFrame, order: str) -> Column:
-    """A numeric column that rises with `order`."""
+    """A numeric column that rises with `order`; floating numbers are halved, so no span overflows."""
     kind = df.schema[order].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(order).cast("timestamp"))
+    at = F.col(order)
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(at)
+    if isinstance(kind, T.TimestampNTZType):
+        # Counted from the clock reading itself: no zone, no lost or doubled hours.
+        seconds = F.unix_date(at.cast("date")).cast("long") * 86_400 + F.hour(at) * 3_600 + F.minute(at) * 60
+        return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), at) * 1_000_000).cast("long")
     if isinstance(kind, T.DateType):
-        return F.unix_date(F.col(order))
-    return F.col(order)
+        return F.unix_date(at)
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return at.cast("double") * 0.5
+    return at
+
+
+def _is_finite(df: DataFrame, order: str) -> Column:
+    at = F.col(order)
+    if not isinstance(df.schema[order].dataType, (T.DoubleType, T.FloatType)):
+        return F.lit(True)
+    return ~F.isnan(at) & (F.abs(at) < float("inf"))
+
+
+def _odd_place(df: DataFrame, order: str) -> Column:
+    """Cells of what has no place on a line: minus infinity first, infinity and NaN last."""
+    at, high = F.col(order), F.col("_slices")
+    if not isinstance(df.schema[order].dataType, (T.DoubleType, T.FloatType)):
+        return F.lit(None).cast("long")
+    return F.when(F.isnan(at), high + 1).when(at == float("inf"), high).when(at == float("-inf"), -1)
 
 
 @dataclass(frozen=True)
@@ -103,8 +126,10 @@ def _with_cells(df: DataFrame, keys: list[str], order: str, slices: Sequence[Dat
         names = _cell_names(depth)
         share = F.coalesce(F.try_divide((pos - F.col("_lo")).cast("double"), F.col("_width")), F.lit(0.0))
         place = F.least(F.floor(share * F.col("_slices")), F.col("_slices") - 1)
-        df = df.join(table, [*keys, *names], "left" if depth else "inner").select(
-            *columns, *names, F.coalesce(place, F.lit(0)).alias(f"_cell_{depth + 1}")
+        if not depth:
+            place = F.coalesce(_odd_place(df, order), place)
+        df = key_join(df, table, keys, "left", names).select(
+            *columns, *names, F.coalesce(place, F.lit(0)).cast("long").alias(f"_cell_{depth + 1}")
         )
     return df
 
@@ -146,15 +171,19 @@ def plan_blocks(
     keys = list(keys)
     if not keys:
         raise ValueError("name at least one key column; a single series needs a constant one")
-    pos = _position(df, order)
+    pos = F.when(_is_finite(df, order), _position(df, order))
     series = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_lo"), F.max(pos).alias("_hi"))
-    slices = [stored(_slices(series, keys, block_rows), "slices")]
+    slices, before = [stored(_slices(series, keys, block_rows), "slices")], None
     while True:
         names = _cell_names(len(slices))
         counts = stored(_count_cells(df, keys, order, slices), "counts")
         dense = _dense(counts, keys, block_rows)
-        if dense.isEmpty():
+        state = tuple(dense.agg(F.count(F.lit(1)), F.sum("_n"), F.sum((F.col("_hi") - F.col("_lo")).cast("double"))).first())
+        if not state[0]:
             break
+        if state == before:
+            raise RuntimeError(f"{order} cannot be cut into blocks of {block_rows} rows: {state[0]} spans stay whole")
+        before = state
         slices.append(stored(_slices(dense, [*keys, *names], block_rows, BURST_FINENESS), "slices"))
     cells = stored(_cells(counts, keys, names, halo, block_rows), "cells")
     return Layout(tuple(keys), order, halo, tuple(slices), cells)
@@ -177,7 +206,7 @@ def assign_blocks(
     if (list(layout.keys), layout.order) != (keys, order) or layout.halo < halo:
         raise ValueError(f"the layout is for {layout.keys}, {layout.order}, {layout.halo} rows back")
     names = _cell_names(len(layout.slices))
-    placed = _with_cells(df, keys, order, layout.slices).join(layout.cells, [*keys, *names])
+    placed = key_join(_with_cells(df, keys, order, layout.slices), layout.cells, keys, exact=names)
     near = F.filter("_later", lambda b: b["distance"] <= halo)
     targets = F.concat(F.array(F.col("_own")), F.transform(near, lambda b: b["block"]))
     spread = placed.select("*", F.explode(targets).alias(BLOCK))

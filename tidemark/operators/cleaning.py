@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import attach, null_if_nan
+from tidemark.functions.numeric import attach, key_join, null_if_nan
 from tidemark.operators.blocks import BLOCK, BLOCK_ROWS, HALO, START, Blocks, assign_blocks, earlier_blocks
 from tidemark.operators.quantiles import ACCURACY, approx_quantiles, exact_quantiles
 from tidemark.schemas import BUY_FIELD, SELL_FIELD, TIME_FIELD
@@ -152,7 +152,7 @@ def fill_missing(
         *[F.first(f"_first_{c}", ignorenulls=True).over(every).alias(f"_opening_{c}") for c in columns],
     )
     filled = {c: F.coalesce(forward[c], F.col(f"_before_{c}"), F.col(f"_opening_{c}")) for c in columns}
-    joined = blocked.join(carries, [*keys, BLOCK]).withColumns(filled)
+    joined = key_join(blocked, carries, keys, exact=[BLOCK]).withColumns(filled)
     return joined.select(*df.columns).dropna(subset=columns)
 
 
@@ -169,13 +169,13 @@ def price_summary(df: DataFrame, keys: Sequence[str], ts: str = "ts") -> DataFra
 
 def _missing(c: str) -> Column:
     text = F.col(c).cast("string")
-    return text.isNull() | (text == "")
+    return text.isNull() | text.isin("", "0")
 
 
 def quality_report(records: DataFrame, keys: Sequence[str], min_rows: int = 60, threshold: float = 3.0) -> DataFrame:
     """(keys, check, n_bad, passed) for text records.
 
-    Missing means absent, NULL or empty text. Outliers are looked for
+    Missing means absent, NULL, empty text or the number 0 as it is read from JSON. Outliers are looked for
     among selling prices written with digits only.
     """
     digits = F.when(F.col(SELL_FIELD).rlike("^[0-9]+$"), F.col(SELL_FIELD).cast("double"))
@@ -221,9 +221,9 @@ def zscore_outliers(
 def require_min_rows(df: DataFrame, keys: Sequence[str], n: int) -> tuple[DataFrame, DataFrame]:
     """(rows of series with at least n rows, one reject row per shorter series)."""
     lengths = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-    long_enough = lengths.filter(F.col("n_rows") >= n).withColumnRenamed("n_rows", "_n")
-    kept = attach(df, long_enough, keys).drop("_n") if keys else df.filter(
-        F.coalesce(long_enough.select("_n").scalar(), F.lit(0)) >= n
+    sizes = lengths.withColumnRenamed("n_rows", "_n")
+    kept = attach(df, sizes, keys).filter(F.col("_n") >= n) if keys else df.filter(
+        F.coalesce(sizes.select("_n").scalar(), F.lit(0)) >= n
     )
     return kept.select(*df.columns), lengths.filter(F.col("n_rows") < n)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import ratio
 from tidemark.functions.rolling import diff, pct_change, rolling_mean, rolling_std
-from tidemark.operators.blocks import BLOCK_ROWS, Blocks, in_blocks
+from tidemark.operators.blocks import BLOCK_ROWS, Blocks, Operator, in_blocks
 from tidemark.schemas import FEATURES
 
 LAGS = (1, 3, 7)
@@ -175,7 +175,7 @@ def _ema_chunk(alpha: float) -> int:
 
 
 def _ema(part: DataFrame, by: Sequence[str], ts: str, column: str, n: int, name: str) -> DataFrame:
-    """e = a*x + (1-a)*e, starting from the first value.
+    """e = a*x + (1-a)*e, starting from the first value; a NULL moves nothing and gets NULL.
 
     Rows are numbered in chunks long enough for the state two chunks back to vanish in
     rounding. Inside a chunk the recurrence is a running sum of x scaled by
@@ -186,16 +186,27 @@ def _ema(part: DataFrame, by: Sequence[str], ts: str, column: str, n: int, name:
     size = _ema_chunk(alpha)
     w = series_window(by, ts)
     columns = part.columns
-    part = part.withColumn("_i", F.row_number().over(w) - 1)
+    part = part.withColumn("_i", F.count(column).over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1)
     part = part.withColumns({"_chunk": F.floor(F.col("_i") / size), "_j": F.col("_i") % size})
     weight = F.when(F.col("_i") == 0, 1.0).otherwise(alpha)
     in_chunk = Window.partitionBy(*by, "_chunk").orderBy(ts)
     scaled = F.sum(F.col(column) * weight * F.pow(F.lit(keep), -F.col("_j"))).over(in_chunk)
     part = part.withColumn("_local", scaled * F.pow(F.lit(keep), F.col("_j")))
-    ends = F.last(F.when(F.col("_j") == size - 1, F.col("_local")), ignorenulls=True)
+    known = F.col(column).isNotNull()
+    ends = F.last(F.when(known & (F.col("_j") == size - 1), F.col("_local")), ignorenulls=True)
     ends = ends.over(w.rowsBetween(Window.unboundedPreceding, -1))
     carried = F.coalesce(ends * F.pow(F.lit(keep), F.col("_j") + 1), F.lit(0.0))
-    return part.select(*columns, (F.col("_local") + carried).alias(name))
+    return part.select(*columns, F.when(known, F.col("_local") + carried).alias(name))
+
+
+def _over_known(
+    df: DataFrame, run: Operator, made: Sequence[str], keys: Sequence[str], ts: str, column: str, halo: int, blocks: Blocks
+) -> DataFrame:
+    """Run an average in blocks over the rows with a value, so that the halo holds values only."""
+    if blocks is None:
+        return run(df, list(keys))
+    averaged = in_blocks(df.filter(F.col(column).isNotNull()), run, keys, ts, halo, blocks)
+    return averaged.unionByName(df.filter(F.col(column).isNull()).withColumns({c: F.lit(None).cast("double") for c in made}))
 
 
 def ema(
@@ -210,7 +221,7 @@ def ema(
         return part
 
     halo = max(_ema_chunk(2.0 / (n + 1)) for n in periods)
-    return in_blocks(df, run, keys, ts, halo, blocks)
+    return _over_known(df, run, [f"ema_{n}" for n in periods], keys, ts, column, halo, blocks)
 
 
 def macd(
@@ -227,13 +238,16 @@ def macd(
         return part.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
 
     halo = sum(_ema_chunk(2.0 / (n + 1)) for n in (max(fast, slow), signal))
-    return in_blocks(df, run, keys, ts, halo, blocks)
+    return _over_known(df, run, ["macd", "macd_signal", "macd_histogram"], keys, ts, column, halo, blocks)
 
 
-def with_lookback(df: DataFrame, ts: str, since: str, lookback_days: int) -> DataFrame:
-    """Rows from `lookback_days` before `since` on: enough history to compute a recent slice.
+def with_lookback(df: DataFrame, keys: Sequence[str], ts: str, since: str, rows: int = INDICATOR_HALO) -> DataFrame:
+    """Rows from `since` on and each series' last `rows` rows before: all a recent slice looks at.
 
-    The bound is a plain comparison, so it reaches the Parquet scan.
+    The recent part is a plain comparison, which reaches the Parquet scan; of the rest, no
+    more than `rows` rows per series and task pass the rank limit.
     """
-    start = F.lit(since).cast(df.schema[ts].dataType) - F.make_dt_interval(F.lit(lookback_days))
-    return df.filter(F.col(ts) >= start)
+    start = F.lit(since).cast(df.schema[ts].dataType)
+    newest = Window.partitionBy(*keys).orderBy(F.col(ts).desc())
+    before = df.filter(F.col(ts) < start).withColumn("_back", F.row_number().over(newest))
+    return df.filter(F.col(ts) >= start).unionByName(before.filter(F.col("_back") <= rows).drop("_back"))

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import recurrent
 from tidemark.functions.recurrent import BATCH, EncoderSpec, encode_driven, encode_windows, layer_weights
+from tidemark.functions.numeric import key_join
 from tidemark.operators.blocks import BLOCK, HALO, START, Blocks, assign_blocks
 from tidemark.operators.metrics import regression_metrics
 from tidemark.operators.scaling import inverse_price
@@ -152,12 +153,14 @@ def forecast(windows: DataFrame, forecaster: Forecaster, keys: Sequence[str], ho
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        layers = None
         for batch in batches:
             for i in range(0, len(batch), BATCH):
                 part = batch.iloc[i : i + BATCH]
                 x = np.stack(part["x"].to_numpy()).reshape(len(part), -1, len(features))
+                layers = layers or layer_weights(spec, len(features))
                 for step in range(1, horizon + 1):
-                    y = encode_windows(x, spec) @ coefficients + intercept
+                    y = encode_windows(x, spec, layers) @ coefficients + intercept
                     newest = x[:, -1:, :].copy()
                     newest[:, 0, price] = y
                     x = np.concatenate([x[:, 1:, :], newest], axis=1)
@@ -190,7 +193,7 @@ def sweep(
     for step, trial in enumerate(trials, 1):
         encoded = encode_series(scaled, keys, "ts", trial.spec, features, "selling_price", length, blocks)
         # The fit and both scorings read the encodings; encode once.
-        encoded = stored(encoded.join(splits, [*keys, "target_ts"]), "encoded")
+        encoded = stored(key_join(encoded, splits, keys, exact=["target_ts"]), "encoded")
         fitted = fit_forecaster(encoded.filter(F.col("split") == "train"), trial.spec, scaler, trial.reg, features, length, trial.name)
         scored = predict(encoded.filter(F.col("split") == "val"), fitted, keys)
         metrics = regression_metrics(scored, ("model",), "ts", None) if not keys else regression_metrics(scored, ("model", *keys), "ts", blocks)

@@ -8,7 +8,7 @@ from math import sqrt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import correlation, inf, ratio
+from tidemark.functions.numeric import correlation, inf, key_join, ratio
 from tidemark.operators.blocks import BLOCK, BLOCK_ROWS, HALO, START, Blocks, assign_blocks, earlier_blocks
 from tidemark.schemas import DIAGNOSTIC_METRICS, REGRESSION_METRICS, TRADING_METRICS
 
@@ -128,7 +128,7 @@ def _with_equity(rows: DataFrame, group: Sequence[str], ts: str, blocks: Blocks)
             "_peak", F.col("_scale") * F.when(F.col("_scale") >= 0, F.col("_high")).otherwise(F.col("_low"))
         )
         carry = peaks.select(*by, "_scale", F.max("_peak").over(earlier).alias("_peak_before"))
-        rows = rows.join(carry, by).withColumn("cumulative_return", F.col("cumulative_return") * F.col("_scale"))
+        rows = key_join(rows, carry, group, exact=[BLOCK]).withColumn("cumulative_return", F.col("cumulative_return") * F.col("_scale"))
     else:
         rows = rows.withColumn("_peak_before", F.lit(None).cast("double"))
     peak = F.greatest(F.max("cumulative_return").over(so_far), F.col("_peak_before"))

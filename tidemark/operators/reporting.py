@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.normal import with_normal_quantile
-from tidemark.functions.numeric import attach, correlation
+from tidemark.functions.numeric import attach, correlation, key_join
 from tidemark.operators.blocks import BLOCK, BLOCK_ROWS, Blocks, assign_blocks, earlier_blocks
 from tidemark.schemas import REGRESSION_PANEL, SUMMARY_ORDER, TRADING_PANEL
 from tidemark.session import stored
@@ -67,25 +67,32 @@ def residual_table(df: DataFrame, group: Sequence[str], ts: str = "ts") -> DataF
 def histogram(df: DataFrame, column: str, bins: int = 50, keys: Sequence[str] = ()) -> DataFrame:
     """(keys, bin, lower, upper, n): equal-width bins, the last one closed on the right, empty ones kept.
 
-    A constant column gets a range of one around its value.
+    A constant column gets a range of one around its value. Numbers that are not finite
+    have no place in a range: where a key has any, they are counted in a row with NULL bin.
     """
     keys = list(keys)
-    values = df.select(*keys, F.col(column).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    given = df.select(*keys, F.col(column).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    finite = ~F.isnan("_v") & (F.abs("_v") < float("inf"))
+    odd = given.filter(~finite).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 0")
+    none = F.lit(None).cast("double")
+    odd = odd.select(*keys, F.lit(None).cast("int").alias("bin"), none.alias("lower"), none.alias("upper"), "n")
+    values = given.filter(finite)
     span = values.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     flat = F.when(F.col("_lo") == F.col("_hi"), 0.5).otherwise(0.0)
     span = span.select(*keys, (F.col("_lo") - flat).alias("_lo"), (F.col("_hi") + flat).alias("_hi"))
+    span = stored(span.filter("_lo IS NOT NULL"), "span")
     place = F.floor((F.col("_v") - F.col("_lo")) * bins / (F.col("_hi") - F.col("_lo")))
     placed = attach(values, span, keys).select(*keys, F.least(place, F.lit(bins - 1)).cast("int").alias("bin"))
     counts = placed.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("_n"))
     width = (F.col("_hi") - F.col("_lo")) / bins
     frame = span.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    return frame.join(counts, [*keys, "bin"], "left").select(
+    return key_join(frame, counts, keys, "left", ["bin"]).select(
         *keys,
         "bin",
         (F.col("_lo") + F.col("bin") * width).alias("lower"),
         F.when(F.col("bin") == bins - 1, F.col("_hi")).otherwise(F.col("_lo") + (F.col("bin") + 1) * width).alias("upper"),
         F.coalesce("_n", F.lit(0)).alias("n"),
-    )
+    ).union(odd)
 
 
 def _median_position(i: Column, n: Column) -> Column:
@@ -112,7 +119,7 @@ def qq_points(df: DataFrame, column: str, keys: Sequence[str], blocks: Blocks =
     if blocks is not None:
         ends = blocked.groupBy(*keys, BLOCK).agg(F.sum("_copies").alias("_sum"))
         before = ends.select(*keys, BLOCK, F.coalesce(F.sum("_sum").over(earlier_blocks(keys)), F.lit(0)).alias("_before"))
-        ranked = ranked.join(before, [*keys, BLOCK]).withColumn("_rank", F.col("_rank") + F.col("_before"))
+        ranked = key_join(ranked, before, keys, exact=[BLOCK]).withColumn("_rank", F.col("_rank") + F.col("_before"))
     sizes = counted.groupBy(*keys).agg(F.sum("_copies").alias("_n"))
     chunks = attach(ranked, sizes, keys).select(
         *keys, "ordered", "_rank", "_copies", "_n",

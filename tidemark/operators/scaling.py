@@ -59,7 +59,10 @@ def _wide(scaler: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def apply_scaler(df: DataFrame, scaler: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(x - center) / scale for the fitted columns that `df` has; a constant column becomes 0."""
+    """(x - center) / scale for the fitted columns that `df` has; a constant column becomes 0.
+
+    Rows of series that the scaler does not know stay in, unscaled.
+    """
     features = [c for c in (columns or FEATURES) if c in df.columns]
     joined = attach(df, _wide(scaler, features), scaler_keys(scaler))
 
@@ -81,6 +84,6 @@ def inverse_price(
     keys = scaler_keys(scaler)
     one = scaler.filter(F.col("feature") == feature).select(*keys, F.col("center").alias("_c"), F.col("scale").alias("_s"))
     joined = attach(df, one, keys)
-    return joined.select(
-        *[(F.col(c) * F.col("_s") + F.col("_c")).alias(c) if c in columns else F.col(c) for c in df.columns]
-    )
+    # As in apply_scaler, rows whose series has no scaler stay as they are.
+    priced = lambda c: F.when(F.col("_s").isNull(), F.col(c)).otherwise(F.col(c) * F.col("_s") + F.col("_c"))
+    return joined.select(*[priced(c).alias(c) if c in columns else F.col(c) for c in df.columns])

@@ -17,6 +17,7 @@ from tidemark.operators.features import (
     rsi_sma,
     with_lookback,
 )
+from tidemark.operators.blocks import row_numbers
 from tidemark.operators.reporting import indicator_panel
 from tidemark.operators.scaling import apply_scaler, fit_scaler, inverse_price, minmax_columns
 from tidemark.operators.sequences import (
@@ -254,6 +255,39 @@ def _ema(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(made.drop("selling_price"), {4: ["ema_12", "ema_26"]})
 
 
+# Every seventh price is unknown, and the first five.
+_GAPS = "CASE WHEN i > 5 AND i % 7 <> 0 THEN selling_price END"
+
+
+def _gaps_sql(source: str) -> str:
+    return f"""WITH RECURSIVE g AS MATERIALIZED (SELECT series, ts, {_GAPS} AS selling_price FROM
+          (SELECT *, row_number() OVER (PARTITION BY series ORDER BY ts) AS i FROM ({source}))),
+        {_numbered("SELECT * FROM g WHERE selling_price IS NOT NULL")}, {_ema_sql("e12", "x", "selling_price", 12)}, {_ema_sql("e26", "x", "selling_price", 26)},
+        m AS MATERIALIZED (SELECT series, i, e12.e - e26.e AS macd FROM e12 JOIN e26 USING (series, i)), {_ema_sql("s9", "m", "macd", 9)}
+        SELECT g.series, g.ts, {sql_round("e12.e", 4, "ema_12")}, {sql_round("macd", 4, "macd")}, {sql_round("s9.e", 4, "macd_signal")}
+        FROM g LEFT JOIN x USING (series, ts) LEFT JOIN e12 USING (series, i) LEFT JOIN m USING (series, i) LEFT JOIN s9 USING (series, i)"""
+
+
+def _with_gaps(prices: DataFrame, blocks: int | None) -> DataFrame:
+    gaps = row_numbers(prices.select("series", "ts", "selling_price"), KEY, "ts", "i", blocks)
+    known = F.when((F.col("i") + 1 > 5) & ((F.col("i") + 1) % 7 != 0), F.col("selling_price"))
+    gaps = stored(gaps.select("series", "ts", known.alias("selling_price")))
+    made = ema(macd(gaps, KEY, "ts", "selling_price", blocks=blocks), KEY, "ts", "selling_price", (12,), blocks)
+    places = ["ema_12", "macd", "macd_signal"]
+    return rounded(made.select("series", "ts", *places), {4: places})
+
+
+@query("averages_with_gaps", _gaps_sql(PRICES_LINEITEM))
+def _gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Averages of a series with unknown prices, also at its start."""
+    return _with_gaps(prices_lineitem(spark, folder), None)
+
+
+@query("averages_with_gaps_blocks", _gaps_sql(TICKS_EVENTS))
+def _gaps_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    return _with_gaps(ticks_events(spark, folder), BLOCK)
+
+
 _MACD = ["macd", "macd_signal", "macd_histogram"]
 
 
@@ -296,8 +330,8 @@ def _panel(spark: SparkSession, folder: str) -> DataFrame:
     indicators_sql(PRICES_LINEITEM) + f"SELECT {_select(PLACES, _ALL)} FROM features WHERE ts >= TIMESTAMP '2001-01-01'",
 )
 def _recent(spark: SparkSession, folder: str) -> DataFrame:
-    """Indicators of one year: the scan is cut to that year and the history it needs."""
-    prices = with_lookback(prices_lineitem(spark, folder), "ts", "2001-01-01", 120)
+    """Indicators of one year, from that year's rows and the rows just before it."""
+    prices = with_lookback(prices_lineitem(spark, folder), KEY, "ts", "2001-01-01")
     made = add_indicators(prices, KEY, blocks=None).filter(F.col("ts") >= F.lit("2001-01-01").cast("timestamp_ntz"))
     return rounded(made, PLACES)
 
@@ -345,11 +379,52 @@ def _apply_global(spark: SparkSession, folder: str) -> DataFrame:
 @query("inverse_price", f"SELECT {rounding({4: ['selling_price']}, ['series', 'ts', 'selling_price'])} FROM ({TICKS_LINEITEM})")
 def _inverse(spark: SparkSession, folder: str) -> DataFrame:
     ticks = ticks_lineitem(spark, folder).select("series", "ts", "selling_price")
-    scaler = fit_scaler(ticks, KEY, ["selling_price"])
+    scaler = stored(fit_scaler(ticks, KEY, ["selling_price"]))
     scaled = apply_scaler(ticks, scaler, ["selling_price"])
     return rounded(inverse_price(scaled, "selling_price", scaler), {4: ["selling_price"]})
 
 
+@query(
+    "scaler_of_some_series",
+    f"""WITH t AS (SELECT series, ts, selling_price AS x FROM ({PRICES_LINEITEM})), s AS (SELECT series, avg(x) AS m, stddev_pop(x) AS d FROM t WHERE series <> 'N' GROUP BY series)
+        SELECT series, ts, {sql_round("CASE WHEN m IS NULL THEN x ELSE (x - m) / d END", 4, "scaled")}, {sql_round("x", 4, "back")} FROM t LEFT JOIN s USING (series)""",
+)
+def _some_series(spark: SparkSession, folder: str) -> DataFrame:
+    """A scaler fitted on some series and applied to all: rows of the others stay, unscaled."""
+    prices = prices_lineitem(spark, folder).select("series", "ts", "selling_price")
+    scaler = stored(fit_scaler(prices.filter("series <> 'N'"), KEY, ["selling_price"], "zscore"))
+    scaled = apply_scaler(prices, scaler, ["selling_price"])
+    both = scaled.withColumn("scaled", F.col("selling_price"))
+    back = inverse_price(both, "selling_price", scaler).withColumnRenamed("selling_price", "back")
+    return rounded(back.select("series", "ts", "scaled", "back"), {4: ["scaled", "back"]})
+
+
+def _method_sql(method: str, where: str) -> str:
+    center, scale = {"minmax": ("min(x)", "max(x) - min(x)"), "zscore": ("avg(x)", "stddev_pop(x)")}[method]
+    parts = " UNION ALL ".join(f"SELECT series, '{c}' AS feature, {c} AS x, split FROM p" for c in _FIT[:3])
+    return f"""WITH p AS (SELECT t.*, s.split FROM ({PRICES_LINEITEM}) t JOIN ({_split_sql(PRICES_LINEITEM)}) s USING (series, ts))
+        SELECT series, feature, '{method}' AS method, {sql_round(center, 4, "center")}, {sql_round(scale, 4, "scale")} FROM ({parts}) WHERE {where} GROUP BY series, feature"""
+
+
+def _split_sql(source: str) -> str:
+    return f"""SELECT series, ts, i AS seq_no,
+        CASE WHEN i < n - CAST(floor(n * CAST(0.1 AS DOUBLE)) AS BIGINT) - CAST(floor(n * CAST(0.2 AS DOUBLE)) AS BIGINT) THEN 'train'
+             WHEN i < n - CAST(floor(n * CAST(0.1 AS DOUBLE)) AS BIGINT) THEN 'val' ELSE 'test' END AS split
+        FROM (SELECT series, ts, row_number() OVER (PARTITION BY series ORDER BY ts) - 1 AS i, count(*) OVER (PARTITION BY series) AS n FROM ({source}))"""
+
+
+def _fit_by(method: str, fit_on: str):
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        split = chronological_split(prices_lineitem(spark, folder), KEY, "ts", blocks=None)
+        return rounded(fit_scaler(split, KEY, _FIT[:3], method, fit_on=fit_on), {4: ["center", "scale"]})
+
+    return run
+
+
+query("fit_scaler_minmax", _method_sql("minmax", "true"))(_fit_by("minmax", "all"))
+query("fit_scaler_zscore", _method_sql("zscore", "true"))(_fit_by("zscore", "all"))
+query("fit_scaler_train_only", _method_sql("zscore", "split = 'train'"))(_fit_by("zscore", "train"))
+
 _SEQ = ("selling_price", "buying_price", "spread")
 
 
@@ -382,13 +457,6 @@ def _sequences_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return _described(make_sequences(ticks_events(spark, folder), KEY, "ts", _SEQ, "selling_price", 20, BLOCK))
 
 
-def _split_sql(source: str) -> str:
-    return f"""SELECT series, ts, i AS seq_no,
-        CASE WHEN i < n - CAST(floor(n * CAST(0.1 AS DOUBLE)) AS BIGINT) - CAST(floor(n * CAST(0.2 AS DOUBLE)) AS BIGINT) THEN 'train'
-             WHEN i < n - CAST(floor(n * CAST(0.1 AS DOUBLE)) AS BIGINT) THEN 'val' ELSE 'test' END AS split
-        FROM (SELECT series, ts, row_number() OVER (PARTITION BY series ORDER BY ts) - 1 AS i, count(*) OVER (PARTITION BY series) AS n FROM ({source}))"""
-
-
 @query("chronological_split", _split_sql(TICKS_EVENTS))
 def _split(spark: SparkSession, folder: str) -> DataFrame:
     return chronological_split(ticks_events(spark, folder).select("series", "ts"), KEY, "ts", blocks=BLOCK)

@@ -68,10 +68,10 @@ def latest_snapshot(
 ) -> DataFrame:
     """The newest payload per key, if it is younger than `max_age_s`.
 
-    `stale_ok` keeps older ones too (the fallback when nothing newer arrived); `is_fresh` tells.
+    Of payloads that arrived together the one of the last `source` counts. `stale_ok` keeps older ones too (the fallback when nothing newer arrived); `is_fresh` tells.
     """
     now = F.current_timestamp() if now is None else now
-    newest = Window.partitionBy(*keys).orderBy(F.col("ingest_ts").desc())
+    newest = Window.partitionBy(*keys).orderBy(F.col("ingest_ts").desc(), *([F.col("source").desc()] if "source" in df.columns else []))
     latest = df.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") == 1).drop("_rank")
     age = F.make_dt_interval(secs=F.lit(max_age_s))
     marked = latest.withColumn("is_fresh", F.col("ingest_ts") > now - age)
