@@ -6,9 +6,14 @@ of similarity 0.85 agree in a band with probability 0.85**6, and miss all 30 ban
 probability below 1e-6.
 
 Buckets are never expanded into pairs. Equal sets are one node. In each bucket the nodes
-are compared with the bucket's least and greatest node; nodes that are linked already,
-through any bucket, are not compared again. What then still meets in a bucket without
-being in one component is compared directly, so no link that a bucket shows is lost.
+are compared with one pivot, the node that meets most others in all its buckets; nodes
+that are linked already are not compared again. Let p be a pivot and x, y linked nodes of
+its buckets, still in different components. x and y have at least 85/185 of their sizes'
+sum in common, and at most min(|x & p|, |y & p|) of it lies in p, so the rest, if any, are
+extras: shingles outside p. Extras are ordered by rarity, and as in prefix filtering each
+node is indexed under as many of its rarest extras as must meet one of its partners'.
+Copies that were edited independently have their extras for themselves, so that a large
+group of copies costs no more than its shingles, and no link is lost.
 """
 
 from __future__ import annotations
@@ -19,12 +24,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import text
 from tidemark.llm.components import components
-from tidemark.llm.text import text_key
+from tidemark.llm.text import text_key, with_rows
 from tidemark.session import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -114,8 +119,15 @@ def signatures(docs: DataFrame, bands: int = BANDS, k: int = SHINGLE) -> DataFra
     return rows.mapInArrow(run, SIGNATURE)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int, k: int = SHINGLE) -> DataFrame:
-    """Those pairs (a, b) whose full shingle sets are similar enough."""
+# Pairs whose sets are compared at once.
+PAIRS = 500
+
+
+def compared(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, k: int = SHINGLE) -> DataFrame:
+    """(a, b, common, size_a, size_b, extras) of pairs (a, b) of nodes, from their full sets.
+
+    `extras` are the shingles of b that a lacks.
+    """
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     named = nodes.join(wanted, "node").select("node", F.col("text_key").alias("_key"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
@@ -128,17 +140,26 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int,
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(shingle_sets(batch.column("text_a"), k), shingle_sets(batch.column("text_b"), k)):
-                same = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * same >= percent * (len(x) + len(y) - same))
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"]
-            )
+        for whole in batches:
+            for batch in (whole.slice(i, PAIRS) for i in range(0, whole.num_rows, PAIRS)):
+                sizes, extras = [], []
+                for x, y in zip(shingle_sets(batch.column("text_a"), k), shingle_sets(batch.column("text_b"), k)):
+                    new = np.setdiff1d(y, x, assume_unique=True)
+                    sizes.append((len(y) - len(new), len(x), len(y)))
+                    extras.append(new.view(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("a"), batch.column("b"), *(pa.array(c, pa.int64()) for c in zip(*sizes)), pa.array(extras, pa.list_(pa.int64()))],
+                    names=["a", "b", "common", "size_a", "size_b", "extras"],
+                )
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    schema = "a long, b long, common long, size_a long, size_b long, extras array<long>"
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, schema)
+
+
+def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int, k: int = SHINGLE) -> DataFrame:
+    """Those pairs (a, b) whose full shingle sets are similar enough."""
+    union = F.col("size_a") + F.col("size_b") - F.col("common")
+    return compared(pairs, docs, nodes, k).filter(100 * F.col("common") >= percent * union).select("a", "b")
 
 
 def near_components(
@@ -165,28 +186,28 @@ def near_components(
     several = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("_z")).filter("a < _z")
     edges = members.join(several, "doc_id").select("a", F.col("node").alias("b"))
 
-    placed = nodes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
-    pivots = placed.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
-    # Only rows of buckets with more than one node go on.
-    shared = stored(placed.join(pivots, "bucket"), "near-buckets")
-    pair = F.explode(F.array(F.struct(F.col("low").alias("p")), F.struct(F.col("high").alias("p"))))
-    close = shared.select("node", pair.alias("x")).select("node", "x.p").filter("node <> p")
+    placed = nodes.select("node", F.explode("bands").alias("bucket"))
+    sizes = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    # Only nodes of buckets with others go on.
+    shared = stored(placed.join(sizes, "bucket"), "near-buckets")
+    met = shared.groupBy("node").agg(F.sum("_n").alias("met"))
+    chosen = shared.join(met, "node").groupBy("bucket").agg(F.max(F.struct("met", (-F.col("node")).alias("node"))).alias("p"))
+    pivots = stored(chosen.select("bucket", (-F.col("p.node")).alias("a")), "near-pivots")
     tried = stored(
-        close.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("hits")),
+        shared.join(pivots, "bucket").filter("node <> a").groupBy("a", F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("hits")),
         "near-pairs",
     )
-    # First the likeliest pivot of each node, then whatever is still apart.
+    # First the likeliest pivot of each node, then those that are apart still.
     best = Window.partitionBy("b").orderBy(F.desc("hits"), "a")
-    first = tried.withColumn("_n", F.row_number().over(best)).filter("_n = 1").select("a", "b")
+    first = stored(tried.withColumn("_n", F.row_number().over(best)).filter("_n = 1").select("a", "b"), "near-first")
     found = stored(edges.union(verified(first, docs, nodes, percent, k)), "near-links")
     labels = stored(components(found), "near-labels")
     rest = stored(_apart(tried.select("a", "b").join(first, ["a", "b"], "left_anti"), labels), "near-rest")
     found = stored(found.union(verified(rest, docs, nodes, percent, k)), "near-links")
     labels = stored(components(found), "near-labels")
-    # Last, nodes that share a bucket and are in different components still.
-    last = stored(_last_pairs(shared, labels, tried, percent), "near-last")
-    found = found.union(verified(last, docs, nodes, percent, k))
-    labels = stored(components(found), "near-labels")
+    # Last, nodes of one pivot that are in different components still.
+    last = stored(_last_pairs(tried, labels, docs, nodes, percent, k), "near-last")
+    labels = stored(components(found.union(verified(last, docs, nodes, percent, k))), "near-labels")
 
     named = members.join(labels, "node", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "node")).alias("component_id"))
     return (
@@ -203,18 +224,47 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return named.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
 
 
-def _last_pairs(shared: DataFrame, labels: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket in different components, of sizes that allow a link, not tried yet."""
-    named = shared.join(labels, "node", "left").withColumn("c", F.coalesce("component", "node"))
-    mixed = named.groupBy("bucket").agg(F.min("c").alias("_lo"), F.max("c").alias("_hi")).filter("_lo < _hi").select("bucket")
-    inside = stored(named.join(mixed, "bucket").select("bucket", "node", "n", "c"), "near-mixed")
-    x = inside.select("bucket", F.col("node").alias("a"), F.col("n").alias("_n"), F.col("c").alias("_c"))
-    y = inside.select("bucket", F.col("node").alias("b"), "n", "c")
-    both = x.join(y, "bucket").filter(
-        (F.col("a") < F.col("b")) & (F.col("_c") != F.col("c"))
-        & (100 * F.least("_n", "n") >= percent * F.greatest("_n", "n"))
+def _last_pairs(tried: DataFrame, labels: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int, k: int) -> DataFrame:
+    """All pairs (a, b) that may be linked, among the nodes of one pivot, in different components."""
+    named = tried.select("a", "b").join(labels.withColumnRenamed("node", "b"), "b", "left").select("a", "b", F.coalesce("component", "b").alias("c"))
+    mixed = named.groupBy("a").agg(F.min("c").alias("_lo"), F.max("c").alias("_hi")).filter("_lo < _hi").select("a")
+    open_ = stored(named.join(mixed, "a"), "near-open")
+    sets = stored(compared(open_.select("a", "b"), docs, nodes, k), "near-extras")
+    least = sets.groupBy("a").agg(F.min("size_b").alias("least"))
+    rows = sets.join(least, "a").join(open_, ["a", "b"])
+    # Linked sets have percent / (100 + percent) of their sizes' sum in common.
+    needed = lambda x, y: percent * (x + y)
+    missing = F.ceil((needed(F.col("size_b"), F.col("least")) - (100 + percent) * F.col("common")) / (100 + percent))
+    rows = stored(rows.select("a", "b", "c", "size_b", "common", missing.alias("missing"), "extras"), "near-missing")
+
+    spread = rows.select("a", "b", "c", "size_b", "missing", F.size("extras").alias("_e"), F.explode("extras").alias("z"))
+    common = spread.groupBy("a", "z").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
+    # An extra of one node only is the rarest, and meets none; what is left of the prefix is indexed.
+    prefix = F.col("_e") - F.greatest("missing", F.lit(1)) + 1
+    held = spread.join(common, ["a", "z"])
+    rarest = Window.partitionBy("a", "b").orderBy("held", "z")
+    everyone = Window.partitionBy("a", "b")
+    indexed = stored(
+        held.withColumn("_rank", F.row_number().over(rarest) + F.col("_e") - F.count(F.lit(1)).over(everyone))
+        .filter(F.col("_rank") <= prefix).select("a", "z", "b", "c", "size_b"),
+        "near-prefixes",
     )
-    return both.select("a", "b").distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    # Nodes that can be linked within the pivot alone.
+    inner = stored(rows.filter("missing <= 0").select("a", "b", "c", "size_b", "common"), "near-inner")
+    return (
+        _meeting(indexed, ["a", "z"], percent)
+        .union(_meeting(inner, ["a"], percent, F.least("common", "_common"))).distinct()
+    )
+
+
+def _meeting(rows: DataFrame, key: list[str], percent: int, common: Column | None = None) -> DataFrame:
+    """Pairs (a, b) of nodes with one key, in different components, of sizes that allow a link."""
+    other = rows.select(*key, *[F.col(c).alias(f"_{c}") for c in rows.columns if c not in key])
+    small, large = F.least("size_b", "_size_b"), F.greatest("size_b", "_size_b")
+    test = (F.col("b") < F.col("_b")) & (F.col("c") != F.col("_c")) & (100 * small >= percent * large)
+    if common is not None:
+        test = test & ((100 + percent) * common >= percent * (small + large))
+    return rows.join(other, key).filter(test).select(F.col("b").alias("a"), F.col("_b").alias("b"))
 
 
 def one_per_component(docs: DataFrame, **options: object) -> DataFrame:
@@ -229,12 +279,11 @@ def one_per_component(docs: DataFrame, **options: object) -> DataFrame:
     chosen = named.withColumn("_n", F.row_number().over(one)).filter("_n = 1").select(
         F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")
     )
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    rows = docs.select(*columns, F.rlike(F.col("text"), F.lit(text.WORD)).alias("_worded"))
-    linked = F.coalesce(F.col("_worded"), F.lit(False)) & F.col("doc_id").isNotNull()
+    rows = with_rows(docs).withColumn("_worded", F.coalesce(F.rlike("text", F.lit(text.WORD)), F.lit(False)))
+    linked = F.col("_worded") & F.col("doc_id").isNotNull()
     stay = rows.filter(linked).join(
-        chosen, (F.col("doc_id") == F.col("_id")) & (text_key(F.col("text")) == F.col("_key")), "left_semi"
+        chosen, (F.col("doc_id") == F.col("_id")) & (F.col("text_key") == F.col("_key")), "left_semi"
     )
     copies = Window.partitionBy("doc_id").orderBy(F.lit(0))
-    stay = stay.withColumn("_n", F.row_number().over(copies)).filter("_n = 1").drop("_n")
-    return stay.union(rows.filter(~linked)).drop("_worded")
+    stay = stay.withColumn("_n", F.row_number().over(copies)).filter("_n = 1").select("row")
+    return stay.union(rows.filter(~linked).select("row")).select("row.*")
