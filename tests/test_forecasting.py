@@ -192,13 +192,17 @@ def test_sweep_ranks_settings(two):
     scaled = apply_scaler(two, fit_scaler(two, KEY, COLUMNS), COLUMNS)
     split = chronological_split(scaled, KEY, "ts", blocks=None)
     trials = [Trial("tiny", EncoderSpec(2, 1, 1)), Trial("larger", EncoderSpec(12, 2, 1))]
-    board, history = sweep(split, KEY, trials, features=COLUMNS, length=12, blocks=None)
-    assert {r.model for r in board.collect()} == {"tiny", "larger"}
+    done = sweep(split, KEY, trials, fit_scaler(two, KEY, COLUMNS), COLUMNS, 12, None)
+    board, history = done.leaderboard, done.history
+    assert sorted(r.model for r in board.collect()) == ["larger", "tiny"]
+    assert done.by_series.count() == 4
+    # Price units: the error is of the size of the prices' changes, not of scaled numbers.
+    assert all(r.rmse > 0.01 * two.agg(F.stddev("selling_price")).first()[0] for r in board.collect())
     best = best_model(board).first()
     assert best.r2 == max(r.r2 for r in board.collect())
     runs = {r.run_id: r for r in run_summary(history).collect()}
     assert runs["larger"].best_val_loss <= runs["tiny"].best_val_loss
-    assert runs["tiny"].total_steps == 1
+    assert runs["tiny"].total_steps == 4
 
 
 def test_whole_chain(spark, two):

@@ -10,6 +10,7 @@ import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -22,7 +23,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import recurrent
 from tidemark.functions.recurrent import BATCH, EncoderSpec, encode_driven, encode_windows, layer_weights
-from tidemark.functions.numeric import key_join
+from tidemark.functions.numeric import attach, key_join, ratio
 from tidemark.operators.blocks import BLOCK, HALO, START, Blocks, assign_blocks
 from tidemark.operators.metrics import regression_metrics
 from tidemark.operators.scaling import inverse_price
@@ -179,34 +180,60 @@ class Trial:
     reg: float = 1e-4
 
 
+@dataclass
+class Sweep:
+    """`leaderboard`: one row per trial over all series; `by_series`: one per trial and series;
+    `history`: the losses of each trial by growing share of its train rows."""
+
+    leaderboard: DataFrame
+    by_series: DataFrame
+    history: DataFrame
+
+
+SHARES = (0.25, 0.5, 0.75, 1.0)
+
+
 def sweep(
     scaled: DataFrame, keys: Sequence[str], trials: Sequence[Trial], scaler: DataFrame | None = None,
     features: Sequence[str] = FEATURES, length: int = 60, blocks: Blocks = ENCODE_BLOCK_ROWS,
-) -> tuple[DataFrame, DataFrame]:
-    """(leaderboard, history) over encoder and penalty settings.
+    shares: Sequence[float] = SHARES,
+) -> Sweep:
+    """Compare encoder and penalty settings, fitted on train and scored on val in price units.
 
-    `scaled` carries `split`; fitted on train, compared on val. Encoding, fit and scoring
-    of each trial are Spark jobs; the loop only submits them. Pass a stored table.
+    `scaled` carries `split` and `seq_no`. A trial is fitted on growing shares of each
+    series' oldest train rows; the last fit is the one that is scored. Encoding, fits and
+    scoring are Spark jobs; the loop only submits them. Pass a stored table.
     """
-    boards, runs = [], []
-    splits = scaled.select(*keys, F.col("ts").alias("target_ts"), "split")
-    for step, trial in enumerate(trials, 1):
+    boards, by_series, runs = [], [], []
+    n_train = scaled.filter("split = 'train'").groupBy(*keys).agg(F.max("seq_no").alias("_last"))
+    splits = attach(scaled.select(*keys, F.col("ts").alias("target_ts"), "split", "seq_no"), n_train, keys)
+    splits = splits.withColumn("_share", F.try_divide(F.col("seq_no"), F.col("_last"))).drop("_last", "seq_no")
+    for trial in trials:
         encoded = encode_series(scaled, keys, "ts", trial.spec, features, "selling_price", length, blocks)
-        # The fit and both scorings read the encodings; encode once.
+        # The fits and all scorings read the encodings; encode once.
         encoded = stored(key_join(encoded, splits, keys, exact=["target_ts"]), "encoded")
-        fitted = fit_forecaster(encoded.filter(F.col("split") == "train"), trial.spec, scaler, trial.reg, features, length, trial.name)
-        scored = predict(encoded.filter(F.col("split") == "val"), fitted, keys)
-        metrics = regression_metrics(scored, ("model",), "ts", None) if not keys else regression_metrics(scored, ("model", *keys), "ts", blocks)
-        boards.append(metrics)
-        residual = F.col("y") - F.col("prediction")
-        losses = fitted.readout.transform(encoded.withColumn("features", array_to_vector("h")))
-        runs.append(
-            losses.agg(
-                F.avg(F.when(F.col("split") == "train", residual * residual)).alias("train_loss"),
-                F.avg(F.when(F.col("split") == "val", residual * residual)).alias("val_loss"),
-            ).select(F.lit(trial.name).alias("run_id"), F.lit(step).alias("step"), "train_loss", "val_loss", F.lit(0.0).alias("learning_rate"))
-        )
-    board, history = boards[0], runs[0]
-    for other, run in zip(boards[1:], runs[1:]):
-        board, history = board.unionByName(other), history.unionByName(run)
-    return board, history
+        train = encoded.filter(F.col("split") == "train")
+        for step, share in enumerate(shares, 1):
+            fitted = fit_forecaster(train.filter(F.col("_share") <= share), trial.spec, scaler, trial.reg, features, length, trial.name)
+            residual = F.col("y") - F.col("prediction")
+            losses = fitted.readout.transform(encoded.withColumn("features", array_to_vector("h")))
+            runs.append(
+                losses.agg(
+                    F.avg(F.when((F.col("split") == "train") & (F.col("_share") <= share), residual * residual)).alias("train_loss"),
+                    F.avg(F.when(F.col("split") == "val", residual * residual)).alias("val_loss"),
+                ).select(F.lit(trial.name).alias("run_id"), F.lit(step).alias("step"), "train_loss", "val_loss", F.lit(0.0).alias("learning_rate"))
+            )
+        scored = stored(predict(encoded.filter(F.col("split") == "val"), fitted, keys), "scored")
+        boards.append(pooled_scores(scored))
+        by_series.append(regression_metrics(scored, ("model", *keys), "ts", blocks if keys else None))
+    return Sweep(*[reduce(DataFrame.unionByName, tables) for tables in (boards, by_series, runs)])
+
+
+def pooled_scores(predictions: DataFrame, group: Sequence[str] = ("model",)) -> DataFrame:
+    """(group, n, mae, rmse, mape, r2) over the rows of all series together."""
+    e = F.col("y_true") - F.col("y_pred")
+    return predictions.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
+        (100 * F.avg(F.abs(ratio(e, F.col("y_true"))))).alias("mape"),
+        (1 - ratio(F.avg(e * e), F.var_pop("y_true"))).alias("r2"),
+    )

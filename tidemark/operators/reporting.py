@@ -162,11 +162,19 @@ def indicator_panel(df: DataFrame, keys: Sequence[str], ts: str = "ts", high: fl
     return df.select(*keys, ts, F.col("selling_price").alias("price"), *present, state.alias("rsi_state"))
 
 
-def summary_table(metrics: DataFrame, runs: DataFrame | None = None, params: dict[str, object] | None = None) -> DataFrame:
-    """(section, name, value) as text, numbers with four decimals."""
+def summary_table(
+    metrics: DataFrame, runs: DataFrame | None = None, params: dict[str, object] | None = None, group: Sequence[str] = ()
+) -> DataFrame:
+    """(section, group, name, value) as text, numbers with four decimals.
+
+    `group` names the metrics' group columns; a section without them has NULL there, but
+    the run of a training section stands in the first of them.
+    """
+    absent = [F.lit(None).cast("string").alias(g) for g in group]
     tables = [
         metrics.select(
             F.lit("Performance Metrics").alias("section"),
+            *[F.col(g).cast("string").alias(g) for g in group],
             F.col("metric").alias("name"),
             F.format_string("%.4f", F.col("value")).alias("value"),
         )
@@ -180,10 +188,11 @@ def summary_table(metrics: DataFrame, runs: DataFrame | None = None, params: dic
             "Total Epochs": F.col("total_steps").cast("string"),
         }
         entries = F.array(*[F.struct(F.lit(k).alias("name"), v.alias("value")) for k, v in lines.items()])
-        tables.append(runs.select(F.lit("Training Summary").alias("section"), F.inline(entries)))
+        run = [F.col("run_id").alias(group[0]), *absent[1:]] if group else []
+        tables.append(runs.select(F.lit("Training Summary").alias("section"), *run, F.inline(entries)))
     if params:
-        rows = [("Model Configuration", str(k), str(v)) for k, v in params.items()]
-        tables.append(metrics.sparkSession.createDataFrame(rows, "section string, name string, value string"))
+        lines = F.array(*[F.struct(F.lit(str(k)).alias("name"), F.lit(str(v)).alias("value")) for k, v in params.items()])
+        tables.append(metrics.sparkSession.range(1).select(F.lit("Model Configuration").alias("section"), *absent, F.inline(lines)))
     result = tables[0]
     for table in tables[1:]:
         result = result.unionByName(table)

@@ -42,6 +42,7 @@ from tidemark.operators.reporting import (
     qq_points,
     rank_features,
     residual_table,
+    run_summary,
     summary_table,
     top_metrics,
 )
@@ -71,6 +72,7 @@ from tidemark.schemas import (
     TRADING_METRICS,
     TRADING_PANEL,
 )
+from tidemark.session import stored
 
 GROUP = ["model", "series"]
 ROW = ["model", "series", "ts"]
@@ -312,14 +314,52 @@ def _panel_trading(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(metric_panel(evaluate(_predictions(spark, folder), blocks=None), "trading"), {4: ["value"]})
 
 
+# Squared errors of a model by year stand for a training history: even days train, odd days validate.
+_HISTORY = f"""SELECT model AS run_id, year(ts) AS step, avg(CASE WHEN day(ts) % 2 = 0 THEN (y_true - y_pred) * (y_true - y_pred) END) AS train_loss,
+          avg(CASE WHEN day(ts) % 2 = 1 THEN (y_true - y_pred) * (y_true - y_pred) END) AS val_loss FROM ({PREDICTIONS_LINEITEM}) GROUP BY 1, 2"""
+_RUNS = """SELECT run_id, count(*) AS total_steps, min(train_loss) AS best_train_loss, min(val_loss) AS best_val_loss,
+          arg_max(train_loss, step) AS final_train_loss, arg_max(val_loss, step) AS final_val_loss FROM h GROUP BY run_id"""
+_LOSSES = ["best_train_loss", "best_val_loss", "final_train_loss", "final_val_loss"]
+
+
+def _history(predictions: DataFrame) -> DataFrame:
+    squared = F.pow(F.col("y_true") - F.col("y_pred"), F.lit(2))
+    even = F.dayofmonth("ts") % 2 == 0
+    return predictions.groupBy(F.col("model").alias("run_id"), F.year("ts").alias("step")).agg(
+        F.avg(F.when(even, squared)).alias("train_loss"), F.avg(F.when(~even, squared)).alias("val_loss")
+    )
+
+
+@query("yearly_run_summary", f"WITH h AS ({_HISTORY}) SELECT {rounding({2: _LOSSES}, ['run_id', 'total_steps', *_LOSSES])} FROM ({_RUNS})")
+def _yearly_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Summary of histories with a step per year."""
+    return rounded(run_summary(_history(_predictions(spark, folder))), {2: _LOSSES})
+
+
+_SHOWN = [n for n in (*REGRESSION_METRICS, *DIAGNOSTIC_METRICS) if n != "mse"]
+_PARAMS = {"length": 10, "features": 1}
+
+
 @query(
     "summary_table",
-    f"""SELECT 'Performance Metrics' AS section, metric AS name, printf('%.4f', value) AS value
-        FROM ({_WIDE} {" UNION ALL ".join(f"SELECT '{n}' AS metric, {n} AS value FROM m WHERE model = 'ma10' AND series = 'A'" for n in (*REGRESSION_METRICS, *DIAGNOSTIC_METRICS) if n != 'mse')})""",
+    f"""{_WIDE}, h AS ({_HISTORY}), runs AS ({_RUNS})
+        SELECT section, model, series, name, value FROM (
+        {" UNION ALL ".join(f"SELECT 'Performance Metrics' AS section, model, series, '{n}' AS name, printf('%.4f', {n}) AS value FROM m" for n in _SHOWN)}
+        UNION ALL SELECT 'Performance Metrics', model, series, 'mse', printf('%.4f', round(mse, 2)) FROM m
+        UNION ALL SELECT 'Training Summary', run_id, NULL, 'Final Training Loss', printf('%.4f', round(final_train_loss, 2)) FROM runs
+        UNION ALL SELECT 'Training Summary', run_id, NULL, 'Final Validation Loss', printf('%.4f', round(final_val_loss, 2)) FROM runs
+        UNION ALL SELECT 'Training Summary', run_id, NULL, 'Best Validation Loss', printf('%.4f', round(best_val_loss, 2)) FROM runs
+        UNION ALL SELECT 'Training Summary', run_id, NULL, 'Total Epochs', CAST(total_steps AS VARCHAR) FROM runs
+        UNION ALL SELECT 'Model Configuration', NULL, NULL, name, value FROM (VALUES {", ".join(f"('{k}', '{v}')" for k, v in _PARAMS.items())}) p(name, value))""",
 )
 def _summary(spark: SparkSession, folder: str) -> DataFrame:
-    one = evaluate(_predictions(spark, folder), include_trading=False, blocks=None)
-    return summary_table(one.filter("model = 'ma10' AND series = 'A' AND metric <> 'mse'"))
+    """The report of all groups, with its three sections; squared prices to two places."""
+    predictions = stored(_predictions(spark, folder))
+    metrics = evaluate(predictions, include_trading=False, blocks=None)
+    metrics = metrics.withColumn("value", F.when(F.col("metric") == "mse", F.round("value", 2)).otherwise(F.col("value")))
+    runs = run_summary(_history(predictions))
+    runs = runs.withColumns({c: F.round(c, 2) for c in _LOSSES})
+    return summary_table(metrics, runs, _PARAMS, GROUP)
 
 
 @query(

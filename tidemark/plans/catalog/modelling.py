@@ -12,18 +12,22 @@ from pyspark.sql import functions as F
 from tidemark.operators.alignment import naive_forecast
 from tidemark.functions.recurrent import EncoderSpec
 from tidemark.operators.forecasting import (
+    Sweep,
     Trial,
     encode_series,
     forecast,
     sweep,
 )
+from tidemark.operators.features import INDICATOR_HALO, add_indicators, with_lookback
 from tidemark.operators.metrics import regression_metrics
 from tidemark.operators.reporting import best_model, run_summary
+from tidemark.operators.scaling import fit_scaler
 from tidemark.operators.sequences import chronological_split, latest_window
 from tidemark.plans.catalog.cleaning import BLOCK, KEY, _JUDGED, payload_text
-from tidemark.plans.catalog.registry import query
-from tidemark.plans.preprocess import Prepared, fit_and_predict, prepare
-from tidemark.plans.views import TICKS_EVENTS, prices_lineitem, ticks_events
+from tidemark.plans.catalog.features import indicators_sql
+from tidemark.plans.catalog.registry import query, rounded, sql_round
+from tidemark.plans.preprocess import Prepared, fit_and_predict, prepare, prepare_recent
+from tidemark.plans.views import PRICES_LINEITEM, TICKS_EVENTS, prices_lineitem, ticks_events
 from tidemark.session import new_folder, stored
 from tidemark.sources.models import latest_model, load_model, save_model
 from tidemark.streaming.payloads import dedupe_stream, stream_price_payloads, write_stream
@@ -81,25 +85,59 @@ TRIALS = (
 )
 
 
-def _sweep(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    scaled = _prepared(spark, folder).scaled
-    split = stored(chronological_split(scaled, KEY, "ts", blocks=None))
-    return sweep(split, KEY, TRIALS, length=LENGTH, blocks=None)
+def _sweep(spark: SparkSession, folder: str) -> Sweep:
+    prepared = _prepared(spark, folder)
+    split = stored(chronological_split(prepared.scaled, KEY, "ts", blocks=None))
+    return sweep(split, KEY, TRIALS, stored(prepared.scaler), length=LENGTH, blocks=None)
+
+
+_RECENT = ["selling_price", "spread", "ma_short", "rsi", "price_lag_7"]
+
+
+@query(
+    "prepare_recent",
+    indicators_sql(PRICES_LINEITEM)
+    + f"""SELECT series, max(ts) AS last_ts, {sql_round("arg_max(z, ts)", 4, "x_last")}, {sql_round("arg_min(z, ts)", 4, "x_first")}, count(*) AS n
+        FROM (SELECT f.series, f.ts, (f.selling_price - s.lo) / (s.hi - s.lo) AS z, row_number() OVER (PARTITION BY f.series ORDER BY f.ts DESC) AS i
+              FROM features f JOIN (SELECT series, min(selling_price) AS lo, max(selling_price) AS hi FROM features WHERE ts < TIMESTAMP '2000-01-01' GROUP BY series) s
+              ON s.series = f.series WHERE f.ts >= TIMESTAMP '2000-06-01' AND f.series <> 'R') WHERE i <= {LENGTH} GROUP BY series""",
+)
+def _prepare_recent(spark: SparkSession, folder: str) -> DataFrame:
+    """New prices under stored scalers: the last window of each series that the scalers know."""
+    windows, _ = _recent(spark, folder)
+    price = F.filter("x", lambda v, i: i % len(_RECENT) == 0)
+    shown = windows.select(
+        "series", "last_ts", F.element_at(price, -1).alias("x_last"), F.element_at(price, 1).alias("x_first"), F.size(price).cast("long").alias("n")
+    )
+    return rounded(shown, {4: ["x_last", "x_first"]})
+
+
+@query("prepare_recent_rejects", "SELECT DISTINCT l_returnflag AS series, 'unknown_series' AS reason FROM lineitem WHERE l_returnflag = 'R'")
+def _recent_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    return _recent(spark, folder)[1].select("series", "reason")
+
+
+def _recent(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    prices = stored(prices_lineitem(spark, folder))
+    old = add_indicators(prices.filter(F.col("ts") < F.lit("2000-01-01").cast("timestamp_ntz")), KEY, blocks=None)
+    scaler = stored(fit_scaler(old.filter("series <> 'R'"), KEY, _RECENT))
+    new = with_lookback(prices, KEY, "ts", "2000-06-01", LENGTH + INDICATOR_HALO)
+    return prepare_recent(new, KEY, scaler, _RECENT, LENGTH, blocks=None)
 
 
 @query("lstm_leaderboard")
 def _leaderboard(spark: SparkSession, folder: str) -> DataFrame:
-    return _sweep(spark, folder)[0]
+    return _sweep(spark, folder).leaderboard
 
 
 @query("best_trial")
 def _best(spark: SparkSession, folder: str) -> DataFrame:
-    return best_model(_sweep(spark, folder)[0])
+    return best_model(_sweep(spark, folder).leaderboard)
 
 
 @query("run_summary")
 def _runs(spark: SparkSession, folder: str) -> DataFrame:
-    return run_summary(_sweep(spark, folder)[1])
+    return run_summary(_sweep(spark, folder).history)
 
 
 @query("stream_event_prices", f"SELECT series, ts, selling_price FROM ({TICKS_EVENTS})")
