@@ -30,7 +30,9 @@ from tidemark.plans.preprocess import Prepared, fit_and_predict, prepare, prepar
 from tidemark.plans.views import PRICES_LINEITEM, TICKS_EVENTS, prices_lineitem, ticks_events
 from tidemark.session import new_folder, stored
 from tidemark.sources.models import latest_model, load_model, save_model
-from tidemark.streaming.payloads import dedupe_stream, stream_price_payloads, write_stream
+from tidemark.sources.payloads import parse_payloads
+from tidemark.schemas import SELL_FIELD, TIME_FIELD
+from tidemark.streaming.payloads import dedupe_stream, land_price_stream, landed_prices, stream_price_payloads, write_stream
 
 SMALL = EncoderSpec(hidden=16, layers=2, seed=7)
 LENGTH = 30
@@ -167,3 +169,26 @@ def _stream_payloads(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "stream")
     write_stream(prices, path, f"{path}-checkpoint").awaitTermination()
     return spark.read.schema(prices.schema).parquet(path).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+# Every payload record twice: the first copy of a tenth day has a price below zero, and all
+# second copies another price.
+_COPIES = """SELECT series, ts, CASE WHEN day(ts) = 10 THEN -1 ELSE selling_price END AS selling_price, buying_price
+    FROM ({judged}) WHERE NOT absent AND NOT unreadable""".format(judged=_JUDGED)
+
+
+@query("stream_first_copies", f"SELECT series, ts, selling_price, buying_price, selling_price - buying_price AS spread FROM ({_COPIES}) WHERE selling_price > 0")
+def _stream_first(spark: SparkSession, folder: str) -> DataFrame:
+    """Copies that differ, also across deliveries: the first one counts, even where it is invalid."""
+    source, target = new_folder(spark, "arriving"), new_folder(spark, "landed-stream")
+    records = F.col("data.priceList")
+    tenth = lambda r: F.substring(r[TIME_FIELD], 9, 2) == "10"
+    changed = lambda r, price: F.map_concat(F.map_filter(r, lambda k, v: k != SELL_FIELD), F.create_map(F.lit(SELL_FIELD), price))
+    kept = F.transform(records, lambda r: F.when(tenth(r), changed(r, F.lit("-1"))).otherwise(r))
+    later = F.transform(records, lambda r: F.when(r[SELL_FIELD] == "n/a", r).otherwise(changed(r, F.lit("5"))))
+    parsed = parse_payloads(payload_text(spark, folder))
+    for number, price_list in enumerate((F.concat(kept, later), later)):
+        text = F.to_json(F.struct("responseCode", F.struct(price_list.alias("priceList")).alias("data")))
+        parsed.select("series", "year", text.alias("value")).write.mode("append").partitionBy("series", "year").option("maxRecordsPerFile", 1).text(source)
+        land_price_stream(spark, source, target, f"{target}/checkpoint", ["series", "year"]).awaitTermination()
+    return landed_prices(spark, target).drop("year").withColumn("ts", F.col("ts").cast("timestamp_ntz"))

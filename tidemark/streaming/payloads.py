@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.cleaning import positive_prices, to_prices
+from tidemark.functions.numeric import key_join
+from tidemark.operators.cleaning import dedupe_first, positive_prices, split_bad_records, to_prices
 from tidemark.schemas import PAYLOAD
 from tidemark.sources.payloads import explode_records, validate_payload
 
@@ -44,3 +46,52 @@ def write_stream(df: DataFrame, path: str, checkpoint: str, partition_by: Sequen
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     return writer.trigger(availableNow=True).start(path)
+
+
+def land_price_stream(
+    spark: SparkSession, folder: str, target: str, checkpoint: str, keys: Sequence[str] = (), files_per_trigger: int | None = None
+) -> StreamingQuery:
+    """Take the payloads that are there into three tables under `target`, then stop.
+
+    `rejected` gets payloads that fail validation, `quarantined` records that cannot be
+    read, and `first` the first copy of every (keys, ts): the one of the earliest batch
+    and, in it, of the lowest ordinal, whatever its price. `landed_prices` reads the
+    positive ones, so a first copy without a valid price hides later copies, as in the
+    batch path. Each batch overwrites a folder of its own, so a repeated batch changes
+    nothing. Rows are compared with the timestamps landed so far, which are all that is
+    read of them.
+    """
+    schema = T.StructType([*PAYLOAD.fields, *[T.StructField(k, T.StringType()) for k in keys]])
+    reader = spark.readStream.schema(schema).option("multiLine", True)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    at = [*keys, "ts"]
+
+    def land(batch: DataFrame, number: int) -> None:
+        own = lambda name: f"{target}/{name}/batch={number}"
+        checked = validate_payload(batch)
+        checked.filter(~F.col("is_valid")).write.mode("overwrite").parquet(own("rejected"))
+        good, bad = split_bad_records(explode_records(checked.filter("is_valid"), keys), keys, ["ordinal"])
+        bad.write.mode("overwrite").parquet(own("quarantined"))
+        # Copies that agree in their ordinal come from different payloads of one batch.
+        first = dedupe_first(good, keys, "ts", ["ordinal", "selling_price", "buying_price"])
+        landed = _landed(batch.sparkSession, target, first, number)
+        if landed is not None:
+            first = key_join(first, landed.select(*at), keys, "left_anti", ["ts"])
+        first.write.mode("overwrite").parquet(own("first"))
+
+    writer = reader.json(folder).writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
+def _landed(spark: SparkSession, target: str, like: DataFrame, before: int) -> DataFrame | None:
+    """Rows of `first` from earlier batches."""
+    if before == 0:
+        return None
+    schema = T.StructType([*like.schema, T.StructField("batch", T.LongType())])
+    return spark.read.schema(schema).parquet(f"{target}/first").filter(F.col("batch") < before)
+
+
+def landed_prices(spark: SparkSession, target: str) -> DataFrame:
+    """The price table behind `land_price_stream`."""
+    return positive_prices(spark.read.parquet(f"{target}/first")).drop("batch", "ordinal")
