@@ -9,7 +9,17 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bucket_refinement import remove_repeats
 from tidemark.llm.compact_windows import repeated_passages
-from tidemark.llm.divergence import judge
+from tidemark.llm.divergence import (
+    BINS,
+    COMMON_WORDS,
+    MAX_BOTH,
+    MAX_CLASS_DISTANCE,
+    MAX_REPEATED_PERCENT,
+    MIN_CLASS_CHARS,
+    MIN_COMMON_WORDS,
+    MIN_WORDS,
+    judge,
+)
 from tidemark.llm.language_id import fit_language_model, identify, is_held_out
 from tidemark.llm.license_scan import TEMPLATES, scan_licenses
 from tidemark.llm.minmax_dedup import near_components
@@ -136,18 +146,99 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("op3_divergence_rules")
+def _op3_sql() -> str:
+    """The rules of `divergence` in SQL: both histograms, their references and the verdict."""
+    letters = "regexp_replace(ink, '[a-z]+', '', 'g')"
+    left = lambda pattern: f"len(rest) - len(regexp_replace(rest, '{pattern}', '', 'g'))"
+    classes = ["len(ink) - len(rest)", left("[A-Z]+"), left("[0-9]+"), left(r"[.,;:!?''\"()\-]+"), left(r"[#*$%&|<>]+"), left(r"[^\x00-\x7F]+"), "len(text) - len(ink)"]
+    listed = ", ".join(f"'{w}'" for w in BINS)
+    counts = ", ".join(f"len(list_filter(common, lambda x: x = '{w}'))" for w in BINS)
+    share = lambda h: f"CASE WHEN list_sum({h}) > 0 THEN list_transform({h}, lambda x: CAST(x AS DOUBLE) / list_sum({h})) ELSE list_transform({h}, lambda x: 0.0) END"
+    part = lambda x, y: f"CASE WHEN {x} > 0 THEN {x} * log2(2 * {x} / ({x} + {y})) ELSE 0 END"
+    js = lambda p, q: f"sqrt(greatest(list_sum(list_transform(list_zip({p}, {q}), lambda z: ({part('z[1]', 'z[2]')} + {part('z[2]', 'z[1]')}) / 2)), 0))"
+    total = lambda h, n: "[" + ", ".join(f"sum({h}[{i}])" for i in range(1, n + 1)) + "]"
+    spaces = r"[\x20\x09-\x0D]+"
+    return rf"""
+WITH t AS (SELECT row_number() OVER () AS row, doc_id, lang, coalesce(text, '') AS text FROM documents),
+a AS (SELECT *, list_filter(string_split_regex(text, '{spaces}'), lambda x: x <> '') AS w, regexp_replace(text, '{spaces}', '', 'g') AS ink,
+        list_filter(string_split_regex(lower(text), '[^\p{{L}}]+'), lambda x: x IN ({listed})) AS common,
+        len(regexp_extract_all(text, '\p{{L}}+')) AS letter_words,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM t),
+b AS (SELECT *, {letters} AS rest FROM a),
+c AS (SELECT *, [{", ".join(classes)}] AS c7, [{counts}, letter_words - len(common)] AS commons FROM b),
+e AS (SELECT * EXCLUDE (c7), list_append(c7, len(text) - list_sum(c7)) AS classes FROM c),
+refs AS (SELECT lang, {share("classes")} AS classes, {share("commons")} AS commons FROM (
+  SELECT lang, {total("classes", 8)} AS classes, {total("commons", len(BINS) + 1)} AS commons FROM e WHERE lang IN ({", ".join(f"'{x}'" for x in COMMON_WORDS)}) GROUP BY lang)),
+shown AS (SELECT row, lang, {share("classes")} AS p, {share("commons")} AS q FROM e),
+far AS (SELECT row, shown.lang AS own, refs.lang AS lang, {js("p", "refs.classes")} AS dc, {js("q", "refs.commons")} AS dw FROM shown, refs),
+chosen AS (SELECT row, coalesce(min(dc) FILTER (own = lang), min(dc)) AS dc, coalesce(min(dw) FILTER (own = lang), min(dw)) AS dw FROM far GROUP BY row),
+windows AS (SELECT row, g.i, array_to_string(w[g.i : g.i + 7], ' ') AS s FROM a, LATERAL (SELECT unnest(range(1, len(w) - 6)) AS i) g),
+again AS (SELECT row, i FROM windows QUALIFY count(*) OVER (PARTITION BY row, s) > 1),
+repeated AS (SELECT row, count(DISTINCT p) AS n FROM (SELECT row, unnest(range(i, i + 8)) AS p FROM again) GROUP BY row),
+f AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(ink) AS BIGINT) AS word_chars, CAST(classes[5] AS BIGINT) AS n_symbols,
+        CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, dc, dw
+      FROM e LEFT JOIN repeated USING (row) LEFT JOIN chosen USING (row))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED_PERCENT} * n_words AS base_failed,
+       NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED_PERCENT} * n_words)
+       AND NOT coalesce((word_chars >= {MIN_CLASS_CHARS} AND dc > {MAX_CLASS_DISTANCE}) OR (n_words >= {MIN_COMMON_WORDS} AND dc > {MAX_BOTH[0]} AND dw > {MAX_BOTH[1]}), false) AS kept
+FROM f"""
+
+
+OP3_SQL = _op3_sql()
+
+
+@query("op3_divergence_rules", OP3_SQL)
 def op3_divergence_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judge(documents(spark, folder)).drop("text_key", "class_distance", "word_distance")
 
 
-@query("op4_positional_index")
+# Lower case for A-Z only.
+_FOLDED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP4_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+wanted AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[g.i : g.i + least(len(w), 10) - 1], ' ') AS s
+  FROM b, LATERAL (SELECT unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i) g WHERE len(w) > 0),
+held AS (
+  SELECT doc_id, g.i, k.n, array_to_string(w[g.i : g.i + k.n - 1], ' ') AS s
+  FROM d, (SELECT DISTINCT n FROM wanted) k, LATERAL (SELECT unnest(range(1, len(w) - k.n + 2)) AS i) g),
+found AS (SELECT doc_id, i, n, item_id FROM held JOIN wanted USING (n, s)),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@query("op4_positional_index", OP4_SQL)
 def op4_positional_index(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
     return found.drop("text_key")
 
 
-@query("op5_minmax_dedup")
+OP5_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all({_FOLDED}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[g.i : g.i + 2], ' ') AS s
+  FROM d, LATERAL (SELECT unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i) g WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached AS (SELECT doc_id AS a, doc_id AS b FROM sizes UNION SELECT r.a, w.b FROM reached r JOIN ways w ON w.a = r.b),
+least AS (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id, coalesce(component_id, doc_id) = doc_id AS kept
+FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
+"""
+
+
+@query("op5_minmax_dedup", OP5_SQL)
 def op5_minmax_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = near_components(documents(spark, folder))
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
