@@ -35,6 +35,8 @@ HEADLINE = (
     "qq_points",
     "encode_series",
     "stream_event_prices",
+    "scaled_features_blocks",
+    "lstm_against_naive",
 )
 
 
