@@ -114,12 +114,21 @@ def test_two_series_together_equal_two_alone(spark):
 def test_lookback_reaches_the_scan(spark, tmp_path, capsys):
     path = str(tmp_path / "p")
     prices(spark, range(100)).write.parquet(path)
-    df = with_lookback(spark.read.parquet(path), "ts", "2024-03-01", 20)
+    df = with_lookback(spark.read.parquet(path), KEY, "ts", "2024-03-01", 20)
     assert df.agg(F.min("ts")).first()[0].strftime("%Y-%m-%d") == "2024-02-10"
     df.explain()
     assert "GreaterThanOrEqual(ts" in capsys.readouterr().out
 
 
+def test_lookback_counts_rows_of_sparse_series(spark):
+    sparse = prices(spark, range(60), step=30.0)
+    since = sparse.orderBy("ts").collect()[40]["ts"].strftime("%Y-%m-%d")
+    df = with_lookback(sparse, KEY, "ts", since, 20)
+    assert df.count() == 40
+    whole, cut = (add_indicators(x, KEY, blocks=None).filter(F.col("ts") >= since).orderBy("ts").collect() for x in (sparse, df))
+    assert whole == cut
+
+
 def test_one_shuffle_for_all_indicators(spark, capsys):
     add_indicators(prices(spark, range(10)), KEY, blocks=None).explain()
     assert capsys.readouterr().out.count("Exchange") == 1
