@@ -16,12 +16,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.divergence import let
-from tidemark.llm.text import text_key
+from tidemark.llm.text import seeded, text_key
 
 PIECE_WORDS = 5
 HASHES = 10
 SHINGLE = 5
 CONTAINED_PERCENT = 80
+# A pair's hash with some bits turned over is another hash of it: the least one is the
+# nearest to the mask, which any of a set's random hashes is equally likely to be.
+MASKS = [int(m) for m in seeded(43, HASHES).view("int64")]
 
 # Wordings by which licenses are given.
 TEMPLATES = {
@@ -81,11 +84,9 @@ def _bands(pairs: Column, starts: Column, width: int) -> Column:
     """Band keys of the sets of `width` pairs from each start on, all in one array."""
 
     def of(k: int) -> Column:
-        def least_and_greatest(window: Column) -> Column:
-            return F.array(F.xxhash64(F.lit(2 * k), F.array_min(window)), F.xxhash64(F.lit(2 * k + 1), F.array_max(window)))
-
-        hashed = F.transform(pairs, lambda x: F.xxhash64(x, F.lit(k)))
-        return let(hashed, lambda h: F.flatten(F.transform(starts, lambda i: let(F.slice(h, i, width), least_and_greatest))))
+        hashed = F.transform(pairs, lambda x: x.bitwiseXOR(F.lit(MASKS[k])))
+        ends = lambda window: F.array(F.array_min(window), F.array_max(window))
+        return let(hashed, lambda h: F.flatten(F.transform(starts, lambda i: let(F.slice(h, i, width), ends))))
 
     return F.concat(*[of(k) for k in range(HASHES)])
 
@@ -96,9 +97,9 @@ def _templates(spark, templates: Mapping[str, str]) -> list:
     rows = spark.range(1).select(F.inline(listed)) if templates else spark.range(0).selectExpr("'' AS name", "'' AS text")
     words = license_words(F.col("text"))
     last = F.size("words") - PIECE_WORDS + 1
-    step = F.sequence(F.lit(1), last, F.lit(PIECE_WORDS))
+    step = F.sequence(F.lit(1), F.greatest(last, F.lit(1)), F.lit(PIECE_WORDS))
     # The last piece ends with the template.
-    pieces = F.array_distinct(F.concat(step, F.array(last)))
+    pieces = F.when(last >= 1, F.array_distinct(F.concat(step, F.array(last))))
     named = rows.select("name", words.alias("words")).filter(F.size("words") >= max(SHINGLE, PIECE_WORDS))
     return named.select(
         "name", F.array_distinct(_runs(F.col("words"), SHINGLE)).alias("shingles"),
