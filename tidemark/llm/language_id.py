@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import stored
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Bounds of the fit: labelled texts per language, words and n-grams kept per language.
@@ -55,19 +57,17 @@ def letter_words(text: Column) -> Column:
 def fit_language_model(
     docs: DataFrame, max_texts: int = MAX_TEXTS, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS
 ) -> LanguageModel:
-    """Learn from `text` and non-null `lang` of at most `max_texts` texts per language.
+    """Learn from `text` and non-null `lang` of about `max_texts` texts per language.
 
-    The texts are those with the smallest hashes, so reruns choose the same. What comes to
-    the driver is at most `max_words + max_grams` rows per language, whatever the input.
+    Those are the texts whose hashes, spread evenly, lie below the language's share, so
+    reruns choose the same. At most `max_words + max_grams` rows per language come to the
+    driver, whatever the input. Without labelled texts the model knows no language.
     """
-    labelled = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
-    place = F.xxhash64("text")
-    best = Window.partitionBy("lang").orderBy("place", "text")
-    chosen = (
-        labelled.withColumn("place", place)
-        .withColumn("_n", F.row_number().over(best))
-        .filter(F.col("_n") <= max_texts)
-    )
+    labelled = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text")
+    # One row per language, stored so that its size is known before the join is planned.
+    shares = stored(labelled.groupBy("lang").agg((F.lit(float(max_texts)) / F.count(F.lit(1))).alias("_share")), "language-shares")
+    place = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 11) / float(1 << 53)
+    chosen = labelled.join(shares.withColumnRenamed("lang", "_lang"), F.col("lang") == F.col("_lang")).filter(place < F.col("_share"))
     words = chosen.select("lang", F.explode(letter_words(F.col("text"))).alias("word")).groupBy("lang", "word").count()
     words = words.persist()
     padded = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
