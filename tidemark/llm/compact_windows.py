@@ -83,16 +83,26 @@ def reach(keys: np.ndarray, at: np.ndarray, step: int) -> np.ndarray:
     return far
 
 
-def compact_windows(shingles: np.ndarray, bounds: np.ndarray, seed: int, width: int = WIDTH):
+PLACE = np.uint64((1 << 31) - 1)
+
+
+def window_keys(shingles: np.ndarray, seed: int) -> np.ndarray:
+    """Hashes of one function, made different by place: equal ones count from left to right."""
+    first, second = text.seeded(41 + seed, 2) | np.uint64(1)
+    keys = shingles * first
+    keys ^= keys >> np.uint64(32)
+    keys *= second
+    return (keys & ~PLACE) | np.arange(len(shingles), dtype=np.uint64)
+
+
+def compact_windows(shingles: np.ndarray, bounds: np.ndarray, seed: int, width: int = WIDTH, reaches: bool = True):
     """(c, left, right) of the windows of one hash function over rows laid in a line.
 
-    `bounds` are the rows' first shingles; equal hashes count from left to right.
+    `bounds` are the rows' first shingles; without `reaches` only c has a meaning.
     """
     if len(shingles) < width:
         return (np.zeros(0, np.int64),) * 3
-    factor = text.seeded(41 + seed, 1)[0] | np.uint64(1)
-    low = np.uint64((1 << 31) - 1)
-    keys = (text.mix(shingles * factor) & ~low) | np.arange(len(shingles), dtype=np.uint64)
+    keys = window_keys(shingles, seed)
     least = least_of_runs(keys, width)
     sizes = np.diff(bounds)
     change = np.zeros(len(shingles) + 1, np.int32)
@@ -100,7 +110,9 @@ def compact_windows(shingles: np.ndarray, bounds: np.ndarray, seed: int, width:
     np.add.at(change, bounds[:-1][long], 1)
     np.add.at(change, bounds[1:][long] - width + 1, -1)
     whole = np.cumsum(change[: len(least)]) > 0
-    c = np.unique((least[whole] & low).astype(np.int64))
+    c = np.unique((least[whole] & PLACE).astype(np.int64))
+    if not reaches:
+        return c, c, c
     row = np.searchsorted(bounds, c, "right") - 1
     return c, np.minimum(reach(keys, c, -1), c - bounds[row]), np.minimum(reach(keys, c, 1), bounds[row + 1] - 1 - c)
 
@@ -116,6 +128,25 @@ def text_shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     return words, first, values, np.concatenate(([0], np.cumsum(sizes)))
 
 
+def signatures(docs: DataFrame, hashes: int = HASHES) -> DataFrame:
+    """(signature) of every window of all rows; one pass, no shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text.text_bytes(batch.column("text"))
+            for a, b in text.pieces(offsets):
+                _, _, values, bounds = text_shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                for f in range(hashes):
+                    c = compact_windows(values, bounds, f, reaches=False)[0]
+                    yield pa.RecordBatch.from_arrays([pa.array(signature(values[c], f).view(np.int64))], names=["signature"])
+
+    return docs.select("text").filter("text IS NOT NULL").mapInArrow(run, "signature long")
+
+
+def signature(shingles: np.ndarray, f: int) -> np.ndarray:
+    return text.mix(shingles + np.uint64(f))
+
+
 def windows(docs: DataFrame, hashes: int = HASHES) -> DataFrame:
     """(signature, text_key, c, left, right, before, after) of all rows; one pass, no shuffle.
 
@@ -140,7 +171,7 @@ def windows(docs: DataFrame, hashes: int = HASHES) -> DataFrame:
                     after = np.where(at + CONTEXT <= n, context[word] >> np.uint64(33), 0)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(text.mix(values[c] + np.uint64(f)).view(np.int64)), pa.array(keys[a + row]),
+                            pa.array(signature(values[c], f).view(np.int64)), pa.array(keys[a + row]),
                             *(pa.array(x.astype(np.int32)) for x in (at, left, right, before, after)),
                         ],
                         names=["signature", "text_key", "c", "left", "right", "before", "after"],
@@ -152,7 +183,7 @@ def windows(docs: DataFrame, hashes: int = HASHES) -> DataFrame:
 
 def candidate_pairs(docs: DataFrame, hashes: int = HASHES) -> DataFrame:
     """(a, b, places): texts with windows of one signature, a the least of these, and where they meet."""
-    shared = windows(docs, hashes).groupBy("signature").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("signature")
+    shared = signatures(docs, hashes).groupBy("signature").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("signature")
     met = stored(windows(docs, hashes).join(stored(shared, "signatures"), "signature"), "compact-windows")
     sides = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("before").alias("near")), F.struct(F.lit(1).alias("side"), F.col("after").alias("near"))))
     placed = met.select("signature", "text_key", "c", "left", "right", sides.alias("s")).select("signature", "text_key", "c", "left", "right", "s.*").filter("near <> 0")
@@ -220,6 +251,8 @@ def _similar(x: np.ndarray, y: np.ndarray, passage: tuple[int, int, int, int], p
     i, j, k, m = passage
     if min(j - i, m - k) < WIDTH:
         return False
+    if np.array_equal(x[i:j], y[k:m]):
+        return True
     u, v = np.unique(x[i:j]), np.unique(y[k:m])
     same = len(np.intersect1d(u, v, assume_unique=True))
     return 100 * same >= percent * (len(u) + len(v) - same)
@@ -232,8 +265,9 @@ def verified_passages(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     kept = rows.join(keys, F.col("text_key") == F.col("_key"), "left_semi")
     one = F.row_number().over(Window.partitionBy("text_key").orderBy(F.lit(0)))
     texts = stored(kept.withColumn("_n", one).filter("_n = 1").select("text_key", "text"), "passage-texts")
-    both = pairs.join(texts.select(F.col("text_key").alias("a"), F.col("text").alias("text_a")), "a").join(
-        texts.select(F.col("text_key").alias("b"), F.col("text").alias("text_b")), "b"
+    # The last join gathers the pairs of one least text, whose shingles are then made once.
+    both = pairs.join(texts.select(F.col("text_key").alias("b"), F.col("text").alias("text_b")), "b").join(
+        texts.select(F.col("text_key").alias("a"), F.col("text").alias("text_a")), "a"
     )
 
     def shingled(column: pa.Array) -> list[np.ndarray]:
@@ -247,9 +281,13 @@ def verified_passages(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            keys = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())
-            sides = zip(shingled(batch.column("text_a")), shingled(batch.column("text_b")))
-            for (a, b), (x, y), places in zip(keys, sides, batch.column("places").to_pylist()):
+            a_keys, least = batch.column("a").to_pylist(), {}
+            for i, a in enumerate(a_keys):
+                least.setdefault(a, i)
+            own = dict(zip(least, shingled(batch.column("text_a").take(pa.array(list(least.values()), pa.int64())))))
+            rows = zip(a_keys, batch.column("b").to_pylist(), shingled(batch.column("text_b")), batch.column("places").to_pylist())
+            for a, b, y, places in rows:
+                x = own[a]
                 # A passage of n shingles has SHINGLE - 1 words more.
                 for i, j, k, m in passages(x, y, [(p["a"], p["b"]) for p in places]):
                     out.append((a, b, i, j + SHINGLE - 1, k, m + SHINGLE - 1))
