@@ -35,20 +35,24 @@ GROUP_BLOCKS = 1024
 
 
 def write_token_files(
-    docs: DataFrame, tokenizer: str | None = None, separator: int = SEPARATOR, folder: str | None = None
+    docs: DataFrame, tokenizer: str | None = None, separator: int = SEPARATOR, folder: str | None = None,
+    ordered: bool = False,
 ) -> DataFrame:
     """Encode every text into flat files, each text followed by `separator`; return the files.
 
-    One row per file: (folder, part, file, n_ids, id_bytes). Files of ascending `part` hold
-    texts of ascending doc_id. Strings of special tokens inside a text are ordinary text,
+    One row per file: (folder, part, file, n_ids, id_bytes). Texts are written where they
+    are read, one file per task and nothing shuffled; `ordered` first sorts them by
+    doc_id, so that files of ascending `part` hold ascending ids. Strings of special tokens inside a text are ordinary text,
     so the separator occurs at ends only. A lost or repeated task leaves at most a file that
     no row names. A null text is its separator alone.
     """
     folder = folder or new_folder(docs.sparkSession, "token-files")
     path = tokenizer or bpe.tokenizer_path()
-    order = ["doc_id", "text_key"]
-    rows = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("text")
+    rows = docs.select("text")
+    if ordered:
+        order = ["doc_id", "text_key"]
+        keyed = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
+        rows = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = open_folder(folder)
