@@ -24,7 +24,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # Bytes handled at once; temporary arrays take some tens of times as much.
-PIECE = 2 << 20
+PIECE = 1 << 19
 
 Bytes = np.ndarray
 
