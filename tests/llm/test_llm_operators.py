@@ -288,6 +288,34 @@ def test_a_passage_with_an_inserted_word(spark):
     assert got == {1: 1, 2: 1, 3: 0}
 
 
+@pytest.mark.parametrize("few", [16, 0])
+def test_passages_beside_the_least_text_of_a_key(spark, monkeypatch, few):
+    from pyspark.sql import functions as F
+
+    from tidemark.llm import compact_windows as module
+    from tidemark.llm.text import text_key
+
+    monkeypatch.setattr(module, "FEW", few)
+    shared = [prose(820 + i, 50) for i in range(12)]
+    made = []
+    for i, s in enumerate(shared):
+        # Quotes of 49 words that have the least key, so that no window of theirs is a passage.
+        quotes = [f"{prose(900 + 40 * i + j, 60)} {' '.join(s.split()[:49])} {prose(5000 + 40 * i + j, 60)}" for j in range(40)]
+        whole = [f"{prose(7000 + 2 * i + j, 60)} {s} {prose(8000 + 2 * i + j, 60)}" for j in range(2)]
+        keys = spark.createDataFrame([(x,) for x in [*quotes, *whole]], "text string").select("text", text_key(F.col("text")).alias("k")).collect()
+        k = {r.text: r.k for r in keys}
+        least = [q for q in quotes if k[q] < min(k[w] for w in whole)][:2]
+        made += [(100 * i + j, t) for j, t in enumerate(whole + least)]
+    got = {r.doc_id: r for r in repeated_passages(spark.createDataFrame(made, "doc_id long, text string")).collect()}
+    assert all(got[d].n_passages == got[d].n_links == 1 and got[d].component_id == d // 100 * 100 for d in got if d % 100 < 2)
+
+
+def test_links_are_counted_in_a_class(spark):
+    rows = [(i, f"{prose(830 + i, 40)} {prose(829, 60)} {prose(840 + i, 40)}") for i in range(4)]
+    got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r.n_links for r in got] == [3] * 4
+
+
 def test_repeated_passages_of_nothing(nothing):
     assert repeated_passages(nothing).count() == 0
 

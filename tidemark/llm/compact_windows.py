@@ -11,14 +11,16 @@ Two texts with windows of one signature, from any of HASHES functions, may hold
 passage; at similarity 0.8 no function agrees with probability 0.2**4. Windows must also
 agree in the words just before or just after c, since a passage reaches far enough to one
 side of c, and their intervals, laid upon each other at c, must leave room for a passage.
-The texts of one signature are linked to the least of them, not to each other. Each such
-pair of texts is verified on its full shingles.
+The texts of one signature are compared with the least of them first; those that are not
+verified with it are compared again among themselves. Each such pair of texts is verified
+on its full shingles.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,8 @@ PERCENT = 80
 CONTEXT = 16
 # Aligned pieces of one passage may be this many shingles apart.
 GAP = 2 * SHINGLE
+# So many windows of a key that are left after a round are compared each with each.
+FEW = 16
 
 
 def least_of_runs(keys: np.ndarray, width: int) -> np.ndarray:
@@ -181,27 +185,75 @@ def windows(docs: DataFrame, hashes: int = HASHES) -> DataFrame:
     return rows.mapInArrow(run, "signature long, text_key long, c int, left int, right int, before int, after int")
 
 
-def candidate_pairs(docs: DataFrame, hashes: int = HASHES) -> DataFrame:
-    """(a, b, places): texts with windows of one signature, a the least of these, and where they meet."""
+def placed_windows(docs: DataFrame, hashes: int = HASHES) -> DataFrame:
+    """(key, text_key, c, left, right) of windows whose signature recurs; key names it, one side of c and the words there."""
     shared = signatures(docs, hashes).groupBy("signature").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("signature")
     met = stored(windows(docs, hashes).join(stored(shared, "signatures"), "signature"), "compact-windows")
     sides = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("before").alias("near")), F.struct(F.lit(1).alias("side"), F.col("after").alias("near"))))
-    placed = met.select("signature", "text_key", "c", "left", "right", sides.alias("s")).select("signature", "text_key", "c", "left", "right", "s.*").filter("near <> 0")
-    key = ["signature", "side", "near"]
-    first = placed.groupBy(*key).agg(F.min("text_key").alias("a"), F.max("text_key").alias("_z")).filter("a < _z").drop("_z")
-    # The least text's windows; a text that repeats the signature gives several.
-    least = placed.alias("p").join(first.alias("f"), key).filter("text_key = a").select(
-        *key, "a", F.col("c").alias("ca"), F.col("left").alias("la"), F.col("right").alias("ra")
-    ).groupBy(*key, "a").agg(F.min(F.struct("ca", "la", "ra")).alias("w"))
-    joined = placed.join(stored(least, "least-windows"), key).filter("text_key <> a")
-    room = F.least("left", "w.la") + F.least("right", "w.ra") + 1
+    placed = met.select("signature", "text_key", "c", "left", "right", sides.alias("s")).filter("s.near <> 0")
+    return placed.select(F.xxhash64("signature", "s.side", "s.near").alias("key"), "text_key", "c", "left", "right")
+
+
+def first_windows(members: DataFrame) -> DataFrame:
+    """(key, w, n): the first window of the least text of each key that several texts have."""
+    first = F.min(F.struct("text_key", "c", "left", "right")).alias("w")
+    return members.groupBy("key").agg(first, F.max("text_key").alias("_z"), F.count(F.lit(1)).alias("n")).filter("w.text_key < _z").drop("_z")
+
+
+def beside_first(members: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(key, a, ca, la, ra, b, c, left, right): the windows of a key beside its first one."""
+    return members.join(firsts, "key").filter("text_key <> w.text_key").select(
+        "key", F.col("w.text_key").alias("a"), F.col("w.c").alias("ca"), F.col("w.left").alias("la"), F.col("w.right").alias("ra"),
+        F.col("text_key").alias("b"), "c", "left", "right",
+    )
+
+
+def beside_each(windows: DataFrame) -> DataFrame:
+    """The same columns for every two windows of a key."""
+    one = windows.select("key", F.col("b").alias("a"), F.col("c").alias("ca"), F.col("left").alias("la"), F.col("right").alias("ra"))
+    return one.join(windows.select("key", "b", "c", "left", "right"), "key").filter("a < b")
+
+
+def candidate_pairs(beside: DataFrame) -> DataFrame:
+    """(a, b, places): texts with windows that leave room for a passage, and where these meet."""
+    room = F.least("left", "la") + F.least("right", "ra") + 1
     return (
-        joined.filter(100 * room >= PERCENT * WIDTH)
-        .select("a", F.col("text_key").alias("b"), F.struct(F.col("w.ca").alias("a"), F.col("c").alias("b")).alias("place"))
+        beside.filter(100 * room >= PERCENT * WIDTH)
+        .select("a", "b", F.struct(F.col("ca").alias("a"), F.col("c").alias("b")).alias("place"))
         .groupBy("a", "b").agg(F.collect_set("place").alias("places"))
     )
 
 
+def linked_passages(docs: DataFrame, hashes: int = HASHES) -> DataFrame:
+    """(a, b, a_start, a_end, b_start, b_end) of the passages of all keys.
+
+    The windows of a key are compared with its first one. Those that are not verified so are
+    compared with each other where they are few. Many are told apart by what follows where
+    their agreement with the first ends: two of them that hold a longer passage go on alike
+    there. Their keys become longer in every round, and the first window leaves, until no
+    key has two texts left.
+    """
+    members, few, found = placed_windows(docs, hashes), None, []
+    while members is not None or few is not None:
+        beside = few
+        if members is not None:
+            firsts = stored(first_windows(members), "first-windows")
+            beside = beside_first(members, firsts) if few is None else few.unionByName(beside_first(members, firsts))
+        verified = stored(verified_passages(stored(candidate_pairs(beside), "passage-pairs"), docs), "passages")
+        found.append(verified.filter("NOT place").drop("place"))
+        if members is None:
+            break
+        met = verified.filter("place").select("a", F.col("a_start").cast("int").alias("ca"), "b", F.col("b_start").cast("int").alias("c"))
+        apart = beside_first(members, firsts.filter("n > 2")).join(met, ["a", "ca", "b", "c"], "left_anti").distinct()
+        apart = stored(apart, "windows-apart")
+        left = apart.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("b").alias("_a"), F.max("b").alias("_z"))
+        left = stored(left.filter("_a < _z").select("key", "n"), "keys-apart")
+        small, many = left.filter(F.col("n") <= FEW), left.filter(F.col("n") > FEW)
+        few = None if small.isEmpty() else beside_each(apart.join(small.select("key"), "key"))
+        members = None if many.isEmpty() else stored(told_apart(apart.join(many.select("key"), "key"), docs).distinct(), "windows-told-apart")
+    return reduce(DataFrame.union, found)
+
+
 def aligned(x: np.ndarray, y: np.ndarray, a: int, b: int) -> tuple[int, int, int]:
     """The stretch of equal shingles around x[a] = y[b]: (start in x, start in y, length).
 
@@ -222,6 +274,12 @@ def aligned(x: np.ndarray, y: np.ndarray, a: int, b: int) -> tuple[int, int, int
     return a - back, b - back, back + 1 + best(x[a + 1 :], y[b + 1 :])
 
 
+def agreement(x: np.ndarray, y: np.ndarray, a: int, b: int) -> tuple[int, int]:
+    """(start, end) in y of what agrees around x[a] = y[b]."""
+    _, j, n = aligned(x, y, a, b)
+    return j, max(j + n, b + 1)
+
+
 def passages(x: np.ndarray, y: np.ndarray, places: list[tuple[int, int]], percent: int = PERCENT) -> list[tuple[int, int, int, int]]:
     """Verified passages (start in x, end, start in y, end), in shingles."""
     pieces: list[tuple[int, int, int, int]] = []
@@ -258,25 +316,28 @@ def _similar(x: np.ndarray, y: np.ndarray, passage: tuple[int, int, int, int], p
     return 100 * same >= percent * (len(u) + len(v) - same)
 
 
-def verified_passages(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """(a, b, a_start, a_end, b_start, b_end) in words, for every passage of a candidate pair."""
+def _shingled(column: pa.Array) -> list[np.ndarray]:
+    data, offsets = text.text_bytes(column)
+    out: list[np.ndarray] = []
+    for a, b in text.pieces(offsets):
+        _, _, values, bounds = text_shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+        out += [values[i:j] for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+    return out
+
+
+def _over_pairs(pairs: DataFrame, docs: DataFrame, rows: Callable[..., list[tuple]], schema: str) -> DataFrame:
+    """`rows`(a, b, shingles of a, shingles of b, places) of all pairs (a, b, places); longs and truth values."""
     keys = pairs.select(F.col("a").alias("_key")).union(pairs.select(F.col("b").alias("_key"))).distinct()
-    rows = docs.select(text_key(F.col("text")).alias("text_key"), "text").filter("text IS NOT NULL")
-    kept = rows.join(keys, F.col("text_key") == F.col("_key"), "left_semi")
+    keyed = docs.select(text_key(F.col("text")).alias("text_key"), "text").filter("text IS NOT NULL")
+    kept = keyed.join(keys, F.col("text_key") == F.col("_key"), "left_semi")
     one = F.row_number().over(Window.partitionBy("text_key").orderBy(F.lit(0)))
     texts = stored(kept.withColumn("_n", one).filter("_n = 1").select("text_key", "text"), "passage-texts")
     # The last join gathers the pairs of one least text, whose shingles are then made once.
     both = pairs.join(texts.select(F.col("text_key").alias("b"), F.col("text").alias("text_b")), "b").join(
         texts.select(F.col("text_key").alias("a"), F.col("text").alias("text_a")), "a"
     )
-
-    def shingled(column: pa.Array) -> list[np.ndarray]:
-        data, offsets = text.text_bytes(column)
-        out: list[np.ndarray] = []
-        for a, b in text.pieces(offsets):
-            _, _, values, bounds = text_shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            out += [values[i:j] for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-        return out
+    names, kinds = zip(*(c.split() for c in schema.split(", ")))
+    types = [{"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}[k] for k in kinds]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -284,19 +345,49 @@ def verified_passages(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             a_keys, least = batch.column("a").to_pylist(), {}
             for i, a in enumerate(a_keys):
                 least.setdefault(a, i)
-            own = dict(zip(least, shingled(batch.column("text_a").take(pa.array(list(least.values()), pa.int64())))))
-            rows = zip(a_keys, batch.column("b").to_pylist(), shingled(batch.column("text_b")), batch.column("places").to_pylist())
-            for a, b, y, places in rows:
-                x = own[a]
-                # A passage of n shingles has SHINGLE - 1 words more.
-                for i, j, k, m in passages(x, y, [(p["a"], p["b"]) for p in places]):
-                    out.append((a, b, i, j + SHINGLE - 1, k, m + SHINGLE - 1))
-            names = ["a", "b", "a_start", "a_end", "b_start", "b_end"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else [[]] * 6)], names=names)
-
-    return both.select("a", "b", "text_a", "text_b", "places").mapInArrow(
-        run, "a long, b long, a_start long, a_end long, b_start long, b_end long"
-    )
+            own = dict(zip(least, _shingled(batch.column("text_a").take(pa.array(list(least.values()), pa.int64())))))
+            for a, b, y, places in zip(a_keys, batch.column("b").to_pylist(), _shingled(batch.column("text_b")), batch.column("places").to_pylist()):
+                out += rows(a, b, own[a], y, places)
+            columns = zip(*out) if out else [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=list(names))
+
+    return both.select("a", "b", "text_a", "text_b", "places").mapInArrow(run, schema)
+
+
+def verified_passages(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """(a, b, a_start, a_end, b_start, b_end, place) in words, for every passage of a candidate pair.
+
+    A row with `place` true tells in a_start and b_start a place that lies in a passage.
+    """
+
+    def rows(a: int, b: int, x: np.ndarray, y: np.ndarray, places: list[dict]) -> list[tuple]:
+        met = [(p["a"], p["b"]) for p in places]
+        found = passages(x, y, met)
+        # A passage of n shingles has SHINGLE - 1 words more.
+        out = [(a, b, i, j + SHINGLE - 1, k, m + SHINGLE - 1, False) for i, j, k, m in found]
+        return out + [(a, b, p, p, q, q, True) for p, q in met if any(i <= p < j and k <= q < m for i, j, k, m in found)]
+
+    return _over_pairs(pairs, docs, rows, "a long, b long, a_start long, a_end long, b_start long, b_end long, place boolean")
+
+
+def told_apart(apart: DataFrame, docs: DataFrame) -> DataFrame:
+    """(key, text_key, c, left, right): windows under keys of what follows their agreement with the first window.
+
+    Each gets a key for every shingle up to GAP beyond either end, where a passage may go on.
+    """
+    place = F.struct("key", F.col("ca").alias("a"), F.col("c").alias("b"), "left", "right")
+    pairs = stored(apart.groupBy("a", "b").agg(F.collect_set(place).alias("places")), "pairs-apart")
+
+    def rows(a: int, b: int, x: np.ndarray, y: np.ndarray, places: list[dict]) -> list[tuple]:
+        out = set()
+        for p in places:
+            start, end = agreement(x, y, p["a"], p["b"])
+            for side, next_ in enumerate((y[max(start - GAP - 1, 0) : start], y[end : end + GAP + 1])):
+                key = np.uint64(p["key"] & (1 << 64) - 1) + np.uint64(side + 1)
+                out.update((k, b, p["b"], p["left"], p["right"]) for k in text.mix(next_ ^ text.mix(np.full(1, key))).view(np.int64).tolist())
+        return list(out)
+
+    return _over_pairs(pairs, docs, rows, "key long, text_key long, c int, left int, right int")
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
@@ -304,13 +395,12 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 
     Passages are stretches of at least PASSAGE_WORDS words that recur in another row, with
     shingle similarity of PERCENT in the hundred; overlapping ones count as one, and a whole
-    text that recurs is one. `n_links` counts the other texts a text was verified with, and
-    `component_id` is the least doc_id of the rows linked through passages, its own for a
+    text that recurs is one. `n_links` counts the other texts of the largest class a text
+    belongs to, which is a text with all that were verified with it; `component_id` is the least doc_id of the rows linked through passages, its own for a
     row without any. A null, empty or short text has no passage; rows without doc_id belong
     to components by their texts; no rows give no rows. Other columns are not looked at.
     """
-    pairs = stored(candidate_pairs(docs), "passage-pairs")
-    links = stored(verified_passages(pairs, docs), "passages")
+    links = linked_passages(docs)
     labels = stored(components(links.select("a", "b").distinct()), "passage-labels")
     rows = stored(
         docs.select("doc_id", text_key(F.col("text")).alias("text_key"), text.n_words(F.col("text")).alias("n_words")), "passage-rows"
@@ -334,10 +424,14 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         ),
     )
     found = spans.groupBy("text_key").agg(
-        F.collect_set(F.struct("start", "end")).alias("spans"), F.count_distinct("other").alias("n_links")
-    ).select(F.col("text_key").alias("_key"), merge.alias("m"), "n_links")
-    found = found.join(labels, F.col("_key") == F.col("node"), "left").select(
-        "_key", "m", "n_links", F.coalesce("component", "_key").alias("_group")
+        F.collect_set(F.struct("start", "end")).alias("spans"), F.count_distinct("other").alias("n_direct")
+    ).select(F.col("text_key").alias("_key"), merge.alias("m"), "n_direct")
+    # A text and those verified with it are a class; its members have each other, through it.
+    pairs = links.select("a", "b").distinct()
+    sizes = stored(pairs.groupBy(F.col("a").alias("_a")).agg(F.count(F.lit(1)).alias("others")), "passage-classes")
+    classes = pairs.join(sizes, F.col("a") == F.col("_a")).groupBy(F.col("b").alias("_b")).agg(F.max("others").alias("others"))
+    found = found.join(labels, F.col("_key") == F.col("node"), "left").join(classes, F.col("_key") == F.col("_b"), "left").select(
+        "_key", "m", F.greatest("n_direct", "others").alias("n_links"), F.coalesce("component", "_key").alias("_group")
     )
     joined = stored(rows.join(found, F.col("text_key") == F.col("_key"), "left"), "passage-found")
     least = joined.filter("_group IS NOT NULL").groupBy(F.col("_group").alias("_g")).agg(F.min("doc_id").alias("_least"))
