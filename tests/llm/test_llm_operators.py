@@ -316,6 +316,17 @@ def test_links_are_counted_in_a_class(spark):
     assert [r.n_links for r in got] == [3] * 4
 
 
+def test_every_occurrence_within_a_text_is_found(spark):
+    rows = []
+    for i in range(6):
+        p = prose(850 + i, 60)
+        rows += [(10 * i, f"{prose(860 + i, 60)} {p} {prose(870 + i, 60)} {p} {prose(880 + i, 60)}"), (10 * i + 1, f"{prose(890 + i, 60)} {p}")]
+    # A text that alone repeats a passage holds none that recurs in another row.
+    rows.append((100, f"{prose(899, 60)} {prose(898, 60)} {prose(899, 60)}"))
+    got = {r.doc_id: (r.n_passages, r.n_repeated_words) for r in repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {**{10 * i: (2, 120) for i in range(6)}, **{10 * i + 1: (1, 60) for i in range(6)}, 100: (0, 0)}
+
+
 def test_repeated_passages_of_nothing(nothing):
     assert repeated_passages(nothing).count() == 0
 

@@ -19,6 +19,7 @@ on its full shingles.
 from __future__ import annotations
 
 import sys
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -202,7 +203,7 @@ def first_windows(members: DataFrame) -> DataFrame:
 
 def beside_first(members: DataFrame, firsts: DataFrame) -> DataFrame:
     """(key, a, ca, la, ra, b, c, left, right): the windows of a key beside its first one."""
-    return members.join(firsts, "key").filter("text_key <> w.text_key").select(
+    return members.join(firsts, "key").filter("text_key <> w.text_key OR c <> w.c").select(
         "key", F.col("w.text_key").alias("a"), F.col("w.c").alias("ca"), F.col("w.left").alias("la"), F.col("w.right").alias("ra"),
         F.col("text_key").alias("b"), "c", "left", "right",
     )
@@ -211,7 +212,7 @@ def beside_first(members: DataFrame, firsts: DataFrame) -> DataFrame:
 def beside_each(windows: DataFrame) -> DataFrame:
     """The same columns for every two windows of a key."""
     one = windows.select("key", F.col("b").alias("a"), F.col("c").alias("ca"), F.col("left").alias("la"), F.col("right").alias("ra"))
-    return one.join(windows.select("key", "b", "c", "left", "right"), "key").filter("a < b")
+    return one.join(windows.select("key", "b", "c", "left", "right"), "key").filter("a < b OR (a = b AND ca < c)")
 
 
 def candidate_pairs(beside: DataFrame) -> DataFrame:
@@ -225,7 +226,7 @@ def candidate_pairs(beside: DataFrame) -> DataFrame:
 
 
 def linked_passages(docs: DataFrame, hashes: int = HASHES) -> DataFrame:
-    """(a, b, a_start, a_end, b_start, b_end) of the passages of all keys.
+    """(a, b, a_start, a_end, b_start, b_end) of the passages of all keys; a = b where a text repeats its own.
 
     The windows of a key are compared with its first one. Those that are not verified so are
     compared with each other where they are few. Many are told apart by what follows where
@@ -390,6 +391,46 @@ def told_apart(apart: DataFrame, docs: DataFrame) -> DataFrame:
     return _over_pairs(pairs, docs, rows, "key long, text_key long, c int, left int, right int")
 
 
+def carried(spans: list[tuple[int, int]], own: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
+    """Spans of a text, apart and in order, with those that its own repeats (start, end, start, end) carry over."""
+    ways = [w for i, j, k, m in own for w in ((i, j, k, m), (k, m, i, j))]
+    while True:
+        merged: list[list[int]] = []
+        for i, j in sorted(spans):
+            if merged and i <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], j)
+            else:
+                merged.append([i, j])
+        more, starts = [], [i for i, _ in merged]
+        for i, j, k, m in ways:
+            for p, q in merged[max(bisect_right(starts, i) - 1, 0) : bisect_left(starts, j)]:
+                # The part that recurs elsewhere, laid upon the repeat.
+                u, v = max(p, i) - i + k, min(q, j) - i + k
+                u, v = (k if p <= i else u), (m if q >= j else min(v, m))
+                at = bisect_right(starts, u) - 1
+                if v - u >= PASSAGE_WORDS and not (at >= 0 and merged[at][1] >= v):
+                    more.append((u, v))
+        if not more:
+            return [(i, j) for i, j in merged]
+        spans = [(i, j) for i, j in merged] + more
+
+
+def with_own_repeats(spans: DataFrame) -> DataFrame:
+    """(text_key, spans) of (text_key, spans, own); rows without repeats of their own are left as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [
+                [{"start": i, "end": j} for i, j in carried([(s["start"], s["end"]) for s in spans], [tuple(o.values()) for o in own])]
+                for spans, own in zip(batch.column("spans").to_pylist(), batch.column("own").to_pylist())
+            ]
+            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+            yield pa.RecordBatch.from_arrays([batch.column("text_key"), pa.array(rows, kind)], names=["text_key", "spans"])
+
+    done = spans.filter("size(own) > 0").mapInArrow(run, "text_key long, spans array<struct<start: long, end: long>>")
+    return spans.filter("size(own) = 0").select("text_key", "spans").union(done)
+
+
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, n_words, n_passages, n_repeated_words, n_links, component_id) per row of `docs`.
 
@@ -400,7 +441,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     row without any. A null, empty or short text has no passage; rows without doc_id belong
     to components by their texts; no rows give no rows. Other columns are not looked at.
     """
-    links = linked_passages(docs)
+    found = stored(linked_passages(docs), "passage-links")
+    links, own = found.filter("a <> b"), found.filter("a = b")
     labels = stored(components(links.select("a", "b").distinct()), "passage-labels")
     rows = stored(
         docs.select("doc_id", text_key(F.col("text")).alias("text_key"), text.n_words(F.col("text")).alias("n_words")), "passage-rows"
@@ -423,9 +465,16 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
             F.greatest(acc["far"], s["end"]).alias("far"),
         ),
     )
-    found = spans.groupBy("text_key").agg(
+    spans = spans.groupBy("text_key").agg(
         F.collect_set(F.struct("start", "end")).alias("spans"), F.count_distinct("other").alias("n_direct")
-    ).select(F.col("text_key").alias("_key"), merge.alias("m"), "n_direct")
+    )
+    # A passage that recurs elsewhere does so wherever its text repeats it.
+    own = own.groupBy(F.col("a").alias("text_key")).agg(F.collect_set(F.struct("a_start", "a_end", "b_start", "b_end")).alias("own"))
+    spans = stored(spans.join(own, "text_key", "left").withColumn("own", F.coalesce("own", F.array())), "passage-spans")
+    every = with_own_repeats(spans.select("text_key", "spans", "own"))
+    found = every.select(F.col("text_key").alias("_key"), merge.alias("m")).join(
+        spans.select(F.col("text_key").alias("_key"), "n_direct"), "_key"
+    )
     # A text and those verified with it are a class; its members have each other, through it.
     pairs = links.select("a", "b").distinct()
     sizes = stored(pairs.groupBy(F.col("a").alias("_a")).agg(F.count(F.lit(1)).alias("others")), "passage-classes")
@@ -433,6 +482,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     found = found.join(labels, F.col("_key") == F.col("node"), "left").join(classes, F.col("_key") == F.col("_b"), "left").select(
         "_key", "m", F.greatest("n_direct", "others").alias("n_links"), F.coalesce("component", "_key").alias("_group")
     )
+    found = stored(found, "passage-labelled")
     joined = stored(rows.join(found, F.col("text_key") == F.col("_key"), "left"), "passage-found")
     least = joined.filter("_group IS NOT NULL").groupBy(F.col("_group").alias("_g")).agg(F.min("doc_id").alias("_least"))
     zero = F.lit(0).cast("long")
