@@ -327,6 +327,26 @@ def test_every_occurrence_within_a_text_is_found(spark):
     assert got == {**{10 * i: (2, 120) for i in range(6)}, **{10 * i + 1: (1, 60) for i in range(6)}, 100: (0, 0)}
 
 
+@pytest.mark.parametrize("edit", ["changed", "inserted", "removed"])
+def test_a_passage_goes_on_beyond_one_edit(edit):
+    from tidemark.llm.compact_windows import passages
+
+    def shingles(words):
+        from tidemark.llm.text import mix, shingle_hashes
+
+        return shingle_hashes(mix(np.array([zlib.crc32(w.encode()) for w in words], np.uint64)), 5)[: len(words) - 4]
+
+    words = [f"w{i}" for i in range(52)]
+    other = {"changed": [*words[:26], "x", *words[27:]], "inserted": [*words[:26], "x", *words[26:]], "removed": words[:26] + words[27:]}[edit]
+    a = [f"a{i}" for i in range(30)] + words + [f"b{i}" for i in range(30)]
+    b = [f"c{i}" for i in range(20)] + other + [f"d{i}" for i in range(30)]
+    for at, to in ((35, 25), (70, 60 + len(other) - 52)):
+        assert passages(shingles(a), shingles(b), [(at, to)]) == [(30, 78, 20, 20 + len(other) - 4)]
+    # Two edits are too many for so short a passage.
+    other[10] = "y"
+    assert passages(shingles(a), shingles([f"c{i}" for i in range(20)] + other), [(70, 60 + len(other) - 52)]) == []
+
+
 def test_repeated_passages_of_nothing(nothing):
     assert repeated_passages(nothing).count() == 0
 

@@ -275,21 +275,55 @@ def aligned(x: np.ndarray, y: np.ndarray, a: int, b: int) -> tuple[int, int, int
     return a - back, b - back, back + 1 + best(x[a + 1 :], y[b + 1 :])
 
 
+def bridged(x: np.ndarray, y: np.ndarray, a: int, b: int) -> list[tuple[int, int, int, int]]:
+    """The pieces (start in x, end, start in y, end) around x[a] = y[b], in order, that lie up to GAP apart.
+
+    Beyond either end of a piece equality may go on on the same or a shifted diagonal.
+    """
+    i, j, n = aligned(x, y, a, b)
+    if not n:
+        return []
+
+    def ahead(u: np.ndarray, v: np.ndarray, p: int, q: int) -> list[tuple[int, int, int]]:
+        """(start in u, start in v, length) of what follows u[p] and v[q]."""
+        out = []
+        while True:
+            # The least shift first, then the nearest.
+            near = np.argwhere(u[p : p + GAP + 1, None] == v[None, q : q + GAP + 1])
+            if not len(near):
+                return out
+            d, e = min(near.tolist(), key=lambda z: (max(z), abs(z[0] - z[1])))
+            p, q = p + d, q + e
+            n = min(len(u) - p, len(v) - q)
+            # Runs are short as a rule; the look ahead grows with them.
+            run, step = 0, 64
+            while run < n:
+                differ = np.flatnonzero(u[p + run : p + min(run + step, n)] != v[q + run : q + min(run + step, n)])
+                if len(differ):
+                    run += int(differ[0])
+                    break
+                run, step = min(run + step, n), 2 * step
+            out.append((p, q, run))
+            p, q = p + run, q + run
+
+    after = [(p, p + m, q, q + m) for p, q, m in ahead(x, y, i + n, j + n)]
+    behind = [(i - p - m, i - p, j - q - m, j - q) for p, q, m in ahead(x[:i][::-1], y[:j][::-1], 0, 0)]
+    return [*reversed(behind), (i, i + n, j, j + n), *after]
+
+
 def agreement(x: np.ndarray, y: np.ndarray, a: int, b: int) -> tuple[int, int]:
-    """(start, end) in y of what agrees around x[a] = y[b]."""
-    _, j, n = aligned(x, y, a, b)
-    return j, max(j + n, b + 1)
+    """(start, end) in y of what agrees around x[a] = y[b], gaps bridged."""
+    found = bridged(x, y, a, b)
+    return (found[0][2], found[-1][3]) if found else (b, b + 1)
 
 
 def passages(x: np.ndarray, y: np.ndarray, places: list[tuple[int, int]], percent: int = PERCENT) -> list[tuple[int, int, int, int]]:
     """Verified passages (start in x, end, start in y, end), in shingles."""
-    pieces: list[tuple[int, int, int, int]] = []
+    pieces: set[tuple[int, int, int, int]] = set()
     for a, b in sorted(places):
         if any(p[0] <= a < p[1] and p[2] <= b < p[3] and a - p[0] == b - p[2] for p in pieces):
             continue
-        i, j, n = aligned(x, y, a, b)
-        if n:
-            pieces.append((i, i + n, j, j + n))
+        pieces.update(bridged(x, y, a, b))
     chains: list[list[tuple[int, int, int, int]]] = []
     for p in sorted(pieces):
         last = chains[-1][-1] if chains else None
@@ -299,13 +333,51 @@ def passages(x: np.ndarray, y: np.ndarray, places: list[tuple[int, int]], percen
         else:
             chains.append([p])
     found = []
-    for chain in chains:
-        whole = (chain[0][0], max(p[1] for p in chain), chain[0][2], chain[-1][3])
-        # A chain that is not similar enough as a whole may have pieces that are.
-        found += [whole] if _similar(x, y, whole, percent) else [p for p in chain if _similar(x, y, p, percent)]
+    while chains:
+        chain = chains.pop()
+        span = _span(chain)
+        if min(span[1] - span[0], span[3] - span[2]) < WIDTH:
+            continue
+        if _similar(x, y, span, percent):
+            found.append(span)
+            continue
+        # A chain that is not similar enough as a whole may have stretches that are.
+        first, last = _longest(x, y, chain)
+        if last - first < len(chain) and last > first and _similar(x, y, _span(chain[first:last]), percent):
+            found.append(_span(chain[first:last]))
+            chains += [c for c in (chain[:first], chain[last:]) if c]
+        else:
+            found += [p for p in chain if _similar(x, y, p, percent)]
     return found
 
 
+def _span(chain: list[tuple[int, int, int, int]]) -> tuple[int, int, int, int]:
+    return chain[0][0], max(p[1] for p in chain), chain[0][2], chain[-1][3]
+
+
+def _longest(x: np.ndarray, y: np.ndarray, chain: list[tuple[int, int, int, int]]) -> tuple[int, int]:
+    """The longest stretch (first piece, end) of a chain whose equal shingles outweigh the others.
+
+    s equal ones and d others of both texts together are similarity 0.8 where s = 4 d.
+    """
+    gains, steps = [], []
+    for p, before in zip(chain, [None, *chain]):
+        same = int(np.count_nonzero(x[p[0] : p[1]] == y[p[2] : p[3]]))
+        gains.append(same - 8 * (p[1] - p[0] - same))
+        steps.append(-4 * (max(p[0] - before[1], 0) + max(p[2] - before[3], 0)) if before else 0)
+    # Stretch [f, t) has sums[t] - starts[f]; only starts less than all before can begin the longest.
+    starts = np.cumsum(np.add([0, *gains[:-1]], steps))
+    sums = np.cumsum(np.add(gains, steps))
+    least = [f for f in range(len(chain)) if not f or starts[f] < starts[:f].min()]
+    best, length = (0, 0), 0
+    for t in range(len(chain) - 1, -1, -1):
+        while least and (least[-1] > t or sums[t] >= starts[least[-1]]):
+            f = least.pop()
+            if f <= t and chain[t][1] - chain[f][0] > length:
+                best, length = (f, t + 1), chain[t][1] - chain[f][0]
+    return best
+
+
 def _similar(x: np.ndarray, y: np.ndarray, passage: tuple[int, int, int, int], percent: int) -> bool:
     i, j, k, m = passage
     if min(j - i, m - k) < WIDTH:
