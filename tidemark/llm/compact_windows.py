@@ -46,7 +46,7 @@ CONTEXT = 16
 # Aligned pieces of one passage may be this many shingles apart.
 GAP = 2 * SHINGLE
 # So many windows of a key that are left after a round are compared each with each.
-FEW = 16
+FEW = 64
 
 
 def least_of_runs(keys: np.ndarray, width: int) -> np.ndarray:
@@ -225,6 +225,15 @@ def candidate_pairs(beside: DataFrame) -> DataFrame:
     )
 
 
+def different_keys(windows: DataFrame) -> DataFrame:
+    """(key, n) of the keys that several texts have; of keys with the same windows the least one."""
+    sets = windows.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("text_key", "c").cast("decimal(38,0)")).alias("_set"),
+        F.min("text_key").alias("_a"), F.max("text_key").alias("_z"),
+    )
+    return sets.filter("_a < _z").groupBy("n", "_set", "_a", "_z").agg(F.min("key").alias("key")).select("key", "n")
+
+
 def linked_passages(docs: DataFrame, hashes: int = HASHES) -> DataFrame:
     """(a, b, a_start, a_end, b_start, b_end) of the passages of all keys; a = b where a text repeats its own.
 
@@ -247,11 +256,13 @@ def linked_passages(docs: DataFrame, hashes: int = HASHES) -> DataFrame:
         met = verified.filter("place").select("a", F.col("a_start").cast("int").alias("ca"), "b", F.col("b_start").cast("int").alias("c"))
         apart = beside_first(members, firsts.filter("n > 2")).join(met, ["a", "ca", "b", "c"], "left_anti").distinct()
         apart = stored(apart, "windows-apart")
-        left = apart.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("b").alias("_a"), F.max("b").alias("_z"))
-        left = stored(left.filter("_a < _z").select("key", "n"), "keys-apart")
+        left = stored(different_keys(apart.select("key", F.col("b").alias("text_key"), "c")), "keys-apart")
         small, many = left.filter(F.col("n") <= FEW), left.filter(F.col("n") > FEW)
         few = None if small.isEmpty() else beside_each(apart.join(small.select("key"), "key"))
-        members = None if many.isEmpty() else stored(told_apart(apart.join(many.select("key"), "key"), docs).distinct(), "windows-told-apart")
+        members = None
+        if not many.isEmpty():
+            told = stored(told_apart(apart.join(many.select("key"), "key"), docs).distinct(), "windows-told-apart")
+            members = told.join(stored(different_keys(told), "keys-told-apart").select("key"), "key")
     return reduce(DataFrame.union, found)
 
 
