@@ -20,6 +20,8 @@ from tidemark.session import stored
 
 # A document stays if its language is identified at least this surely.
 MIN_SCORE = 0.5
+# Near duplicates share this much of their five-word shingles; at 0.8**6 a band, all bands differ with probability below 1e-6.
+NEAR_SHINGLE, NEAR_PERCENT, NEAR_BANDS = 5, 80, 46
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +39,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates, the one of the least doc_id."""
-    return one_per_component(docs)
+    return one_per_component(docs, k=NEAR_SHINGLE, percent=NEAR_PERCENT, bands=NEAR_BANDS)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

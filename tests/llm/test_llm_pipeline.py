@@ -47,6 +47,15 @@ def test_near_duplicates(tables):
     assert {i for i, _ in pairs(tables[2])} - {None} == want
 
 
+def test_near_duplicates_by_five_words(spark):
+    words = [f"w{i}" for i in range(400)]
+    changed = [f"x{i}" if i % 40 == 20 else w for i, w in enumerate(words)]
+    block = [f"v{i}" for i in range(100)]
+    rows = [(1, " ".join(words)), (2, " ".join(changed)), (3, " ".join(block)), (4, " ".join(block + [f"u{i}" for i in range(18)]))]
+    kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3]
+
+
 def test_decontamination(tables):
     before = pairs(tables[2])
     want = sorted((r[0] for r in brute.contaminated(before, [(1, prose(2, 70))]) if not r[5]), key=repr)
