@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bucket_refinement import remove_repeats
 from tidemark.llm.compact_windows import repeated_passages
+from tidemark.llm.conversation_repair import audit_table
 from tidemark.llm.divergence import (
     BINS,
     COMMON_WORDS,
@@ -247,3 +248,86 @@ def op5_minmax_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_bucket_refinement")
 def op10_bucket_refinement(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(documents(spark, folder), with_texts=False)
+
+
+def damage(conversations: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, stripped of sentence ends, repeated or given to the user, by a hash of their key."""
+    spoken = conversations.select("conv_id", "turn", *[F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")])
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    drawn = spoken.withColumn("drawn", F.crc32(key.cast("binary")) % 20).filter("drawn <> 0")
+    text = F.when(F.col("drawn") == 1, "").when(F.col("drawn") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("drawn") == 4, "user").otherwise(F.col("role"))
+    copies = F.explode(F.sequence(F.lit(1), F.when(F.col("drawn") == 3, 2).otherwise(1)))
+    return drawn.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+def _op13_sql() -> str:
+    """Damage, faults and the audit table in SQL; the cheapest audits by a step per row over four states."""
+    space = r"\x20\x09-\x0D"
+
+    def edit(state: int, cost: str, letter: str, line: str = "", only: str = "true") -> str:
+        lines = f"s{state}.o || CASE WHEN s{state}.o = '' THEN '' ELSE chr(10) END || {line}" if line else f"s{state}.o"
+        return f"CASE WHEN s{state}.c IS NOT NULL AND {only} THEN {{'c': s{state}.c + {cost}, 'a': s{state}.a || '{letter}', 'o': {lines}}} END"
+
+    def least(*found: str) -> str:
+        return f"list_sort(list_filter([{', '.join(found)}], lambda x: x.c IS NOT NULL))[1]"
+
+    may, keep = "fault < 2", "role || ':' || text"
+    kept = lambda s, initial: edit(s, "extra", "K", keep, f"{may} AND left(role, 1) = '{initial}'")
+    reroled = lambda s, role: edit(s, "extra + 1", "R", f"'{role}:' || text", may)
+    dropped = lambda s: edit(s, "2", "D")
+    put = lambda s, role: edit(s, "5", "I", f"'{role}:'")
+    empty = "{'c': CAST(0 AS BIGINT), 'a': '', 'o': ''}"
+    none = "{'c': CAST(NULL AS BIGINT), 'a': '', 'o': ''}"
+    return rf"""
+WITH RECURSIVE tab AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c
+    FROM (SELECT unnest(range(256)) AS i))),
+drawn AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+             lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), 4294967295), 4294967295) % 20 AS d
+  FROM conversations, tab),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+         CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN d = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM drawn WHERE d <> 0),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(len(role) || ':' || role || text)) AS i FROM damaged),
+faulty AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^{space}]') THEN 2
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 3
+                 WHEN NOT regexp_matches(text, '[.!?][{space}]*\z') THEN 1 ELSE 0 END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM numbered),
+steps AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, {empty} AS s0, {none} AS s1, {{'c': CAST(5 AS BIGINT), 'a': 'I', 'o': 'user:'}} AS s2,
+         {{'c': CAST(10 AS BIGINT), 'a': 'II', 'o': 'user:' || chr(10) || 'assistant:'}} AS s3
+  FROM (SELECT DISTINCT conv_id FROM faulty)
+  UNION ALL
+  SELECT conv_id, i, s0, s1, s2, {least("s3", put(2, "assistant"))} AS s3 FROM (
+    SELECT conv_id, i, s0, s1, {least("s2", put(0, "user"), put(1, "user"), put(3, "user"))} AS s2, s3 FROM (
+      SELECT f.conv_id, f.i, {least(dropped(0))} AS s0, {least(dropped(1), kept(0, "s"))} AS s1,
+             {least(dropped(2), kept(0, "u"), kept(1, "u"), kept(3, "u"), reroled(0, "user"), reroled(1, "user"), reroled(3, "user"))} AS s2,
+             {least(dropped(3), kept(2, "a"), reroled(2, "assistant"))} AS s3
+      FROM steps s JOIN (SELECT *, CASE WHEN fault = 1 THEN 5 ELSE 0 END AS extra FROM faulty) f ON s.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = s.i + 1))),
+ended AS (
+  SELECT conv_id, {least("s0", "s3")} AS s FROM steps QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 2) AS blank, count(*) FILTER (fault = 3) AS duplicate,
+         count(*) FILTER (fault = 1) AS truncated, count(*) FILTER (i > 1 AND before || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(s.c, 0) AS cost, coalesce(s.a, '') AS audit, sha256(coalesce(s.o, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN ended e ON o.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN counts c ON o.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
+
+OP13_SQL = _op13_sql()
+
+
+@query("op13_conversation_repair", OP13_SQL)
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{folder}/conversations.parquet")
+    return audit_table(conversations, damage(conversations))
