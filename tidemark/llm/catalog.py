@@ -27,6 +27,7 @@ from tidemark.llm.minmax_dedup import near_components
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.positional_index import decontaminate
 from tidemark.llm.separator_scan import count_tokens, write_token_files
+from tidemark.llm.slot_negatives import mine_hard_negatives
 from tidemark.llm.token_records import read_digests, write_records
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -250,6 +251,34 @@ def op10_bucket_refinement(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(documents(spark, folder), with_texts=False)
 
 
+OP12_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+r AS (SELECT row_number() OVER () AS row, * FROM v),
+scored AS (
+  SELECT a.row AS a, a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM r a, r b WHERE a.vec_id % 100 = 0 AND a.row <> b.row AND len(a.q) = len(b.q)),
+positives AS (
+  SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, id) AS place FROM scored WHERE same QUALIFY place <= 5),
+found AS (
+  SELECT p.anchor_id, p.id AS positive_id, row_number() OVER (PARTITION BY p.a, p.place ORDER BY n.score DESC, n.id) AS rank,
+         n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+  FROM positives p JOIN scored n ON n.a = p.a AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM found WHERE rank <= 10
+"""
+
+
+@query("op12_hard_negatives", OP12_SQL)
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(vectors.select("vec_id", "embedding", label.alias("label")))
+
+
 def damage(conversations: DataFrame) -> DataFrame:
     """Rows dropped, emptied, stripped of sentence ends, repeated or given to the user, by a hash of their key."""
     spoken = conversations.select("conv_id", "turn", *[F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")])
