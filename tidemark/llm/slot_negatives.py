@@ -221,7 +221,7 @@ PARTS = ("ids", "labels", "marks", "kind", "matrix")
 def _limits(score: Column, low: int, high: int) -> tuple[Column, Column]:
     """Least and greatest whole score s with low * score <= 100 * s <= high * score."""
     floor = lambda x: F.expr(f"({x} - pmod({x}, 100L)) div 100L")
-    return -floor(f"(-{low}L * score)"), floor(f"({high}L * score)")
+    return -floor(f"({-low}L * score)"), floor(f"({high}L * score)")
 
 
 def mine_hard_negatives(
