@@ -26,6 +26,7 @@ from tidemark.llm.license_scan import TEMPLATES, scan_licenses
 from tidemark.llm.minmax_dedup import near_components
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.positional_index import decontaminate
+from tidemark.llm.secret_scan import ACCESS, ASSIGN, HEX, NOVEL, find_secrets, told
 from tidemark.llm.separator_scan import count_tokens, write_token_files
 from tidemark.llm.slot_negatives import mine_hard_negatives
 from tidemark.llm.token_records import read_digests, write_records
@@ -251,6 +252,17 @@ def op10_bucket_refinement(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(documents(spark, folder), with_texts=False)
 
 
+@query("op11_secret_scan")
+def op11_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_secrets(documents(spark, folder), keep=["doc_id"])
+    base = F.filter("secrets", lambda x: x["kind"] != NOVEL)
+    count = lambda kind: F.size(F.filter("secrets", lambda x: x["kind"] == kind)).cast("long")
+    return found.select(
+        "row.doc_id", count(ASSIGN).alias("n_assign"), count(ACCESS).alias("n_access"), count(HEX).alias("n_hex"),
+        F.sha2(told(base), 256).alias("base_sha256"), told(F.col("secrets")).alias("spans"), count(NOVEL).alias("n_novel"),
+    )
+
+
 OP12_SQL = """
 WITH v AS (
   SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
