@@ -32,6 +32,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import stored
+
 # Functions that run in Python workers travel with the job.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -87,7 +89,13 @@ def identifier_counts(docs: DataFrame) -> DataFrame:
 
 def identifier_dictionary(docs: DataFrame, size: int = DICTIONARY_BYTES) -> bytes:
     """The commonest identifiers, the commonest last, in at most `size` bytes."""
-    top = identifier_counts(docs).orderBy(F.desc("n"), "identifier").limit(size // 5 + 1).collect()
+    counts, wanted = stored(identifier_counts(docs), "identifiers"), size // 5 + 1
+    # Only the highest powers of two that hold enough of them are ranked.
+    by_bits = dict(counts.groupBy(F.length(F.bin("n"))).count().collect())
+    bits, held = max(by_bits, default=1), 0
+    while bits > 1 and (held := held + by_bits.get(bits, 0)) < wanted:
+        bits -= 1
+    top = counts.filter(F.col("n") >= 1 << (bits - 1)).orderBy(F.desc("n"), "identifier").limit(wanted).collect()
     words, left = [], size - len(CODE) - 1
     for row in top:
         left -= len(row.identifier) + 1
