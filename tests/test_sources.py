@@ -1,5 +1,6 @@
 import json
-from datetime import datetime
+import os
+from datetime import datetime, timedelta
 
 from frames import by_time, day, prices
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from tidemark.sources.payloads import (
     validate_payload,
 )
 from tidemark.sources.tables import read_prices, write_prices
-from tidemark.streaming.payloads import stream_price_payloads, write_stream
+from tidemark.streaming.payloads import KINDS, land_price_stream, landed, landed_prices, stream_price_payloads, write_stream
 
 
 def record(i, **changes):
@@ -133,3 +134,57 @@ def test_stream_drops_repeated_deliveries_and_late_rows(spark, tmp_path):
     got = [t.day + 31 * (t.month - 1) - 1 for t in by_time(spark.read.parquet(sink), "ts")]
     # Day 5 arrives more than ten days behind day 40 and is late.
     assert got == [0, 1, 2, 3, 35, 40, 41]
+
+
+def test_stream_keeps_all_that_arrives(spark, tmp_path):
+    """Against a plain loop over batches: first copies, late copies, unreadable records and rejected payloads."""
+    source, target = tmp_path / "in", str(tmp_path / "landed")
+    late, quarantined, rejected, state, seen, closed = [], [], [], [], {}, None
+
+    def deliver(*files):
+        nonlocal closed
+        batch, newest = [], closed
+        for age, (name, code, records) in enumerate(files):
+            folder = source / f"series={name[0]}"
+            folder.mkdir(parents=True, exist_ok=True)
+            file = folder / f"{name}.json"
+            file.write_text(payload([record(0, **{SELL_FIELD: p, TIME_FIELD: t}) for p, t in records], code))
+            os.utime(file, (1_700_000_000 + deliver.clock - age,) * 2)  # later files are older
+            if code != SUCCESS_CODE or not records:
+                rejected.append((name[0], "response_code" if code != SUCCESS_CODE else "empty_price_list"))
+                continue
+            for ordinal, (price, time) in enumerate(records):
+                if price == "n/a" or time == "?":
+                    quarantined.append((name[0], ordinal, "bad_time" if time == "?" else "bad_selling_price"))
+                else:
+                    batch.append((deliver.clock - age, file.name, ordinal, name[0], datetime.fromisoformat(time), float(price)))
+        deliver.clock += 100
+        for *_, series, ts, price in sorted(batch):
+            if closed is not None and ts <= closed:
+                late.append((series, ts, price))
+            else:
+                seen.setdefault((series, ts), price)
+            newest = max(x for x in (newest, ts - timedelta(days=10)) if x is not None)
+        closed = newest
+        query = land_price_stream(spark, str(source), target, f"{target}/checkpoint", ["series"], watermark="10 days")
+        query.awaitTermination()
+        state.append(query.lastProgress["stateOperators"][0]["numRowsTotal"] if query.lastProgress else None)
+
+    deliver.clock = 0
+    ok = SUCCESS_CODE
+    deliver(("a1", ok, [("1", "2024-01-01"), ("2", "2024-01-01"), ("-3", "2024-01-02"), ("n/a", "2024-01-03")]), ("a2", ok, [("9", "2024-01-01")]), ("b1", "500", [("1", "2024-01-01")]))
+    deliver(("a3", ok, [("7", "2024-01-02"), ("8", "2024-01-04"), ("4", "?")]), ("b2", ok, [("5", "2024-01-01")]), ("b3", ok, []))
+    deliver(("a4", ok, [("6", "2024-03-01"), ("6", "2024-02-20")]))
+    deliver(("a5", ok, [("7", "2024-01-01"), ("7", "2024-02-20"), ("7", "2024-02-21"), ("n/a", "2024-01-01")]), ("a6", ok, [("8", "2024-02-21"), ("8", "2024-02-20"), ("3", "2024-02-25")]))
+    deliver(("b4", ok, [("6", "2024-06-01")]))
+    query = land_price_stream(spark, str(source), target, f"{target}/checkpoint", ["series"], watermark="10 days")
+    query.awaitTermination()  # nothing new
+    got = {k: sorted(tuple(r) for r in landed(spark, target, k).select("series", "ts", "selling_price", "ordinal", "reason").collect()) if k not in ("quarantined", "rejected") else
+           sorted(tuple(r) for r in landed(spark, target, k).select("series", "ordinal", "reason", "payload").collect()) for k in KINDS}
+    assert [r[:3] for r in got["price"]] == sorted((s, t, p) for (s, t), p in seen.items())
+    assert [r[:3] for r in got["late"]] == sorted(late) and late
+    assert [r[:3] for r in got["quarantined"]] == sorted(quarantined)
+    assert [(r[0], r[2]) for r in got["rejected"]] == sorted(rejected) and all(json.loads(r[3])["responseCode"] for r in got["rejected"])
+    assert sorted((r.series, r.ts, r.selling_price) for r in landed_prices(spark, target).collect()) == sorted((s, t, p) for (s, t), p in seen.items() if p > 0)
+    # Closed timestamps leave the state: after the last delivery only its own is open.
+    assert state[-1] < max(state)

@@ -35,17 +35,21 @@ def to_prices(records: DataFrame, keys: Sequence[str] = (), extra: Sequence[str]
     )
 
 
+def bad_record_reason() -> Column:
+    """Why a record of text cannot be read as a price; NULL if it can."""
+    return (
+        F.when(F.try_to_timestamp(F.col(TIME_FIELD)).isNull(), "bad_time")
+        .when(_number(SELL_FIELD).isNull(), "bad_selling_price")
+        .when(_number(BUY_FIELD).isNull(), "bad_buying_price")
+    )
+
+
 def split_bad_records(records: DataFrame, keys: Sequence[str] = (), extra: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """(good price rows, quarantined records with the reason).
 
     A NULL or NaN price is quarantined like an unreadable one.
     """
-    reason = (
-        F.when(F.try_to_timestamp(F.col(TIME_FIELD)).isNull(), "bad_time")
-        .when(_number(SELL_FIELD).isNull(), "bad_selling_price")
-        .when(_number(BUY_FIELD).isNull(), "bad_buying_price")
-    )
-    judged = records.withColumn("reason", reason)
+    judged = records.withColumn("reason", bad_record_reason())
     good = to_prices(judged.filter(F.col("reason").isNull()), keys, extra)
     bad = judged.filter(F.col("reason").isNotNull()).select(
         *keys, *extra, SELL_FIELD, BUY_FIELD, TIME_FIELD, "reason"

@@ -6,7 +6,7 @@ whose numbers are checked by the unit tests. Streams are checked against SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.alignment import naive_forecast
@@ -23,7 +23,7 @@ from tidemark.operators.metrics import regression_metrics
 from tidemark.operators.reporting import best_model, run_summary
 from tidemark.operators.scaling import fit_scaler
 from tidemark.operators.sequences import chronological_split, latest_window
-from tidemark.plans.catalog.cleaning import BLOCK, KEY, _JUDGED, payload_text
+from tidemark.plans.catalog.cleaning import _JUDGED, _PAYLOADS, BLOCK, KEY, payload_text
 from tidemark.plans.catalog.features import indicators_sql
 from tidemark.plans.catalog.registry import query, rounded, sql_round
 from tidemark.plans.preprocess import Prepared, fit_and_predict, prepare, prepare_recent
@@ -165,7 +165,7 @@ def _stream_payloads(spark: SparkSession, folder: str) -> DataFrame:
     documents = payload_text(spark, folder)
     for delivery in range(2):
         documents.write.mode("append").partitionBy("series", "year").option("maxRecordsPerFile", 1).text(source)
-    prices = stream_price_payloads(spark, source, "5000 days", ["series", "year"]).drop("year")
+    prices = stream_price_payloads(spark, source, keys=["series", "year"]).drop("year")
     path = new_folder(spark, "stream")
     write_stream(prices, path, f"{path}-checkpoint").awaitTermination()
     return spark.read.schema(prices.schema).parquet(path).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
@@ -177,18 +177,59 @@ _COPIES = """SELECT series, ts, CASE WHEN day(ts) = 10 THEN -1 ELSE selling_pric
     FROM ({judged}) WHERE NOT absent AND NOT unreadable""".format(judged=_JUDGED)
 
 
+def _changed(record: Column, price: str) -> Column:
+    return F.map_concat(F.map_filter(record, lambda k, v: k != SELL_FIELD), F.create_map(F.lit(SELL_FIELD), F.lit(price)))
+
+
+def _later_copy(record: Column) -> Column:
+    return F.when(record[SELL_FIELD] == "n/a", record).otherwise(_changed(record, "5"))
+
+
+def _deliver(payloads: DataFrame, records: Column, folder: str) -> None:
+    """Payload documents with these records as files of a folder."""
+    text = F.to_json(F.struct("responseCode", F.struct(records.alias("priceList")).alias("data")))
+    files = payloads.select("series", "year", text.alias("value")).write.mode("append").partitionBy("series", "year")
+    files.option("maxRecordsPerFile", 1).text(folder)
+
+
 @query("stream_first_copies", f"SELECT series, ts, selling_price, buying_price, selling_price - buying_price AS spread FROM ({_COPIES}) WHERE selling_price > 0")
 def _stream_first(spark: SparkSession, folder: str) -> DataFrame:
     """Copies that differ, also across deliveries: the first one counts, even where it is invalid."""
     source, target = new_folder(spark, "arriving"), new_folder(spark, "landed-stream")
-    records = F.col("data.priceList")
     tenth = lambda r: F.substring(r[TIME_FIELD], 9, 2) == "10"
-    changed = lambda r, price: F.map_concat(F.map_filter(r, lambda k, v: k != SELL_FIELD), F.create_map(F.lit(SELL_FIELD), price))
-    kept = F.transform(records, lambda r: F.when(tenth(r), changed(r, F.lit("-1"))).otherwise(r))
-    later = F.transform(records, lambda r: F.when(r[SELL_FIELD] == "n/a", r).otherwise(changed(r, F.lit("5"))))
+    kept = F.transform("data.priceList", lambda r: F.when(tenth(r), _changed(r, "-1")).otherwise(r))
+    later = F.transform("data.priceList", _later_copy)
     parsed = parse_payloads(payload_text(spark, folder))
-    for number, price_list in enumerate((F.concat(kept, later), later)):
-        text = F.to_json(F.struct("responseCode", F.struct(price_list.alias("priceList")).alias("data")))
-        parsed.select("series", "year", text.alias("value")).write.mode("append").partitionBy("series", "year").option("maxRecordsPerFile", 1).text(source)
+    for price_list in (F.concat(kept, later), later):
+        _deliver(parsed, price_list, source)
         land_price_stream(spark, source, target, f"{target}/checkpoint", ["series", "year"]).awaitTermination()
     return landed_prices(spark, target).drop("year").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+# The years up to this one arrive first; then all years do, with other prices.
+_FIRST_YEARS = 1995
+
+
+@query(
+    "stream_arrivals",
+    f"""WITH good AS (SELECT * FROM ({_JUDGED}) WHERE NOT absent AND NOT unreadable),
+        closed AS (SELECT max(ts) - INTERVAL 60 DAY AS until FROM good WHERE year <= {_FIRST_YEARS})
+        SELECT 'price' AS kind, series, ts, CASE WHEN year <= {_FIRST_YEARS} THEN selling_price ELSE 5 END AS selling_price, NULL AS reason, 1 AS n FROM good
+        UNION ALL SELECT 'late', series, ts, 5, NULL, 1 FROM good, closed WHERE ts <= until
+        UNION ALL SELECT 'quarantined', series, ts, NULL, CASE WHEN unreadable THEN 'bad_selling_price' ELSE 'bad_buying_price' END,
+                         CASE WHEN year <= {_FIRST_YEARS} THEN 2 ELSE 1 END FROM ({_JUDGED}) WHERE absent OR unreadable
+        UNION ALL SELECT 'rejected', series, make_timestamp(year, 1, 1, 0, 0, 0), NULL, reject_reason, CASE WHEN year <= {_FIRST_YEARS} THEN 2 ELSE 1 END
+                  FROM ({_PAYLOADS}) WHERE reject_reason IS NOT NULL""",
+)
+def _stream_arrivals(spark: SparkSession, folder: str) -> DataFrame:
+    """All kinds of rows of two deliveries: the second repeats the first with other prices and brings later years."""
+    source, target = new_folder(spark, "arriving"), new_folder(spark, "landed-stream")
+    parsed = parse_payloads(payload_text(spark, folder))
+    for payloads, price_list in ((parsed.filter(F.col("year") <= _FIRST_YEARS), F.col("data.priceList")), (parsed, F.transform("data.priceList", _later_copy))):
+        _deliver(payloads, price_list, source)
+        land_price_stream(spark, source, target, f"{target}/checkpoint", ["series", "year"], watermark="60 days").awaitTermination()
+    every = spark.read.parquet(target)
+    of_year = F.make_timestamp_ntz(F.col("year").cast("int"), *[F.lit(x) for x in (1, 1, 0, 0, 0)])
+    ts = F.when(F.col("kind") == "rejected", of_year).otherwise(F.col("ts").cast("timestamp_ntz")).alias("ts")
+    price = F.when(F.col("kind").isin("price", "late"), F.col("selling_price")).alias("selling_price")
+    return every.groupBy(F.col("kind").cast("string").alias("kind"), "series", ts, price, "reason").agg(F.count(F.lit(1)).cast("int").alias("n"))
