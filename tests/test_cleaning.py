@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -42,8 +43,8 @@ def test_second_column_sees_the_rows_the_first_kept(spark):
     assert (r.lower, r.upper) == (7.0, 15.0)
 
 
-@pytest.mark.parametrize("accuracy", [20, 100, 100_000])
-def test_exact_quantiles_equal_numpy_in_every_distribution(spark, accuracy):
+@pytest.mark.parametrize("cuts", [{}, {"per_octave": 1, "parts": 200}])
+def test_exact_quantiles_equal_numpy_in_every_distribution(spark, cuts):
     rng = random.Random(5)
     groups = {
         "heavy": [rng.paretovariate(0.5) for _ in range(4000)],
@@ -52,14 +53,27 @@ def test_exact_quantiles_equal_numpy_in_every_distribution(spark, accuracy):
         "two": [1.0, 2.0],
         "one": [3.0],
         "negative": [rng.gauss(0, 1) for _ in range(997)],
+        "close": [1e9 + i * 2.0**-20 for i in range(500)],
+        "extreme": [rng.choice((-1, 1)) * 10.0 ** rng.randrange(-320, 308) for _ in range(800)] + [0.0, -0.0],
+        "infinite": [math.inf] * 40 + [-math.inf] * 30 + [1.0, 2.0] * 20,
+        None: [rng.uniform(-1, 1) for _ in range(50)],
     }
     rows = [(k, v) for k, vs in groups.items() for v in vs] + [("heavy", None), ("empty", None)]
     df = spark.createDataFrame(rows, "series string, v double").repartition(7)
     probabilities = (0.0, 0.25, 0.5, 0.75, 1.0)
-    found = {r.series: list(r)[1:] for r in exact_quantiles(df, KEY, "v", probabilities, accuracy).collect()}
+    found = {r.series: list(r)[1:] for r in exact_quantiles(df, KEY, "v", probabilities, **cuts).collect()}
     assert set(found) == set(groups)
     for k, vs in groups.items():
-        assert found[k] == pytest.approx(np.quantile(vs, probabilities).tolist(), rel=1e-12)
+        if k == "infinite":
+            assert found[k] == [-math.inf, -math.inf, 2.0, math.inf, math.inf]
+        else:
+            assert found[k] == pytest.approx(np.quantile(vs, probabilities).tolist(), rel=1e-12)
+
+
+def test_nan_counts_as_the_greatest_number(spark):
+    df = spark.createDataFrame([(v,) for v in (1.0, 2.0, math.nan, 3.0, None)], "v double")
+    r = exact_quantiles(df, [], "v", (0.0, 1 / 3, 0.5, 1.0)).first()
+    assert list(r)[:3] == pytest.approx([1.0, 2.0, 2.5]) and math.isnan(r.q3)
 
 
 def test_quantiles_without_keys(spark):

@@ -75,9 +75,11 @@ def positive_prices(df: DataFrame, columns: Sequence[str] = PRICES) -> DataFrame
 
 
 def quartiles(df: DataFrame, keys: Sequence[str], column: str, method: str = "exact", accuracy: int = ACCURACY) -> DataFrame:
-    """(keys, q1, q3)."""
-    find = {"exact": exact_quantiles, "approx": approx_quantiles}[method]
-    found = find(df, keys, column, (0.25, 0.75), accuracy)
+    """(keys, q1, q3); `accuracy` is that of the sketch behind `approx`."""
+    if method not in ("exact", "approx"):
+        raise ValueError("method is exact or approx")
+    quarters = (0.25, 0.75)
+    found = exact_quantiles(df, keys, column, quarters) if method == "exact" else approx_quantiles(df, keys, column, quarters, accuracy)
     return found.select(*keys, F.col("q0").alias("q1"), F.col("q1").alias("q3"))
 
 
@@ -107,8 +109,9 @@ def iqr_filter(
     for c in columns:
         bounds = iqr_bounds(df, keys, c, k, method, accuracy)
         bounds = bounds.select(*keys, F.col("lower").alias("_lower"), F.col("upper").alias("_upper"))
-        kept = attach(df, bounds, keys).filter((F.col(c) >= F.col("_lower")) & (F.col(c) <= F.col("_upper")))
-        df = kept.select(*df.columns)
+        # Exact bounds come from a stored table, whose size the planner knows.
+        met = key_join(df, bounds, keys, "left") if keys and method == "exact" else attach(df, bounds, keys)
+        df = met.filter((F.col(c) >= F.col("_lower")) & (F.col(c) <= F.col("_upper"))).select(*df.columns)
     return df
 
 

@@ -1,84 +1,104 @@
-"""Exact interpolated quantiles per group, without holding a group in one task."""
+"""Exact interpolated quantiles per group by repeated cutting, without holding a group in one task."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import attach
+from tidemark.functions.numeric import attach, key_join
+from tidemark.session import stored
 
 ACCURACY = 100_000
-# Groups up to WHOLE rows are ranked whole. Groups up to `accuracy` rows use the wide
-# margin, which is some ranks wide there; larger groups the narrow one, 4/accuracy.
-WHOLE = 1_000
-WIDE_MARGIN = 4.0 / WHOLE
+# Buckets of the first round between a number and its double, and of a bucket that is cut again.
+PER_OCTAVE, PARTS = 64, 1 << 20
+# Above the bucket of every finite number, and of every infinite one.
+INFINITE, NOT_A_NUMBER = 1 << 22, 1 << 23
 
 
-def _edges(probabilities: Sequence[float], margin: float) -> list[float]:
-    return [e for p in probabilities for e in (max(p - margin, 0.0), min(p + margin, 1.0))]
+def _magnitude(per_octave: int) -> Column:
+    """A whole number that never falls as `_v` grows: its logarithm, mirrored for numbers below zero."""
+    # The logarithm of zero is NULL.
+    positive = f"least(floor(log2(abs(_v)) * {float(per_octave)}), {INFINITE}L) + {1100 * per_octave}L"
+    return F.expr(f"CASE WHEN isnan(_v) THEN {NOT_A_NUMBER}L WHEN _v = 0 THEN 0L WHEN _v < 0 THEN -({positive}) ELSE {positive} END")
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], column: str, probabilities: Sequence[float], accuracy: int = ACCURACY
+    df: DataFrame,
+    keys: Sequence[str],
+    column: str,
+    probabilities: Sequence[float],
+    per_octave: int = PER_OCTAVE,
+    parts: int = PARTS,
 ) -> DataFrame:
     """(keys, q0, q1, ...): linear interpolation between the two nearest order statistics.
 
-    A mergeable sketch brackets each wanted rank by two values between which only
-    a small share of the group lies: 8/1000 of it, or 8/accuracy if it has more
-    than `accuracy` rows. A second pass counts the values below the bracket and the
-    copies of each value inside it, and the wanted order statistics are read off
-    those counts. Both passes combine map-side: a hot group sends one sketch per
-    task, and then max(WHOLE, 8n/1000 or 8n/accuracy) distinct values at most.
+    Values are counted in buckets that follow their order, first by logarithm. Only the
+    buckets that hold a wanted rank are cut again, each into `parts` equal steps from its
+    least to its greatest value, until every one of them holds a single value: twice for
+    most data, five times at most, as every round adds twenty bits to a number's leading
+    ones. Counts combine map-side, so a hot group sends a task's buckets, not its rows; a
+    key has at most 2200 * `per_octave` buckets on either side of zero, and later `parts`
+    for each of its ranks, whatever its number of rows. NULLs are left out, NaN counts as
+    the greatest number.
     """
     keys = list(keys)
-    values = df.select(*keys, F.col(column).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    narrow, wide = _edges(probabilities, 4.0 / accuracy), _edges(probabilities, WIDE_MARGIN)
-    sketch = values.groupBy(*keys).agg(
-        F.count("_v").alias("_n"), F.percentile_approx("_v", narrow + wide, accuracy).alias("_edges")
-    )
-
-    def edge(i: int) -> Column:
-        chosen = F.when(F.col("_n") > accuracy, F.col("_edges")[i]).otherwise(F.col("_edges")[len(narrow) + i])
-        return F.when(F.col("_n") > min(WHOLE, accuracy), chosen)
-
-    wanted = [
-        F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"), edge(2 * i).alias("lo"), edge(2 * i + 1).alias("hi"))
-        for i, p in enumerate(probabilities)
-    ]
-    brackets = sketch.select(*keys, "_n", F.array(*wanted).alias("_brackets"))
-    placed = attach(values, brackets, keys).select(*keys, "_v", "_n", F.explode("_brackets").alias("_b"))
-    side = F.when(F.col("_v") < F.col("_b.lo"), -1).when(F.col("_v") > F.col("_b.hi"), 1).otherwise(0)
-    placed = placed.select(*keys, "_v", "_n", F.col("_b.i").alias("_i"), F.col("_b.p").alias("_p"), side.alias("_side"))
-    # Each side outside the bracket becomes one row with its count and the value
-    # next to the bracket, whose rank is known too.
-    inside = F.when(F.col("_side") == 0, F.col("_v")).alias("_inside")
-    counted = placed.groupBy(*keys, "_i", "_p", "_n", "_side", inside).agg(
-        F.count(F.lit(1)).alias("_copies"), F.min("_v").alias("_least"), F.max("_v").alias("_most")
-    )
-
-    by_value = Window.partitionBy(*keys, "_i").orderBy("_side", "_inside")
-    upto = F.sum("_copies").over(by_value.rowsBetween(Window.unboundedPreceding, 0))
-    at = F.col("_p") * (F.col("_n") - 1)
-    ranked = counted.withColumns({"_at": at, "_upto": upto}).withColumn("_from", F.col("_upto") - F.col("_copies"))
-
-    def value_at(rank: Column) -> Column:
-        known = (
-            F.when(F.col("_side") == 0, (F.col("_from") <= rank) & (rank < F.col("_upto")))
-            .when(F.col("_side") == -1, rank == F.col("_upto") - 1)
-            .otherwise(rank == F.col("_from"))
+    values = df.select(*keys, F.col(column).cast("double").alias("_v")).filter("_v IS NOT NULL")
+    rows = values.select("*", F.lit(0).alias("_parent"), _magnitude(per_octave).alias("_bucket"))
+    # The two order statistics around each quantile, numbered from 0.
+    at = [f"{float(p)!r}D * (_n - 1)" for p in probabilities]
+    ranks = ", ".join(f"struct({i} AS i, {f}({x}) AS rank)" for i, x in enumerate(at) for f in ("floor", "ceil"))
+    group = Window.partitionBy(*keys, "_parent")
+    upto = F.sum("_copies").over(group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0))
+    state = None
+    while True:
+        counts = rows.groupBy(*keys, "_parent", "_bucket").agg(
+            F.count(F.lit(1)).alias("_copies"), F.min("_v").alias("_least"), F.max("_v").alias("_most")
         )
-        return F.max(F.when(known, F.when(F.col("_side") == 1, F.col("_least")).otherwise(F.col("_most"))))
-
-    lower, upper = value_at(F.floor("_at")), value_at(F.ceil("_at"))
-    weight = F.max(F.col("_at") - F.floor("_at"))
-    quantile = F.when(lower.isNull() | upper.isNull(), F.raise_error(F.lit("quantile rank fell outside its bracket")))
-    quantile = quantile.otherwise(lower + (upper - lower) * weight)
-    points = ranked.groupBy(*keys, "_i").agg(quantile.alias("_q"))
-    return points.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(f"q{i}") for i in range(len(probabilities))]
-    )
+        counts = counts.repartition(*keys) if keys else counts.repartition(1)
+        if state is None:
+            counts = counts.withColumns({"_n": F.sum("_copies").over(group), "_before": F.lit(0).cast("long"), "_upto": upto})
+            counts = counts.withColumn("_wanted", F.expr(f"array({ranks})"))
+        else:
+            before, wanted = (F.expr(f"_chosen[_parent].{c}") for c in ("from", "wanted"))
+            counts = _meet(counts, state, keys).withColumns({"_before": before, "_wanted": wanted, "_upto": upto})
+        placed = counts.withColumn("_from", F.expr("_before + _upto - _copies"))
+        bucket = "struct(_least AS least, _most AS most, _from AS from, filter(_wanted, r -> r.rank >= _from AND r.rank < _from + _copies) AS wanted)"
+        chosen = placed.select(*keys, "_n", F.expr(bucket).alias("_b")).filter("size(_b.wanted) > 0")
+        chosen = chosen.groupBy(*keys).agg(F.max("_n").alias("_n"), F.collect_list("_b").alias("_chosen"))
+        told = Observation()
+        state = stored(chosen.observe(told, F.expr("count_if(exists(_chosen, b -> b.least < b.most)) AS open")), "ranks")
+        if not told.get["open"]:
+            break
+        rows = _cut_again(values, state, keys, 2 * len(probabilities), parts)
+
+    def quantile(i: int) -> Column:
+        # The lesser rank holds the lesser value.
+        own = f"transform(filter(_chosen, b -> exists(b.wanted, r -> r.i = {i})), b -> b.least)"
+        lower, upper = f"array_min({own})", f"array_max({own})"
+        between = f"{lower} + ({upper} - {lower}) * ({at[i]} - floor({at[i]}))"
+        return F.expr(f"CASE WHEN {lower} = {upper} THEN {lower} ELSE {between} END").alias(f"q{i}")
+
+    return state.select(*keys, *[quantile(i) for i in range(len(probabilities))])
+
+
+def _meet(df: DataFrame, state: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join on keys; the state's size is known, so a small one is broadcast."""
+    return key_join(df, state, keys) if keys else attach(df, state, keys)
+
+
+def _cut_again(values: DataFrame, state: DataFrame, keys: Sequence[str], most: int, parts: int) -> DataFrame:
+    """Rows inside chosen buckets with the bucket's place in the state and their step between its ends; no other row is kept.
+
+    Buckets of one value are met again as they are, so that every key stays in the state.
+    """
+    met = _meet(values, state.select(*keys, "_chosen"), keys)
+    places = " ".join(f"WHEN _v >= get(_chosen, {i}).least AND _v <= get(_chosen, {i}).most THEN {i}" for i in range(most))
+    inside = met.select(*keys, "_v", "_chosen", F.expr(f"CASE {places} END").alias("_parent")).filter("_parent IS NOT NULL")
+    inside = inside.select(*keys, "_v", "_parent", F.expr("_chosen[_parent]").alias("_own"))
+    step = f"floor(coalesce(try_divide(_v - _own.least, _own.most - _own.least), 0D) * {float(parts)!r}D)"
+    return inside.select(*keys, "_v", "_parent", F.expr(step).alias("_bucket"))
 
 
 def approx_quantiles(
