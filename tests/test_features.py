@@ -1,7 +1,8 @@
+import random
 import numpy as np
 import pandas as pd
 import pytest
-from frames import by_time, prices
+from frames import by_time, day, prices
 from pyspark.sql import functions as F
 
 from tidemark.operators.features import (
@@ -132,3 +133,43 @@ def test_lookback_counts_rows_of_sparse_series(spark):
 def test_one_shuffle_for_all_indicators(spark, capsys):
     add_indicators(prices(spark, range(10)), KEY, blocks=None).explain()
     assert capsys.readouterr().out.count("Exchange") == 1
+
+
+def _plain_average(xs, n, start=None):
+    a, e, out = 2.0 / (n + 1), start, []
+    for x in xs:
+        if x is not None:
+            e = x if e is None else a * x + (1 - a) * e
+        out.append(None if x is None else e)
+    return out
+
+
+def _close(got, want):
+    assert [v is None for v in got] == [v is None for v in want]
+    assert [v for v in got if v is not None] == pytest.approx([v for v in want if v is not None], rel=1e-9, abs=1e-9)
+
+
+@pytest.mark.parametrize("blocks", [None, 5, 40])
+def test_averages_equal_plain_loops_in_any_blocks(spark, blocks):
+    rng = random.Random(4)
+    series = {
+        "gaps": [None] * 7 + [rng.uniform(-50, 90) if rng.random() < 0.6 else None for _ in range(150)],
+        "long": [rng.gauss(1000, 300) for _ in range(400)],
+        "one": [3.0],
+        "unknown": [None] * 12,
+        None: [5.0, None, 6.0],
+    }
+    rows = [(k, day(i), v) for k, vs in series.items() for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "series string, ts timestamp, v double").repartition(5)
+    averaged = ema(df, ["series"], "ts", "v", (1, 5, 60), blocks)
+    moved = macd(df, ["series"], "ts", "v", 4, 9, 4, blocks)  # the signal's weight is the fast one's
+    for k, vs in series.items():
+        got = averaged.filter(F.col("series").eqNullSafe(k)).orderBy("ts").collect()
+        for n in (1, 5, 60):
+            _close([r[f"ema_{n}"] for r in got], _plain_average(vs, n))
+        fast, slow = _plain_average(vs, 4), _plain_average(vs, 9)
+        line = [None if f is None else f - s for f, s in zip(fast, slow)]
+        signal = _plain_average(line, 4)
+        got = moved.filter(F.col("series").eqNullSafe(k)).orderBy("ts").collect()
+        _close([r.macd for r in got], line)
+        _close([r.macd_signal for r in got], signal)

@@ -14,8 +14,9 @@ How blocks are found, without sorting the data and without sampling:
    there are about CELLS_PER_BLOCK cells per block (map-side combined). A cell that
    still holds many rows, because they came in a burst, is sliced again over its
    own span, as often as needed;
-3. running counts over cells give each cell its first row number, its block and
-   the later blocks whose halo reaches into it;
+3. running counts over cells, in groups of cells and then over the groups, give each
+   cell its first row number and its block; an equi-join on block numbers finds the
+   later blocks whose halo reaches into it;
 4. rows look up their cell and are shuffled once by (key, block).
 
 Steps 1 to 3 run when the plan is built: their small tables are stored, so that the
@@ -30,7 +31,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +43,8 @@ CELLS_PER_BLOCK = 16
 DENSE = 0.25
 # Dense cells are few, so they are sliced finely: a burst is found in fewer passes.
 BURST_FINENESS = 64
+# Rows that a window over a layout's small tables holds.
+GROUP = 1024
 
 BLOCK = "_block"
 HALO = "_halo"
@@ -104,22 +107,20 @@ def _cell_names(depth: int) -> list[str]:
 
 
 def _slices(counts: DataFrame, by: list[str], block_rows: int, fineness: int = 1) -> DataFrame:
-    """(by, lowest position, width, number of slices) from (by, _n, _lo, _hi)."""
+    """(by, lowest position, width, number of slices, rows of the whole series) from (by, _n, _lo, _hi, _series)."""
     wanted = F.ceil(F.col("_n") * (CELLS_PER_BLOCK * fineness) / block_rows)
     slices = F.when(F.col("_n") <= block_rows * DENSE, 1).otherwise(wanted)
     width = (F.col("_hi") - F.col("_lo")).cast("double")
-    return counts.select(*by, "_lo", width.alias("_width"), slices.alias("_slices"))
+    return counts.select(*by, "_lo", width.alias("_width"), slices.alias("_slices"), "_series")
 
 
-def _dense(counts: DataFrame, keys: list[str], block_rows: int) -> DataFrame:
+def _is_dense(block_rows: int) -> Column:
     """Cells to slice again: large ones with more than one position, of series longer than a block."""
-    series = F.sum("_n").over(Window.partitionBy(*keys))
-    whole = counts.withColumn("_series", series).filter(F.col("_series") > block_rows).drop("_series")
-    return whole.filter((F.col("_n") > block_rows * DENSE) & (F.col("_hi") > F.col("_lo")))
+    return (F.col("_series") > block_rows) & (F.col("_n") > block_rows * DENSE) & (F.col("_hi") > F.col("_lo"))
 
 
-def _with_cells(df: DataFrame, keys: list[str], order: str, slices: Sequence[DataFrame]) -> DataFrame:
-    """Add `_cell_1`, ...: the slice of each depth; 0 where a cell is not sliced further."""
+def _with_cells(df: DataFrame, keys: list[str], order: str, slices: Sequence[DataFrame], extra: Sequence[str] = ()) -> DataFrame:
+    """Add `_cell_1`, ...: the slice of each depth; 0 where a cell is not sliced further. `extra` are columns of the first slices."""
     pos = _position(df, order)
     columns = df.columns
     for depth, table in enumerate(slices):
@@ -128,37 +129,80 @@ def _with_cells(df: DataFrame, keys: list[str], order: str, slices: Sequence[Dat
         place = F.least(F.floor(share * F.col("_slices")), F.col("_slices") - 1)
         if not depth:
             place = F.coalesce(_odd_place(df, order), place)
-        df = key_join(df, table, keys, "left", names).select(
-            *columns, *names, F.coalesce(place, F.lit(0)).cast("long").alias(f"_cell_{depth + 1}")
+        df = key_join(df, table if not depth else table.drop(*extra), keys, "left", names).select(
+            *columns, *extra, *names, F.coalesce(place, F.lit(0)).cast("long").alias(f"_cell_{depth + 1}")
         )
     return df
 
 
 def _count_cells(df: DataFrame, keys: list[str], order: str, slices: Sequence[DataFrame]) -> DataFrame:
     pos = _position(df, order)
-    return _with_cells(df, keys, order, slices).groupBy(*keys, *_cell_names(len(slices))).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_lo"), F.max(pos).alias("_hi")
+    return _with_cells(df, keys, order, slices, ["_series"]).groupBy(*keys, *_cell_names(len(slices))).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_lo"), F.max(pos).alias("_hi"), F.max("_series").alias("_series")
     )
 
 
+def scan_before(table: DataFrame, by: Sequence[str], order: str, made: dict[str, tuple[str, str]]) -> DataFrame:
+    """Add, per name, an aggregate over all rows of the same `by` that come before: (`sum`, `product`, `max` or `last`, column).
+
+    Rows are scanned in groups of GROUP along `order`, a whole number, and then the groups'
+    totals are, so that no window holds all rows of one key. NULLs are passed over, and
+    what has nothing before it is NULL.
+    """
+    functions = {"sum": F.sum, "product": F.product, "max": F.max, "last": lambda c: F.last(c, ignorenulls=True)}
+    join = {
+        "sum": lambda a, b: F.coalesce(a + b, a, b),
+        "product": lambda a, b: F.coalesce(a * b, a, b),
+        "max": F.greatest,
+        "last": lambda a, b: F.coalesce(b, a),
+    }
+    group = F.floor(F.col(order) / GROUP).alias("_group")
+    columns = table.columns
+    grouped = table.select("*", group)
+    near = Window.partitionBy(*by, "_group").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    total = {"last": lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order)))}
+    totals = grouped.groupBy(*by, "_group").agg(*[total.get(f, functions[f])(c).alias(f"_of_{name}") for name, (f, c) in made.items()])
+    far = Window.partitionBy(*by).orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(*by, "_group", *[functions[f](f"_of_{name}").over(far).alias(f"_far_{name}") for name, (f, _) in made.items()])
+    local = grouped.withColumns({f"_near_{name}": functions[f](c).over(near) for name, (f, c) in made.items()})
+    met = key_join(local, carried, by, exact=["_group"])
+    return met.select(*columns, *[join[f](F.col(f"_far_{name}"), F.col(f"_near_{name}")).alias(name) for name, (f, _) in made.items()])
+
+
+def _first_rows(counts: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """Add `_first`: rows of the series before each cell; per depth, those of the slices before it in the same cell."""
+    by, own = [*keys, *names[:-1]], names[-1]
+    found = scan_before(counts.select(*by, own, "_n"), by, own, {"_first": ("sum", "_n")})
+    found = found.withColumn("_first", F.coalesce("_first", F.lit(0)))
+    for depth in range(1, len(names)):  # only where bursts were sliced again
+        by, own = [*keys, *names[: depth - 1]], names[depth - 1]
+        slices = counts.groupBy(*by, own).agg(F.sum("_n").alias("_of"))
+        before = scan_before(slices, by, own, {"_before": ("sum", "_of")}).drop("_of")
+        found = key_join(found, before, keys, exact=names[:depth])
+        found = found.withColumn("_first", F.col("_first") + F.coalesce("_before", F.lit(0))).drop("_before")
+    return found
+
+
 def _cells(counts: DataFrame, keys: list[str], names: list[str], halo: int, block_rows: int) -> DataFrame:
     """(key, cell) -> own block, its first row number, later blocks that need the cell."""
-    by_cell = Window.partitionBy(*keys).orderBy(*names)
-    first_row = F.coalesce(F.sum("_n").over(by_cell.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    numbered = counts.withColumn("_first", first_row).withColumn("_own", F.floor(F.col("_first") / block_rows))
-    opens = F.coalesce(F.lag("_own").over(by_cell) != F.col("_own"), F.lit(True))
-    opened = numbered.withColumn("_opens", opens)
-    opened = opened.withColumn(START, F.max(F.when(F.col("_opens"), F.col("_first"))).over(by_cell))
-    # Every cell has at least one row, so a block whose halo reaches this cell
-    # opens within the next `halo` cells.
-    opening = F.struct(F.col("_first").alias("first"), F.col("_own").alias("block"))
-    ahead = F.collect_list(F.when(F.col("_opens"), opening)).over(by_cell.rowsBetween(1, max(halo, 1)))
-    last_row = F.col("_first") + F.col("_n") - 1
-    later = F.transform(
-        F.filter(ahead, lambda b: b["first"] <= last_row + halo),
-        lambda b: F.struct((b["first"] - last_row).alias("distance"), b["block"].alias("block")),
-    )
-    return opened.select(*keys, *names, "_own", START, later.alias("_later"))
+    placed = _first_rows(counts, keys, names).withColumn("_own", F.floor(F.col("_first") / block_rows))
+    opens = F.min("_first").over(Window.partitionBy(*keys, "_own"))
+    placed = placed.select(*keys, *names, "_own", opens.alias(START), "_first", (F.col("_first") + F.col("_n") - 1).alias("_last"))
+    none = F.array().cast("array<struct<distance:bigint,block:bigint>>")
+    if not halo:
+        return placed.select(*keys, *names, "_own", START, none.alias("_later"))
+    # A block opens at the first cell that begins in its rows, so one that opens within the
+    # `halo` rows after a cell has one of few numbers: an equi-join, and few cells take part.
+    placed = stored(placed, "cells")
+    furthest = F.floor((F.col("_last") + halo) / block_rows)
+    numbers = F.explode(F.sequence(F.col("_own") + 1, furthest)).alias("_block")
+    asking = placed.filter(furthest > F.col("_own")).select(*keys, *names, "_own", START, "_last", numbers)
+    opened = placed.filter(F.col("_first") == F.col(START)).select(*keys, F.col("_own").alias("_block"), F.col(START).alias("_opens"))
+    near = key_join(asking, opened, keys, "left", ["_block"])
+    need = F.struct((F.col("_opens") - F.col("_last")).alias("distance"), F.col("_block").alias("block"))
+    needs = F.collect_list(F.when(F.col("_opens") <= F.col("_last") + halo, need)).alias("_later")
+    others = placed.filter(furthest <= F.col("_own")).select(*keys, *names, "_own", START, none.alias("_later"))
+    return others.union(near.groupBy(*keys, *names, "_own", START).agg(needs))
 
 
 def plan_blocks(
@@ -173,12 +217,15 @@ def plan_blocks(
         raise ValueError("name at least one key column; a single series needs a constant one")
     pos = F.when(_is_finite(df, order), _position(df, order))
     series = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_lo"), F.max(pos).alias("_hi"))
-    slices, before = [stored(_slices(series, keys, block_rows), "slices")], None
+    slices, before = [stored(_slices(series.withColumn("_series", F.col("_n")), keys, block_rows), "slices")], None
     while True:
         names = _cell_names(len(slices))
-        counts = stored(_count_cells(df, keys, order, slices), "counts")
-        dense = _dense(counts, keys, block_rows)
-        state = tuple(dense.agg(F.count(F.lit(1)), F.sum("_n"), F.sum((F.col("_hi") - F.col("_lo")).cast("double"))).first())
+        told, is_dense = Observation(), _is_dense(block_rows)
+        size = F.when(is_dense, (F.col("_hi") - F.col("_lo")).cast("double"))
+        seen = (F.count_if(is_dense).alias("n"), F.sum(F.when(is_dense, F.col("_n"))).alias("rows"), F.sum(size).alias("span"))
+        counts = stored(_count_cells(df, keys, order, slices).observe(told, *seen), "counts")
+        dense = counts.filter(is_dense)
+        state = tuple(told.get[c] for c in ("n", "rows", "span"))
         if not state[0]:
             break
         if state == before:
@@ -237,6 +284,6 @@ def row_numbers(
     return blocked.withColumn(name, F.col(START) + F.row_number().over(w) - 1).drop(BLOCK, HALO, START)
 
 
-def earlier_blocks(keys: Sequence[str]) -> WindowSpec:
-    """Window over a one-row-per-block table: all blocks of the key before this one."""
-    return Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+def before_blocks(per_block: DataFrame, keys: Sequence[str], made: dict[str, tuple[str, str]]) -> DataFrame:
+    """Add aggregates over all earlier blocks of the key to a one-row-per-block table, see `scan_before`."""
+    return scan_before(per_block, list(keys), BLOCK, made)

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import attach, key_join, null_if_nan
-from tidemark.operators.blocks import BLOCK, BLOCK_ROWS, HALO, START, Blocks, assign_blocks, earlier_blocks
+from tidemark.operators.blocks import BLOCK, BLOCK_ROWS, HALO, START, Blocks, assign_blocks, before_blocks
 from tidemark.operators.quantiles import ACCURACY, approx_quantiles, exact_quantiles
 from tidemark.schemas import BUY_FIELD, SELL_FIELD, TIME_FIELD
+from tidemark.session import stored
 
 PRICES = ("selling_price", "buying_price")
 
@@ -145,21 +146,20 @@ def fill_missing(
         filled = {c: F.coalesce(forward[c], F.first(c, ignorenulls=True).over(whole)) for c in columns}
         return blocked.withColumns(filled).drop(BLOCK).dropna(subset=columns)
 
-    known = {c: F.when(F.col(c).isNotNull(), F.col(ts)) for c in columns}
-    per_block = blocked.groupBy(*keys, BLOCK).agg(
-        *[F.max_by(c, known[c]).alias(f"_last_{c}") for c in columns],
-        *[F.min_by(c, known[c]).alias(f"_first_{c}") for c in columns],
+    # The ordered pass runs once; summaries of the blocks and the rows are read from what it leaves.
+    names = {c: f"_forward_{c}" for c in columns}
+    forwarded = stored(blocked.withColumns({names[c]: forward[c] for c in columns}), "forward")
+    when = {c: F.when(F.col(c).isNotNull(), F.col(ts)) for c in columns}
+    per_block = forwarded.groupBy(*keys, BLOCK).agg(
+        *[F.max_by(c, when[c]).alias(f"_last_{c}") for c in columns], *[F.min_by(c, when[c]).alias(f"_opens_{c}") for c in columns]
     )
-    earlier = earlier_blocks(keys)
-    every = earlier.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    carries = per_block.select(
-        *keys,
-        BLOCK,
-        *[F.last(f"_last_{c}", ignorenulls=True).over(earlier).alias(f"_before_{c}") for c in columns],
-        *[F.first(f"_first_{c}", ignorenulls=True).over(every).alias(f"_opening_{c}") for c in columns],
+    opening = per_block.groupBy(*keys).agg(
+        *[F.min_by(f"_opens_{c}", F.when(F.col(f"_opens_{c}").isNotNull(), F.col(BLOCK))).alias(f"_opening_{c}") for c in columns]
     )
-    filled = {c: F.coalesce(forward[c], F.col(f"_before_{c}"), F.col(f"_opening_{c}")) for c in columns}
-    joined = key_join(blocked, carries, keys, exact=[BLOCK]).withColumns(filled)
+    before = before_blocks(per_block.select(*keys, BLOCK, *[f"_last_{c}" for c in columns]), keys, {f"_before_{c}": ("last", f"_last_{c}") for c in columns})
+    carries = key_join(before.drop(*[f"_last_{c}" for c in columns]), opening, keys)
+    filled = {c: F.coalesce(F.col(names[c]), F.col(f"_before_{c}"), F.col(f"_opening_{c}")) for c in columns}
+    joined = key_join(forwarded, stored(carries, "carries"), keys, exact=[BLOCK]).withColumns(filled)
     return joined.select(*df.columns).dropna(subset=columns)
 
 

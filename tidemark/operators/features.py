@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil, log, pi
+from math import pi
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions.numeric import ratio
+from tidemark.functions.affine import Averages, across_blocks, along_blocks
+from tidemark.functions.numeric import key_join, ratio
 from tidemark.functions.rolling import diff, pct_change, rolling_mean, rolling_std
-from tidemark.operators.blocks import BLOCK_ROWS, Blocks, Operator, in_blocks
+from tidemark.operators.blocks import BLOCK, BLOCK_ROWS, HALO, START, Blocks, assign_blocks, in_blocks
 from tidemark.schemas import FEATURES
+from tidemark.session import stored
 
 LAGS = (1, 3, 7)
 INDICATOR_HALO = 20
@@ -169,59 +172,50 @@ def add_indicators(
     return in_blocks(df, run, keys, ts, max(2 * short, volatility, roc, bands, rsi, *LAGS), blocks)
 
 
-def _ema_chunk(alpha: float) -> int:
-    """Rows after which a weight has decayed below the precision of a double."""
-    return ceil(log(1e-16) / log(1 - alpha))
-
-
-def _ema(part: DataFrame, by: Sequence[str], ts: str, column: str, n: int, name: str) -> DataFrame:
-    """e = a*x + (1-a)*e, starting from the first value; a NULL moves nothing and gets NULL.
+def _averaged(
+    df: DataFrame, averages: Averages, names: Sequence[str], keys: Sequence[str], ts: str, column: str, blocks: Blocks
+) -> DataFrame:
+    """Add the averages' states as `names`; a NULL moves nothing and gets NULL.
 
-    Rows are numbered in chunks long enough for the state two chunks back to vanish in
-    rounding. Inside a chunk the recurrence is a running sum of x scaled by
-    (1-a)^-i; the end of the chunk before adds its decayed value.
+    Every block is computed on its own, in one sorted pass, from a state of zero. The blocks'
+    ends are composed over the one-row-per-block table, and each row adds what its block was
+    handed, decayed by the number of values since.
     """
-    alpha = 2.0 / (n + 1)
-    keep = 1.0 - alpha
-    size = _ema_chunk(alpha)
-    w = series_window(by, ts)
-    columns = part.columns
-    part = part.withColumn("_i", F.count(column).over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1)
-    part = part.withColumns({"_chunk": F.floor(F.col("_i") / size), "_j": F.col("_i") % size})
-    weight = F.when(F.col("_i") == 0, 1.0).otherwise(alpha)
-    in_chunk = Window.partitionBy(*by, "_chunk").orderBy(ts)
-    scaled = F.sum(F.col(column) * weight * F.pow(F.lit(keep), -F.col("_j"))).over(in_chunk)
-    part = part.withColumn("_local", scaled * F.pow(F.lit(keep), F.col("_j")))
-    known = F.col(column).isNotNull()
-    ends = F.last(F.when(known & (F.col("_j") == size - 1), F.col("_local")), ignorenulls=True)
-    ends = ends.over(w.rowsBetween(Window.unboundedPreceding, -1))
-    carried = F.coalesce(ends * F.pow(F.lit(keep), F.col("_j") + 1), F.lit(0.0))
-    return part.select(*columns, F.when(known, F.col("_local") + carried).alias(name))
-
-
-def _over_known(
-    df: DataFrame, run: Operator, made: Sequence[str], keys: Sequence[str], ts: str, column: str, halo: int, blocks: Blocks
-) -> DataFrame:
-    """Run an average in blocks over the rows with a value, so that the halo holds values only."""
+    keys, names = list(keys), list(names)
+    doubles = [T.StructField(c, T.DoubleType()) for c in names]
+    blocked = assign_blocks(df, keys, ts, 0, blocks).drop(HALO, START)
+    schema = T.StructType([*blocked.schema, T.StructField("_known", T.LongType()), *doubles])
+    local = blocked.groupBy(*keys, BLOCK).applyInArrow(along_blocks(averages, ts, column, BLOCK, names, blocks is None), schema)
     if blocks is None:
-        return run(df, list(keys))
-    averaged = in_blocks(df.filter(F.col(column).isNotNull()), run, keys, ts, halo, blocks)
-    return averaged.unionByName(df.filter(F.col(column).isNull()).withColumns({c: F.lit(None).cast("double") for c in made}))
+        return local.drop(BLOCK, "_known")
+    local = stored(local, "averages")
+    ends, before = ([f"_{word}{i}" for i in range(len(names))] for word in ("end", "before"))
+    per_block = local.groupBy(*keys, BLOCK).agg(
+        F.max("_known").alias("_n"),
+        F.min_by(F.col(column).cast("double"), "_known").alias("_first"),
+        *[F.max_by(c, "_known").alias(e) for c, e in zip(names, ends)],
+    )
+    handed = T.StructType([*[local.schema[c] for c in (*keys, BLOCK)], *[T.StructField(c, T.DoubleType()) for c in before]])
+    carries = per_block.groupBy(*keys).applyInArrow(across_blocks(averages, BLOCK, ends, before), handed)
+    met = key_join(local, stored(carries, "carries"), keys, exact=[BLOCK])
+    keeps, n = averages.keeps, F.col("_known")
+    decayed = [F.pow(F.lit(k), n) for k in keeps]
+    brought = [F.col(b) * d for b, d in zip(before, decayed)]
+    if averages.signal is not None:
+        last = keeps[-1]
+        for i, sign in ((0, 1.0), (1, -1.0)):
+            # The sum of last**(n - m) * keep**m over m = 1 ... n.
+            passed = n * decayed[i] if keeps[i] == last else (decayed[i] - decayed[-1]) * (keeps[i] / (keeps[i] - last))
+            brought[-1] = brought[-1] + F.col(before[i]) * passed * (sign * (1.0 - last))
+    return met.withColumns({c: F.col(c) + b for c, b in zip(names, brought)}).select(*df.columns, *names)
 
 
 def ema(
     df: DataFrame, keys: Sequence[str], ts: str, column: str, periods: Sequence[int] = (12, 26),
     blocks: Blocks = BLOCK_ROWS,
 ) -> DataFrame:
-    """`ema_<n>` for each period."""
-
-    def run(part: DataFrame, by: list[str]) -> DataFrame:
-        for n in periods:
-            part = _ema(part, by, ts, column, n, f"ema_{n}")
-        return part
-
-    halo = max(_ema_chunk(2.0 / (n + 1)) for n in periods)
-    return _over_known(df, run, [f"ema_{n}" for n in periods], keys, ts, column, halo, blocks)
+    """`ema_<n>` for each period: e = a*x + (1-a)*e with a = 2/(n+1), starting at the first value; a NULL moves nothing and gets NULL."""
+    return _averaged(df, Averages(tuple(periods)), [f"ema_{n}" for n in periods], keys, ts, column, blocks)
 
 
 def macd(
@@ -229,16 +223,9 @@ def macd(
     blocks: Blocks = BLOCK_ROWS,
 ) -> DataFrame:
     """`macd`, `macd_signal`, `macd_histogram`."""
-
-    def run(part: DataFrame, by: list[str]) -> DataFrame:
-        part = _ema(part, by, ts, column, fast, "_fast")
-        part = _ema(part, by, ts, column, slow, "_slow")
-        part = part.withColumn("macd", F.col("_fast") - F.col("_slow")).drop("_fast", "_slow")
-        part = _ema(part, by, ts, "macd", signal, "macd_signal")
-        return part.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
-
-    halo = sum(_ema_chunk(2.0 / (n + 1)) for n in (max(fast, slow), signal))
-    return _over_known(df, run, ["macd", "macd_signal", "macd_histogram"], keys, ts, column, halo, blocks)
+    made = _averaged(df, Averages((fast, slow), signal), ["_fast", "_slow", "macd_signal"], keys, ts, column, blocks)
+    made = made.withColumn("macd", F.col("_fast") - F.col("_slow"))
+    return made.select(*df.columns, "macd", "macd_signal", (F.col("macd") - F.col("macd_signal")).alias("macd_histogram"))
 
 
 def with_lookback(df: DataFrame, keys: Sequence[str], ts: str, since: str, rows: int = INDICATOR_HALO) -> DataFrame:

@@ -7,10 +7,13 @@ from math import sqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidemark.functions.equity import equity_before
 from tidemark.functions.numeric import correlation, inf, key_join, ratio
-from tidemark.operators.blocks import BLOCK, BLOCK_ROWS, HALO, START, Blocks, assign_blocks, earlier_blocks
+from tidemark.operators.blocks import BLOCK, BLOCK_ROWS, HALO, START, Blocks, assign_blocks
 from tidemark.schemas import DIAGNOSTIC_METRICS, REGRESSION_METRICS, TRADING_METRICS
+from tidemark.session import stored
 
 GROUP = ("model", "series")
 CAPITAL = 10_000.0
@@ -109,30 +112,33 @@ def _strategy_rows(df: DataFrame, group: Sequence[str], ts: str, cost: float, bl
 
 
 def _with_equity(rows: DataFrame, group: Sequence[str], ts: str, blocks: Blocks) -> DataFrame:
-    """Add cumulative_return (running product), running_max and drawdown."""
+    """Add cumulative_return (running product), running_max and drawdown.
+
+    In blocks the ordered pass runs once and is stored: it leaves each row's product since the
+    block's start and the highest and lowest product so far. Summaries of the blocks are
+    composed over the one-row-per-block table; a row then needs only what its block was
+    handed, so the second pass neither shuffles nor sorts.
+    """
     by = [*group, BLOCK]
     so_far = Window.partitionBy(*by).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
     growth = F.when(F.col("strategy_return").isNotNull(), 1 + F.col("strategy_return"))
     rows = rows.withColumn("cumulative_return", F.product(growth).over(so_far))
+    rows = rows.withColumn("running_max", F.max("cumulative_return").over(so_far))
     if blocks is not None:
-        # Earlier blocks contribute their product, and the highest level reached.
+        rows = stored(rows.withColumn("_low", F.min("cumulative_return").over(so_far)), "equity")
         # Levels scale with the product before the block, and swap ends if it is negative.
         ends = rows.groupBy(*by).agg(
-            F.product(growth).alias("_total"),
-            F.max("cumulative_return").alias("_high"),
-            F.min("cumulative_return").alias("_low"),
+            F.max_by("cumulative_return", F.when(F.col("cumulative_return").isNotNull(), F.col(ts))).alias("_total"),
+            F.max("cumulative_return").alias("_most"),
+            F.min("cumulative_return").alias("_least"),
         )
-        earlier = earlier_blocks(group)
-        scale = F.coalesce(F.product(F.coalesce("_total", F.lit(1.0))).over(earlier), F.lit(1.0))
-        peaks = ends.withColumn("_scale", scale).withColumn(
-            "_peak", F.col("_scale") * F.when(F.col("_scale") >= 0, F.col("_high")).otherwise(F.col("_low"))
+        fields = [T.StructField(c, T.DoubleType()) for c in ("_scale", "_peak_before")]
+        handed = T.StructType([*[rows.schema[c] for c in by], *fields])
+        carry = ends.groupBy(*group).applyInArrow(equity_before(BLOCK), handed)
+        top = F.col("_scale") * F.when(F.col("_scale") >= 0, F.col("running_max")).otherwise(F.col("_low"))
+        rows = key_join(rows, stored(carry, "carries"), group, exact=[BLOCK]).withColumns(
+            {"cumulative_return": F.col("cumulative_return") * F.col("_scale"), "running_max": F.greatest(top, F.col("_peak_before"))}
         )
-        carry = peaks.select(*by, "_scale", F.max("_peak").over(earlier).alias("_peak_before"))
-        rows = key_join(rows, carry, group, exact=[BLOCK]).withColumn("cumulative_return", F.col("cumulative_return") * F.col("_scale"))
-    else:
-        rows = rows.withColumn("_peak_before", F.lit(None).cast("double"))
-    peak = F.greatest(F.max("cumulative_return").over(so_far), F.col("_peak_before"))
-    rows = rows.withColumn("running_max", peak)
     drawdown = ratio(F.col("cumulative_return") - F.col("running_max"), F.col("running_max"))
     return rows.withColumn("drawdown", drawdown)
 

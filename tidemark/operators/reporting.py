@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.normal import with_normal_quantile
 from tidemark.functions.numeric import attach, correlation, key_join
-from tidemark.operators.blocks import BLOCK, BLOCK_ROWS, Blocks, assign_blocks, earlier_blocks
+from tidemark.operators.blocks import BLOCK, BLOCK_ROWS, Blocks, assign_blocks, before_blocks
 from tidemark.schemas import REGRESSION_PANEL, SUMMARY_ORDER, TRADING_PANEL
 from tidemark.session import stored
 
@@ -117,9 +117,11 @@ def qq_points(df: DataFrame, column: str, keys: Sequence[str], blocks: Blocks =
     upto = F.sum("_copies").over(w.rowsBetween(Window.unboundedPreceding, 0))
     ranked = blocked.withColumn("_rank", upto - F.col("_copies")).select(*keys, BLOCK, "ordered", "_copies", "_rank")
     if blocks is not None:
+        # Sums per block need the layout only, not the order inside a block.
         ends = blocked.groupBy(*keys, BLOCK).agg(F.sum("_copies").alias("_sum"))
-        before = ends.select(*keys, BLOCK, F.coalesce(F.sum("_sum").over(earlier_blocks(keys)), F.lit(0)).alias("_before"))
-        ranked = key_join(ranked, before, keys, exact=[BLOCK]).withColumn("_rank", F.col("_rank") + F.col("_before"))
+        before = before_blocks(ends, keys, {"_before": ("sum", "_sum")}).drop("_sum")
+        ranked = key_join(ranked, stored(before, "ranks"), keys, exact=[BLOCK])
+        ranked = ranked.withColumn("_rank", F.col("_rank") + F.coalesce("_before", F.lit(0)))
     sizes = counted.groupBy(*keys).agg(F.sum("_copies").alias("_n"))
     chunks = attach(ranked, sizes, keys).select(
         *keys, "ordered", "_rank", "_copies", "_n",
