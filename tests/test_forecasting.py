@@ -1,3 +1,4 @@
+import os
 import numpy as np
 import pytest
 from frames import by_time, prices
@@ -188,6 +189,24 @@ def test_saved_model_predicts_the_same(spark, fitted, tmp_path):
     assert sorted(predict(encoded, loaded, KEY).collect()) == sorted(predict(encoded, forecaster, KEY).collect())
 
 
+def test_a_save_that_breaks_off_is_never_loaded(spark, fitted, tmp_path):
+    _, encoded, forecaster = fitted
+    path = f"{tmp_path}/m"
+    with pytest.raises(Exception):  # noqa: B017
+        load_model(spark, path)
+    first = save_model(spark, forecaster, path)
+    other = fit_forecaster(encoded, SPEC, None, 1.0, COLUMNS, 12, "other")
+    other.readout.write().save(f"{path}/versions/half/readout")  # never published
+    assert load_model(spark, path).name == forecaster.name
+    second = save_model(spark, other, path)
+    assert (load_model(spark, path).name, load_model(spark, path, first).name) == ("other", forecaster.name)
+    os.makedirs(f"{path}/published/_temporary/0")
+    (tmp_path / "m/published/_temporary/0/part-0.json").write_text('{"version": "half", "fitted_at": "9"')
+    assert load_model(spark, path).name == "other" and first != second
+    with pytest.raises(FileNotFoundError):
+        load_model(spark, path, "half")
+
+
 def test_sweep_ranks_settings(two):
     scaled = apply_scaler(two, fit_scaler(two, KEY, COLUMNS), COLUMNS)
     split = chronological_split(scaled, KEY, "ts", blocks=None)

@@ -94,6 +94,18 @@ def test_reports(spark, tmp_path):
     assert "Training Summary / Total Epochs: 3" in [x.value for x in spark.read.text(path).collect()]
 
 
+def test_summary_lines_name_their_group(spark, tmp_path):
+    metrics = spark.createDataFrame([("a", "x", "mae", 1.0), ("a", None, "mae", 2.0), ("b", "x", "mae", 3.0)], "model string, series string, metric string, value double")
+    table = summary_table(metrics, params={"length": 60}, group=GROUP)
+    write_summary(table, str(tmp_path / "s"))
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "s")).collect()) == [
+        "Model Configuration / length: 60",
+        "Performance Metrics [model=a, series=x] / mae: 1.0000",
+        "Performance Metrics [model=a] / mae: 2.0000",
+        "Performance Metrics [model=b, series=x] / mae: 3.0000",
+    ]
+
+
 def test_lists(spark):
     board = spark.createDataFrame([("a", 0.5), ("b", None), ("c", 0.7)], "model string, r2 double")
     assert best_model(board).first().model == "c"

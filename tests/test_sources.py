@@ -6,6 +6,7 @@ from frames import by_time, day, prices
 from pyspark.sql import functions as F
 
 from tidemark.operators.cleaning import split_bad_records
+from tidemark.operators.features import add_indicators
 from tidemark.schemas import BUY_FIELD, SELL_FIELD, SUCCESS_CODE, TIME_FIELD
 from tidemark.session import shared_folder, stored
 from tidemark.sources.payloads import (
@@ -17,9 +18,11 @@ from tidemark.sources.payloads import (
     to_payload_text,
     validate_payload,
 )
-from tidemark.sources.tables import read_prices, write_prices
+from tidemark.sources.tables import read_prices, write_bucketed, write_prices
 from tidemark.streaming.payloads import KINDS, land_price_stream, landed, landed_prices, stream_price_payloads, write_stream
 
+KEY = ["series"]
+
 
 def record(i, **changes):
     r = {SELL_FIELD: str(100 + i), BUY_FIELD: str(90 + i), TIME_FIELD: f"2024-01-{i + 1:02d}"}
@@ -112,6 +115,20 @@ def test_price_table_by_year(spark, tmp_path, capsys):
     assert "PartitionFilters: [isnotnull(year" in capsys.readouterr().out
 
 
+def test_bucketed_tables_need_no_shuffle(spark, tmp_path):
+    rows = prices(spark, range(1, 90)).unionByName(prices(spark, range(5, 60), series=None)).unionByName(prices(spark, [3, 4], series="b"))
+    table = write_bucketed(rows, "prices_by_series", KEY, buckets=4, path=str(tmp_path / "prices"))
+    assert sorted(table.collect(), key=repr) == sorted(rows.collect(), key=repr)
+    made = add_indicators(table, KEY, blocks=None)
+    assert sorted(made.collect(), key=repr) == sorted(add_indicators(rows, KEY, blocks=None).collect(), key=repr)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "Exchange" not in plan and "Window" in plan
+    # Rows of a series meet in one file, and further writes are refused unless they replace the table.
+    files = table.select("series", F.col("_metadata.file_name").alias("f")).distinct().groupBy("series").count().collect()
+    assert {r["count"] for r in files} == {1}
+    spark.sql("DROP TABLE prices_by_series")
+
+
 def test_stored_tables_live_in_the_shared_folder(spark):
     df = stored(spark.range(5))
     assert sorted(r.id for r in df.collect()) == [0, 1, 2, 3, 4]

@@ -202,6 +202,12 @@ def summary_table(
 
 
 def write_summary(summary: DataFrame, path: str) -> None:
-    """A few dozen lines of text: `section / name: value`."""
-    line = F.format_string("%s / %s: %s", "section", "name", "value").alias("value")
-    summary.orderBy("section", "name").select(line).coalesce(1).write.mode("overwrite").text(path)
+    """Lines of text: `section / name: value`, with the group in brackets after the section where there is one.
+
+    Other columns than section, name and value are the group's, as `summary_table` leaves them.
+    """
+    group = [c for c in summary.columns if c not in ("section", "name", "value")]
+    shown = F.concat_ws(", ", F.lit(None).cast("string"), *[F.concat(F.lit(f"{c}="), F.col(c)) for c in group])
+    section = F.when(shown == "", F.col("section")).otherwise(F.concat("section", F.lit(" ["), shown, F.lit("]")))
+    line = F.concat(section, F.lit(" / "), "name", F.lit(": "), "value").alias("value")
+    summary.orderBy("section", *group, "name").select(line).coalesce(1).write.mode("overwrite").text(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.normal import (
@@ -337,6 +337,22 @@ def _yearly_runs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _SHOWN = [n for n in (*REGRESSION_METRICS, *DIAGNOSTIC_METRICS) if n != "mse"]
+
+
+def _nine_digits(value: Column) -> Column:
+    """A number to nine significant digits, nothing below a shown place; products of returns have no fixed number of places."""
+    k = F.floor(F.log10(F.abs(value))) - 8
+    up, down = F.pow(F.lit(10.0), F.greatest(k, F.lit(0)).cast("double")), F.pow(F.lit(10.0), F.greatest(-k, F.lit(0)).cast("double"))
+    shown = F.coalesce(F.round(value * down / up) / down * up, value)
+    return F.when(F.abs(value) < 0.00005, 0.0).otherwise(shown)
+
+
+def _nine_digits_sql(value: str) -> str:
+    k = f"(floor(log10(nullif(abs({value}), 0))) - 8)"
+    up, down = f"pow(10.0::DOUBLE, greatest({k}, 0))", f"pow(10.0::DOUBLE, greatest(-{k}, 0))"
+    return f"CASE WHEN abs({value}) < 0.00005 THEN 0 ELSE coalesce(round({value} * {down} / {up}) / {down} * {up}, {value}) END"
+
+
 _PARAMS = {"length": 10, "features": 1}
 
 
@@ -346,6 +362,7 @@ _PARAMS = {"length": 10, "features": 1}
         SELECT section, model, series, name, value FROM (
         {" UNION ALL ".join(f"SELECT 'Performance Metrics' AS section, model, series, '{n}' AS name, printf('%.4f', {n}) AS value FROM m" for n in _SHOWN)}
         UNION ALL SELECT 'Performance Metrics', model, series, 'mse', printf('%.4f', round(mse, 2)) FROM m
+        {" ".join(f"UNION ALL SELECT 'Performance Metrics', model, series, '{n}', printf('%.4f', {_nine_digits_sql(n)}) FROM m WHERE {n} IS NOT NULL" for n in TRADING_METRICS)}
         UNION ALL SELECT 'Training Summary', run_id, NULL, 'Final Training Loss', printf('%.4f', round(final_train_loss, 2)) FROM runs
         UNION ALL SELECT 'Training Summary', run_id, NULL, 'Final Validation Loss', printf('%.4f', round(final_val_loss, 2)) FROM runs
         UNION ALL SELECT 'Training Summary', run_id, NULL, 'Best Validation Loss', printf('%.4f', round(best_val_loss, 2)) FROM runs
@@ -353,10 +370,11 @@ _PARAMS = {"length": 10, "features": 1}
         UNION ALL SELECT 'Model Configuration', NULL, NULL, name, value FROM (VALUES {", ".join(f"('{k}', '{v}')" for k, v in _PARAMS.items())}) p(name, value))""",
 )
 def _summary(spark: SparkSession, folder: str) -> DataFrame:
-    """The report of all groups, with its three sections; squared prices to two places."""
+    """The report of all groups, with its three sections and every metric; squared prices to two places."""
     predictions = stored(_predictions(spark, folder))
-    metrics = evaluate(predictions, include_trading=False, blocks=None)
-    metrics = metrics.withColumn("value", F.when(F.col("metric") == "mse", F.round("value", 2)).otherwise(F.col("value")))
+    metrics = evaluate(predictions, blocks=None)
+    shown = F.when(F.col("metric") == "mse", F.round("value", 2)).when(F.col("metric").isin(*TRADING_METRICS), _nine_digits(F.col("value")))
+    metrics = metrics.withColumn("value", shown.otherwise(F.col("value")))
     runs = run_summary(_history(predictions))
     runs = runs.withColumns({c: F.round(c, 2) for c in _LOSSES})
     return summary_table(metrics, runs, _PARAMS, GROUP)

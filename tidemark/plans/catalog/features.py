@@ -42,7 +42,8 @@ from tidemark.plans.views import (
     ticks_lineitem,
 )
 from tidemark.schemas import FEATURES
-from tidemark.session import stored
+from tidemark.session import new_folder, stored
+from tidemark.sources.tables import write_bucketed
 
 MONEY = ["ma_short", "ma_long", "volatility", "bb_upper", "bb_lower"]
 SHARE = ["price_ma_ratio", "roc", "bb_position", "rsi", "day_sin", "day_cos", "month_sin", "month_cos"]
@@ -102,6 +103,15 @@ def _indicators_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(add_indicators(ticks_events(spark, folder), KEY, blocks=BLOCK), PLACES)
 
 
+@query("bucketed_indicators", indicators_sql(PRICES_LINEITEM) + _INDICATORS)
+def _bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """Indicators over a catalog table laid out by series: its windows need no shuffle."""
+    path = new_folder(spark, "bucketed")
+    name = "prices_" + path.rsplit("-", 1)[1]
+    table = write_bucketed(prices_lineitem(spark, folder), name, KEY, buckets=8, path=path)
+    return rounded(add_indicators(table, KEY, blocks=None), PLACES)
+
+
 _FIRST_TICKS = f"""
 SELECT series, ts, selling_price, buying_price, spread FROM
  (SELECT *, row_number() OVER (PARTITION BY series, ts ORDER BY {", ".join(ARRIVAL)}) AS copy FROM ({TICKS_LINEITEM}))

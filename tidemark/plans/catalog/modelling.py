@@ -6,7 +6,7 @@ whose numbers are checked by the unit tests. Streams are checked against SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.alignment import naive_forecast
@@ -21,7 +21,7 @@ from tidemark.operators.forecasting import (
 from tidemark.operators.features import INDICATOR_HALO, add_indicators, with_lookback
 from tidemark.operators.metrics import regression_metrics
 from tidemark.operators.reporting import best_model, run_summary
-from tidemark.operators.scaling import fit_scaler
+from tidemark.operators.scaling import fit_scaler, minmax_columns
 from tidemark.operators.sequences import chronological_split, latest_window
 from tidemark.plans.catalog.cleaning import _JUDGED, _PAYLOADS, BLOCK, KEY, payload_text
 from tidemark.plans.catalog.features import indicators_sql
@@ -96,22 +96,36 @@ def _sweep(spark: SparkSession, folder: str) -> Sweep:
 _RECENT = ["selling_price", "spread", "ma_short", "rsi", "price_lag_7"]
 
 
+_RECENT_MINMAX = minmax_columns(_RECENT)
+
+
+def _scaled_sql(c: str) -> str:
+    if c in _RECENT_MINMAX:
+        return f"coalesce((f.{c} - s.lo_{c}) / nullif(s.hi_{c} - s.lo_{c}, 0), 0)"
+    return f"coalesce((f.{c} - s.mean_{c}) / nullif(s.dev_{c}, 0), 0)"
+
+
 @query(
     "prepare_recent",
     indicators_sql(PRICES_LINEITEM)
-    + f"""SELECT series, max(ts) AS last_ts, {sql_round("arg_max(z, ts)", 4, "x_last")}, {sql_round("arg_min(z, ts)", 4, "x_first")}, count(*) AS n
-        FROM (SELECT f.series, f.ts, (f.selling_price - s.lo) / (s.hi - s.lo) AS z, row_number() OVER (PARTITION BY f.series ORDER BY f.ts DESC) AS i
-              FROM features f JOIN (SELECT series, min(selling_price) AS lo, max(selling_price) AS hi FROM features WHERE ts < TIMESTAMP '2000-01-01' GROUP BY series) s
-              ON s.series = f.series WHERE f.ts >= TIMESTAMP '2000-06-01' AND f.series <> 'R') WHERE i <= {LENGTH} GROUP BY series""",
+    + f"""SELECT series, ts, feature, {sql_round("z", 4, "z")} FROM (
+        SELECT f.series, f.ts, unnest([{", ".join(f"'{c}'" for c in _RECENT)}]) AS feature, unnest([{", ".join(_scaled_sql(c) for c in _RECENT)}]) AS z,
+               dense_rank() OVER (PARTITION BY f.series ORDER BY f.ts DESC) AS i
+        FROM features f JOIN (SELECT series, {", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}, avg({c}) AS mean_{c}, stddev_pop({c}) AS dev_{c}" for c in _RECENT)}
+                              FROM features WHERE ts < TIMESTAMP '2000-01-01' GROUP BY series) s
+        ON s.series = f.series WHERE f.ts >= TIMESTAMP '2000-06-01' AND f.series <> 'R') WHERE i <= {LENGTH}""",
 )
 def _prepare_recent(spark: SparkSession, folder: str) -> DataFrame:
-    """New prices under stored scalers: the last window of each series that the scalers know."""
+    """New prices under stored scalers: all features of the last window of each series that the scalers know."""
     windows, _ = _recent(spark, folder)
-    price = F.filter("x", lambda v, i: i % len(_RECENT) == 0)
-    shown = windows.select(
-        "series", "last_ts", F.element_at(price, -1).alias("x_last"), F.element_at(price, 1).alias("x_first"), F.size(price).cast("long").alias("n")
-    )
-    return rounded(shown, {4: ["x_last", "x_first"]})
+    prices = prices_lineitem(spark, folder).filter(F.col("ts") >= F.lit("2000-06-01").cast("timestamp_ntz"))
+    newest = Window.partitionBy("series").orderBy(F.desc("ts"))
+    days = prices.select("series", "ts", (F.row_number().over(newest)).alias("back")).filter(F.col("back") <= LENGTH)
+    cells = windows.select("series", F.posexplode("x").alias("at", "z"))
+    back = (LENGTH - F.floor(F.col("at") / len(_RECENT))).cast("int")
+    name = F.element_at(F.array(*[F.lit(c) for c in _RECENT]), (F.col("at") % len(_RECENT) + 1).cast("int"))
+    shown = cells.select("series", back.alias("back"), name.alias("feature"), "z").join(days, ["series", "back"])
+    return rounded(shown.select("series", "ts", "feature", "z"), {4: ["z"]})
 
 
 @query("prepare_recent_rejects", "SELECT DISTINCT l_returnflag AS series, 'unknown_series' AS reason FROM lineitem WHERE l_returnflag = 'R'")

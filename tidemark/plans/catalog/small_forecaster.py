@@ -113,26 +113,42 @@ def _small_predictions(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(predict(split.filter("split = 'test'"), forecaster, KEY), {2: ["y_true", "y_pred"]})
 
 
-@query(
-    "small_forecast",
-    f"""WITH RECURSIVE {_FITTED},
+_FORECAST = f"""WITH RECURSIVE {_FITTED},
         latest AS (SELECT series, max(ts) AS last_ts, list({_row('p', 's')} ORDER BY ts) AS x FROM scaled WHERE i >= n - {LENGTH} GROUP BY series),
         ahead AS (SELECT series, last_ts, 0 AS step, x, 0.0::DOUBLE AS z FROM latest
           UNION ALL SELECT series, last_ts, step + 1, list_append(x[2:], {_row('z', f'x[{LENGTH}].s')}), z
           FROM (SELECT a.series, a.last_ts, a.step, a.x, l.slope * {_encode_sql('a.x', SPEC)} + l.level AS z FROM ahead a, line l WHERE a.step < {HORIZON}))
         SELECT series, CAST(step AS INTEGER) AS step, last_ts + to_days(CAST(step AS INTEGER)) AS ts, {sql_round('z * span + lo', 2, 'y_pred')}
-        FROM ahead JOIN ranges USING (series) WHERE step > 0""",
-)
+        FROM ahead JOIN ranges USING (series) WHERE step > 0"""
+
+
+@query("small_forecast", _FORECAST)
 def _small_forecast(spark: SparkSession, folder: str) -> DataFrame:
     """A model saved, found and loaded again, forecasting from each series' last rows."""
     scaled, _, forecaster = _fitted(spark, folder)
     models = new_folder(spark, "models")
     save_model(spark, forecaster, f"{models}/small")
+    return _forecast_of_latest(spark, scaled, models)
+
+
+def _forecast_of_latest(spark: SparkSession, scaled: DataFrame, models: str) -> DataFrame:
     loaded = load_model(spark, latest_model(spark, models))
     windows, _ = latest_window(scaled, KEY, "ts", TWO, LENGTH)
     return rounded(forecast(windows, loaded, KEY, HORIZON), {2: ["y_pred"]})
 
 
+@query("published_forecast", _FORECAST)
+def _published_forecast(spark: SparkSession, folder: str) -> DataFrame:
+    """A model saved over an older one, then a third save that breaks off: the second is the one that is loaded."""
+    scaled, split, forecaster = _fitted(spark, folder)
+    other = fit_forecaster(split.filter("split = 'val'"), SPEC, forecaster.scaler, 10.0, TWO, LENGTH)
+    models = new_folder(spark, "models")
+    save_model(spark, other, f"{models}/small")
+    save_model(spark, forecaster, f"{models}/small")
+    other.readout.write().save(f"{models}/small/versions/broken-off/readout")
+    return _forecast_of_latest(spark, scaled, models)
+
+
 _TRIED = f"""{_SCALED},
 tried AS MATERIALIZED ({" UNION ALL ".join(f"SELECT '{t.name}' AS trial, series, y, row_no AS i, n_rows AS n, {_encode_sql('x', t.spec)} AS h FROM framed" for t in TRIALS)}),
 lasts AS (SELECT series, max(i) AS last FROM (SELECT series, i, {_split('n')} AS split FROM scaled) WHERE split = 'train' GROUP BY series),
