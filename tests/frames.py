@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 START = datetime(2024, 1, 1)
+KEY = ["series"]
 
 
 def day(i: float) -> datetime:

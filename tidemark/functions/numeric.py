@@ -63,3 +63,17 @@ def attach(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select("*", row.alias("__row")).select(
         *df.columns, *[F.col("__row")[c].alias(c) for c in table.columns]
     )
+
+
+def aggregate_apart(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:
+    """`groupBy(keys).agg(...)` for rows that have just met a lookup on some of the keys.
+
+    A shuffled join can leave all rows of a key in one task, and a grouping by the same key
+    is content with that, so a hot key could not be split. Grouped by a struct of the
+    keys, each task combines its rows first and only the results are shuffled; the join's
+    hot keys are then free to be split, whatever the session's settings for forced splits.
+    """
+    if not keys:
+        return df.agg(*aggregates)
+    found = df.groupBy(F.struct(*[F.col(k) for k in keys]).alias("__group")).agg(*aggregates)
+    return found.select("__group.*", *[F.col(f"`{c}`") for c in found.columns if c != "__group"])

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.numeric import key_join
+from tidemark.functions.numeric import aggregate_apart, key_join
 from tidemark.session import stored
 
 BLOCK_ROWS = 250_000
@@ -137,9 +137,8 @@ def _with_cells(df: DataFrame, keys: list[str], order: str, slices: Sequence[Dat
 
 def _count_cells(df: DataFrame, keys: list[str], order: str, slices: Sequence[DataFrame]) -> DataFrame:
     pos = _position(df, order)
-    return _with_cells(df, keys, order, slices, ["_series"]).groupBy(*keys, *_cell_names(len(slices))).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_lo"), F.max(pos).alias("_hi"), F.max("_series").alias("_series")
-    )
+    counted = (F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_lo"), F.max(pos).alias("_hi"), F.max("_series").alias("_series"))
+    return aggregate_apart(_with_cells(df, keys, order, slices, ["_series"]), [*keys, *_cell_names(len(slices))], *counted)
 
 
 def scan_before(table: DataFrame, by: Sequence[str], order: str, made: dict[str, tuple[str, str]]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import attach, key_join, null_if_nan
+from tidemark.functions.numeric import aggregate_apart, attach, key_join, null_if_nan
 from tidemark.operators.blocks import BLOCK, BLOCK_ROWS, HALO, START, Blocks, assign_blocks, before_blocks
 from tidemark.operators.quantiles import ACCURACY, approx_quantiles, exact_quantiles
 from tidemark.schemas import BUY_FIELD, SELL_FIELD, TIME_FIELD
@@ -193,7 +193,9 @@ def quality_report(records: DataFrame, keys: Sequence[str], min_rows: int = 60,
     # third of the table is one row per map task.
     copies = read.withColumn("_d", dates).groupBy(*keys, "_d").agg(F.count("_d").alias("_c"))
     repeats = copies.groupBy(*keys).agg(F.sum(F.greatest(F.col("_c") - 1, F.lit(0))).alias("duplicate_dates"))
-    counts = attach(read, moments, keys).groupBy(*keys).agg(
+    counts = aggregate_apart(
+        attach(read, moments, keys),
+        keys,
         F.greatest(F.lit(min_rows) - F.count(F.lit(1)), F.lit(0)).alias("insufficient_rows"),
         F.count_if(_missing(SELL_FIELD)).alias("missing_selling_price"),
         F.count_if(_missing(BUY_FIELD)).alias("missing_buying_price"),

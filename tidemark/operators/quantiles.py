@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import attach, key_join
+from tidemark.functions.numeric import aggregate_apart, attach, key_join
 from tidemark.session import stored
 
 ACCURACY = 100_000
@@ -53,9 +53,8 @@ def exact_quantiles(
     upto = F.sum("_copies").over(group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0))
     state = None
     while True:
-        counts = rows.groupBy(*keys, "_parent", "_bucket").agg(
-            F.count(F.lit(1)).alias("_copies"), F.min("_v").alias("_least"), F.max("_v").alias("_most")
-        )
+        counted = (F.count(F.lit(1)).alias("_copies"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
+        counts = aggregate_apart(rows, [*keys, "_parent", "_bucket"], *counted)
         counts = counts.repartition(*keys) if keys else counts.repartition(1)
         if state is None:
             counts = counts.withColumns({"_n": F.sum("_copies").over(group), "_before": F.lit(0).cast("long"), "_upto": upto})

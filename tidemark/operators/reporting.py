@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.normal import with_normal_quantile
-from tidemark.functions.numeric import attach, correlation, key_join
+from tidemark.functions.numeric import aggregate_apart, attach, correlation, key_join
 from tidemark.operators.blocks import BLOCK, BLOCK_ROWS, Blocks, assign_blocks, before_blocks
 from tidemark.schemas import REGRESSION_PANEL, SUMMARY_ORDER, TRADING_PANEL
 from tidemark.session import stored
@@ -83,7 +83,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50, keys: Sequence[str] =
     span = stored(span.filter("_lo IS NOT NULL"), "span")
     place = F.floor((F.col("_v") - F.col("_lo")) * bins / (F.col("_hi") - F.col("_lo")))
     placed = attach(values, span, keys).select(*keys, F.least(place, F.lit(bins - 1)).cast("int").alias("bin"))
-    counts = placed.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("_n"))
+    counts = aggregate_apart(placed, [*keys, "bin"], F.count(F.lit(1)).alias("_n"))
     width = (F.col("_hi") - F.col("_lo")) / bins
     frame = span.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     return key_join(frame, counts, keys, "left", ["bin"]).select(
