@@ -2,10 +2,11 @@ import os
 import numpy as np
 import pytest
 from frames import by_time, prices
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tidemark.functions.recurrent import EncoderSpec, encode_windows, layer_weights
-from tidemark.operators.forecasting import Trial, encode_sequences, encode_series, fit_forecaster, forecast, predict, sweep
+from tidemark.operators.forecasting import Gram, Trial, encode_sequences, encode_series, fit_forecaster, forecast, gram_sums, predict, sweep
 from tidemark.operators.metrics import regression_metrics
 from tidemark.operators.reporting import best_model, run_summary
 from tidemark.operators.scaling import apply_scaler, fit_scaler, inverse_price
@@ -189,6 +190,20 @@ def test_saved_model_predicts_the_same(spark, fitted, tmp_path):
     assert sorted(predict(encoded, loaded, KEY).collect()) == sorted(predict(encoded, forecaster, KEY).collect())
 
 
+@pytest.mark.parametrize("reg", [0.0, 1e-4, 0.3])
+def test_solves_from_sums_equal_the_fit_over_rows(spark, fitted, reg):
+    _, encoded, _ = fitted
+    parts = encoded.withColumn("part", F.pmod(F.xxhash64("target_ts"), F.lit(3)).cast("int"))
+    grams = {r.part: Gram.of(r.sums) for r in gram_sums(parts, "part").collect()}
+    whole = grams[0] + grams[1] + grams[2]
+    mine, fit = whole.solve(reg), fit_forecaster(encoded, SPEC, None, reg, COLUMNS, 12).readout
+    probe = encoded.withColumn("features", array_to_vector("h"))
+    a, b = (m.transform(probe).orderBy("target_ts", "series").select("y", "prediction").collect() for m in (mine, fit))
+    assert [r.prediction for r in a] == pytest.approx([r.prediction for r in b], rel=1e-6, abs=1e-7)
+    residuals = [(r.y - r.prediction) ** 2 for r in a]
+    assert whole.loss(mine) == pytest.approx(sum(residuals) / len(residuals), rel=1e-8)
+
+
 def test_a_save_that_breaks_off_is_never_loaded(spark, fitted, tmp_path):
     _, encoded, forecaster = fitted
     path = f"{tmp_path}/m"

@@ -14,9 +14,12 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import DenseVector
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,7 +45,7 @@ cloudpickle.register_pickle_by_value(recurrent)
 class Forecaster:
     """What is needed to predict; `scaler` is None when prices were not scaled."""
 
-    readout: LinearRegressionModel
+    readout: LinearRegressionModel | Readout
     spec: EncoderSpec
     scaler: DataFrame | None = None
     features: tuple[str, ...] = FEATURES
@@ -201,32 +204,114 @@ def sweep(
     """Compare encoder and penalty settings, fitted on train and scored on val in price units.
 
     `scaled` carries `split` and `seq_no`. A trial is fitted on growing shares of each
-    series' oldest train rows; the last fit is the one that is scored. Encoding, fits and
-    scoring are Spark jobs; the loop only submits them. Pass a stored table.
+    series' oldest train rows; the last fit is the one that is scored. Trials of one encoder
+    share its encodings and one aggregate of their products (`gram_sums`); from those sums
+    every share and penalty is a small solve, and its losses a small product. Pass a stored table.
     """
     boards, by_series, runs = [], [], []
     n_train = scaled.filter("split = 'train'").groupBy(*keys).agg(F.max("seq_no").alias("_last"))
     splits = attach(scaled.select(*keys, F.col("ts").alias("target_ts"), "split", "seq_no"), n_train, keys)
-    splits = splits.withColumn("_share", F.try_divide(F.col("seq_no"), F.col("_last"))).drop("_last", "seq_no")
-    for trial in trials:
-        encoded = encode_series(scaled, keys, "ts", trial.spec, features, "selling_price", length, blocks)
-        # The fits and all scorings read the encodings; encode once.
+    share = F.try_divide(F.col("seq_no"), F.col("_last"))
+    # The first share that holds a train row; validation rows are counted apart as 0.
+    part = F.when(F.col("split") == "val", 0)
+    for step, upto in enumerate(shares, 1):
+        part = part.when((F.col("split") == "train") & (share <= upto), step)
+    splits = splits.select(*keys, "target_ts", "split", part.alias("_part"))
+    for spec in dict.fromkeys(t.spec for t in trials):
+        encoded = encode_series(scaled, keys, "ts", spec, features, "selling_price", length, blocks)
         encoded = stored(key_join(encoded, splits, keys, exact=["target_ts"]), "encoded")
-        train = encoded.filter(F.col("split") == "train")
-        for step, share in enumerate(shares, 1):
-            fitted = fit_forecaster(train.filter(F.col("_share") <= share), trial.spec, scaler, trial.reg, features, length, trial.name)
-            residual = F.col("y") - F.col("prediction")
-            losses = fitted.readout.transform(encoded.withColumn("features", array_to_vector("h")))
-            runs.append(
-                losses.agg(
-                    F.avg(F.when((F.col("split") == "train") & (F.col("_share") <= share), residual * residual)).alias("train_loss"),
-                    F.avg(F.when(F.col("split") == "val", residual * residual)).alias("val_loss"),
-                ).select(F.lit(trial.name).alias("run_id"), F.lit(step).alias("step"), "train_loss", "val_loss", F.lit(0.0).alias("learning_rate"))
-            )
-        scored = stored(predict(encoded.filter(F.col("split") == "val"), fitted, keys), "scored")
-        boards.append(pooled_scores(scored))
-        by_series.append(regression_metrics(scored, ("model", *keys), "ts", blocks if keys else None))
-    return Sweep(*[reduce(DataFrame.unionByName, tables) for tables in (boards, by_series, runs)])
+        sums = gram_sums(encoded.filter(F.col("_part").isNotNull()), "_part")
+        grams = {r["_part"]: Gram.of(r["sums"]) for r in sums.collect()}
+        for trial in (t for t in trials if t.spec == spec):
+            train, readout = None, None
+            for step in range(1, len(shares) + 1):
+                own = grams.get(step)
+                train = own if train is None else train if own is None else train + own
+                readout = None if train is None else train.solve(trial.reg)
+                losses = [None if g is None or readout is None else g.loss(readout) for g in (train, grams.get(0))]
+                runs.append((trial.name, step, *losses, 0.0))
+            if readout is None:
+                raise ValueError("no train rows to fit on")
+            fitted = Forecaster(readout, spec, scaler, tuple(features), length, trial.name)
+            scored = stored(predict(encoded.filter(F.col("split") == "val"), fitted, keys), "scored")
+            boards.append(pooled_scores(scored))
+            by_series.append(regression_metrics(scored, ("model", *keys), "ts", blocks if keys else None))
+    history = scaled.sparkSession.createDataFrame(runs, "run_id string, step int, train_loss double, val_loss double, learning_rate double")
+    return Sweep(*[reduce(DataFrame.unionByName, tables) for tables in (boards, by_series)], history)
+
+
+def gram_sums(encoded: DataFrame, by: str) -> DataFrame:
+    """(by, sums): for each value of `by`, the products of (1, h, y) with themselves, summed over its rows, row by row.
+
+    A task sums its batches in NumPy and hands on one array per value of `by`, which is to
+    have few values; Spark adds these up.
+    """
+    schema = T.StructType([encoded.schema[by], T.StructField("sums", T.ArrayType(T.DoubleType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+        for batch in batches:
+            groups, y, h = batch.column(0).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False), batch.column(2)
+            x = h.flatten().to_numpy(zero_copy_only=False).reshape(len(y), -1)
+            z = np.column_stack([np.ones(len(y)), x, y])
+            for group in dict.fromkeys(groups):
+                own = z[[g == group for g in groups]]
+                held[group] = held.get(group, 0.0) + own.T @ own
+        if held:
+            sums = pa.array([m.ravel().tolist() for m in held.values()], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([pa.array(held.keys(), batch.schema.types[0]), sums], [by, "sums"])
+
+    partial = encoded.select(by, F.col("y").cast("double").alias("y"), "h").mapInArrow(run, schema)
+    total = Summarizer.sum(array_to_vector("sums"))
+    return partial.groupBy(by).agg(vector_to_array(total).alias("sums"))
+
+
+@dataclass(frozen=True)
+class Readout:
+    """y = intercept + coefficients . h"""
+
+    coefficients: DenseVector
+    intercept: float
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Add `prediction` for the vectors in `features`."""
+        weights = F.array(*[F.lit(float(c)) for c in self.coefficients])
+        products = F.zip_with(vector_to_array("features"), weights, lambda a, b: a * b)
+        return df.withColumn("prediction", F.lit(float(self.intercept)) + F.aggregate(products, F.lit(0.0), lambda a, b: a + b))
+
+
+@dataclass(frozen=True)
+class Gram:
+    """Products of (1, h, y) summed over rows; those of two sets of rows add up."""
+
+    products: np.ndarray
+
+    @classmethod
+    def of(cls, sums: Sequence[float]) -> Gram:
+        width = round(len(sums) ** 0.5)
+        return cls(np.array(sums).reshape(width, width))
+
+    def __add__(self, other: Gram) -> Gram:
+        return Gram(self.products + other.products)
+
+    def solve(self, reg: float) -> Readout:
+        """Least squares with a ridge penalty on standardised coefficients, as `fit_forecaster` has it."""
+        n, means = self.products[0, 0], self.products[0, 1:] / self.products[0, 0]
+        spread = self.products[1:, 1:] / n - np.outer(means, means)
+        scale = np.sqrt(np.maximum(np.diag(spread), 0.0))
+        known = np.flatnonzero(scale[:-1] > 1e-12)  # constant encodings tell nothing
+        weights = np.zeros(len(scale) - 1)
+        if len(known) and scale[-1] > 0:
+            of_x = spread[np.ix_(known, known)] / np.outer(scale[known], scale[known])
+            of_y = spread[known, -1] / (scale[known] * scale[-1])
+            penalty = reg / scale[-1] * np.eye(len(known))
+            weights[known] = np.linalg.lstsq(of_x + penalty, of_y, rcond=None)[0] * scale[-1] / scale[known]
+        return Readout(DenseVector(weights), float(means[-1] - means[:-1] @ weights))
+
+    def loss(self, readout: Readout) -> float:
+        """Mean squared residual of these rows."""
+        v = np.concatenate([[readout.intercept], readout.coefficients.toArray(), [-1.0]])
+        return max(0.0, float(v @ self.products @ v / self.products[0, 0]))
 
 
 def pooled_scores(predictions: DataFrame, group: Sequence[str] = ("model",)) -> DataFrame:

@@ -186,3 +186,93 @@ def _small_best(spark: SparkSession, folder: str) -> DataFrame:
 )
 def _small_runs(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(run_summary(_tried(spark, folder).history), _LOSSES)
+
+
+# Two layers of two units, and two ridge penalties that share their encodings.
+STACKED = EncoderSpec(2, 2, 7)
+PENALTIES = {"weak": 0.01, "strong": 0.5}
+
+
+def _let(name: str, value: str, body: str) -> str:
+    return f"list_transform([{value}], lambda {name}: {body})[1]"
+
+
+def _stacked_row(p: str, s: str, spec: EncoderSpec) -> str:
+    zeros = "".join(f", '{x}{layer}{u}': 0.0::DOUBLE" for layer in range(spec.layers) for u in range(spec.hidden) for x in "hc")
+    return f"{{'p': {p}, 's': {s}{zeros}}}"
+
+
+def _stacked_sql(window: str, spec: EncoderSpec) -> str:
+    """The last row's states after a list of rows, layer by layer and gate by gate."""
+    units, weights = range(spec.hidden), layer_weights(spec, len(TWO))
+    sigmoid = lambda z: f"(1 / (1 + exp(-({z}))))"
+
+    def layer(k: int, given: list[str]) -> str:
+        if k == spec.layers:
+            states = "".join(f", 'h{i}{u}': y{i}.h{u}, 'c{i}{u}': y{i}.c{u}" for i in range(spec.layers) for u in units)
+            return f"{{'p': b.p, 's': b.s{states}}}"
+        inputs, recurrent = weights[k]
+
+        def gate(g: int, u: int) -> str:
+            at = g * spec.hidden + u
+            return " + ".join([*[f"{float(inputs[i, at])!r} * {x}" for i, x in enumerate(given)], *[f"{float(recurrent[v, at])!r} * a.h{k}{v}" for v in units]])
+
+        cells = ", ".join(f"'c{u}': {sigmoid(gate(0, u))} * a.c{k}{u} + {sigmoid(gate(1, u))} * tanh({gate(2, u)}), 'o{u}': {sigmoid(gate(3, u))}" for u in units)
+        outs = ", ".join(f"'c{u}': x{k}.c{u}, 'h{u}': x{k}.o{u} * tanh(x{k}.c{u})" for u in units)
+        return _let(f"x{k}", f"{{{cells}}}", _let(f"y{k}", f"{{{outs}}}", layer(k + 1, [f"y{k}.h{u}" for u in units])))
+
+    start = _stacked_row("0.0::DOUBLE", "0.0::DOUBLE", spec)
+    return f"list_reduce(list_prepend({start}, {window}), lambda a, b: {layer(0, ['b.p', 'b.s'])})"
+
+
+_STACKED = f"""prices AS MATERIALIZED ({PRICES_LINEITEM}),
+ranges AS (SELECT series, min(selling_price) AS lo, max(selling_price) - min(selling_price) AS span, min(spread) AS s_lo, max(spread) - min(spread) AS s_span FROM prices GROUP BY series),
+scaled AS MATERIALIZED (SELECT series, ts, (selling_price - lo) / span AS p, (spread - s_lo) / s_span AS s,
+    row_number() OVER (PARTITION BY series ORDER BY ts) - 1 AS i, count(*) OVER (PARTITION BY series) AS n FROM prices JOIN ranges USING (series)),
+framed AS MATERIALIZED (SELECT * FROM (SELECT series, ts AS target_ts, i, n, p AS y, list({_stacked_row('p', 's', STACKED)}) OVER w AS x, count(*) OVER w AS k FROM scaled
+    WINDOW w AS (PARTITION BY series ORDER BY ts ROWS BETWEEN {LENGTH} PRECEDING AND 1 PRECEDING)) WHERE k = {LENGTH}),
+encoded AS MATERIALIZED (SELECT series, target_ts, i, n, y, e.h10 AS h0, e.h11 AS h1 FROM (SELECT *, {_stacked_sql('x', STACKED)} AS e FROM framed)),
+lasts AS (SELECT series, max(i) AS last FROM (SELECT series, i, {_split('n')} AS split FROM scaled) WHERE split = 'train' GROUP BY series),
+parted AS MATERIALIZED (SELECT *, {_split('n')} AS split, i / last AS share FROM encoded JOIN lasts USING (series)),
+moments AS ({" UNION ALL ".join(f"SELECT {k} AS step, CAST({s} AS DOUBLE) AS upto, avg(y) AS my, avg(h0) AS m0, avg(h1) AS m1, stddev_pop(y) AS sy, stddev_pop(h0) AS s0, stddev_pop(h1) AS s1, corr(h0, h1) AS r, corr(h0, y) AS r0, corr(h1, y) AS r1 FROM parted WHERE split = 'train' AND share <= CAST({s} AS DOUBLE)" for k, s in enumerate(SHARES, 1))}),
+solved AS (SELECT *, sy / s0 * ((1 + z) * r0 - r * r1) / ((1 + z) * (1 + z) - r * r) AS b0, sy / s1 * ((1 + z) * r1 - r * r0) / ((1 + z) * (1 + z) - r * r) AS b1
+    FROM (SELECT *, reg / sy AS z FROM moments, (VALUES {", ".join(f"('{n}', CAST({v} AS DOUBLE))" for n, v in PENALTIES.items())}) t(trial, reg))),
+lines AS MATERIALIZED (SELECT *, my - b0 * m0 - b1 * m1 AS level FROM solved),
+scored AS (SELECT trial AS model, y * span + lo AS y_true, (y - b0 * h0 - b1 * h1 - level) * span AS e
+    FROM parted, lines JOIN ranges USING (series) WHERE split = 'val' AND step = {len(SHARES)})""".replace("FROM parted, lines JOIN ranges USING (series)", "FROM parted JOIN ranges USING (series), lines")
+
+
+@query("stacked_encoding", f"WITH {_STACKED} SELECT series, target_ts, {sql_round('h0', 6, 'h0')}, {sql_round('h1', 6, 'h1')} FROM encoded")
+def _stacked_encoding(spark: SparkSession, folder: str) -> DataFrame:
+    """Two layers of two units, every value of every row."""
+    encoded = encode_series(_scaled(spark, folder)[0], KEY, "ts", STACKED, TWO, "selling_price", LENGTH, None)
+    return rounded(encoded.select("series", "target_ts", F.element_at("h", 1).alias("h0"), F.element_at("h", 2).alias("h1")), {6: ["h0", "h1"]})
+
+
+def _ridged(spark: SparkSession, folder: str) -> Sweep:
+    scaled, scaler = _scaled(spark, folder)
+    trials = [Trial(name, STACKED, reg) for name, reg in PENALTIES.items()]
+    return sweep(stored(chronological_split(scaled, KEY, "ts", blocks=None)), KEY, trials, scaler, TWO, LENGTH, None)
+
+
+@query(
+    "stacked_leaderboard",
+    f"""WITH {_STACKED} SELECT {rounding(_SCORES, ['model', 'n', 'mae', 'rmse', 'mape', 'r2'])} FROM (
+        SELECT model, count(*) AS n, avg(abs(e)) AS mae, sqrt(avg(e * e)) AS rmse, 100 * avg(abs(e / y_true)) AS mape, 1 - avg(e * e) / var_pop(y_true) AS r2 FROM scored GROUP BY model)""",
+)
+def _stacked_leaderboard(spark: SparkSession, folder: str) -> DataFrame:
+    """Two coefficients under two ridge penalties, solved from one set of sums."""
+    return rounded(_ridged(spark, folder).leaderboard, _SCORES)
+
+
+_SHARE_LOSSES = {8: ["train_loss", "val_loss"]}
+
+
+@query(
+    "stacked_history",
+    f"""WITH {_STACKED} SELECT run_id, step, {sql_round('train_loss', 8, 'train_loss')}, {sql_round('val_loss', 8, 'val_loss')} FROM (
+        SELECT trial AS run_id, step, avg((y - b0 * h0 - b1 * h1 - level) ** 2) FILTER (split = 'train' AND share <= upto) AS train_loss,
+               avg((y - b0 * h0 - b1 * h1 - level) ** 2) FILTER (split = 'val') AS val_loss FROM parted, lines GROUP BY trial, step)""",
+)
+def _stacked_history(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(_ridged(spark, folder).history.select("run_id", "step", "train_loss", "val_loss"), _SHARE_LOSSES)
