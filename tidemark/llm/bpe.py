@@ -21,12 +21,15 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-MAX_CACHED = 1_200_000
+# Parts kept in the younger half of the known ones; the older half has as many at most.
+MAX_CACHED = 650_000
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 # Texts handled at once, in characters.
 GROUP_CHARS = 1 << 20
 # After a letter these begin a part of their own, so a word's ids do not depend on them.
 MARKS = ".,;:!?*#$%&|<>)"
+MARK_SET = frozenset(MARKS)
+SPACE_SET = frozenset(chr(c) for c in range(0x3001) if re.fullmatch(f"[{SPACE}]", chr(c)))
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -54,49 +57,54 @@ class BpeEncoder:
             self.bytes_of[i] = len(token)
         self.special = [] if specials_as_text else [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.parts = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+").findall
-        self.starts_in_space = re.compile(f"[{SPACE}].*[^{SPACE}]", re.S).fullmatch
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: set[str]) -> None:
         """Add the ids of unseen parts, those of a word and of the marks after it apart."""
-        known, whole, split = self.known, set(), []
+        known, older = self.known, self.older
+        if older:  # still used parts move to the younger half
+            again = [part for part in new if part in older]
+            known.update(zip(again, map(older.__getitem__, again)))
+            new = new.difference(again)
+        whole, split, special = set(), [], self.special
         for part in new:
+            if part[-1] not in MARK_SET:
+                whole.add(part)
+                continue
             word = part.rstrip(MARKS)
-            if len(word) < len(part) and word[-1:].isalpha() and not any(x in part for x in self.special):
-                marks = part[len(word) :]
-                whole.update(x for x in (word, marks) if x not in known)
-                split.append((part, word, marks))
+            if word[-1:].isalpha() and not any(x in part for x in special):
+                split.append((part, word, part[len(word) :]))
             else:
                 whole.add(part)
-        self._encode_parts(sorted(whole))
+        whole.update(x for _, word, marks in split for x in (word, marks) if x not in known)
+        self._encode_parts(list(whole))
         for part, word, marks in split:
             known[part] = known[word] + known[marks]
 
     def _encode_parts(self, new: list[str]) -> None:
-        known, packed = self.known, []
-        for part in new:
-            # A text's first part and trailing white space would join their neighbours.
-            if self.starts_in_space(part):
-                packed.append(part)
-            else:
-                known[part] = self._ids(part).tobytes()
+        known = self.known
+        # A text's first part and trailing white space would join their neighbours.
+        packed = [p for p in new if p[0] in SPACE_SET and p[-1] not in SPACE_SET]
+        if len(packed) < len(new):
+            for part in new:
+                if part[0] not in SPACE_SET or part[-1] in SPACE_SET:
+                    known[part] = self._ids(part).tobytes()
         if not packed:
             return
         ids = self._ids("".join(packed))
         ends = np.cumsum(self.bytes_of[ids])
-        stops = np.cumsum([len(p.encode()) for p in packed])
+        stops = np.cumsum(np.fromiter(map(len, map(str.encode, packed)), np.int64, len(packed)))
         at = np.searchsorted(ends, stops)
         if at[-1] >= len(ends) or not np.array_equal(ends[at], stops):
             for part in packed:
                 known[part] = self._ids(part).tobytes()
             return
-        raw, first = ids.tobytes(), 0
-        for part, last in zip(packed, ((at + 1) * self.width).tolist()):
-            known[part] = raw[first:last]
-            first = last
+        raw, lasts = ids.tobytes(), ((at + 1) * self.width).tolist()
+        known.update(zip(packed, map(raw.__getitem__, map(slice, [0, *lasts[:-1]], lasts))))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """A null text has no ids."""
@@ -109,10 +117,11 @@ class BpeEncoder:
                 last += 1
             split = [self.parts(t) if t else [] for t in texts[first:last]]
             if len(self.known) > MAX_CACHED:
-                self.known.clear()
-            new = set(chain.from_iterable(split)) - self.known.keys()
+                self.known, self.older = {}, self.known
+            # Looked up one by one: an update in place would walk over all known parts.
+            new = set(chain.from_iterable(split)).difference(self.known)
             if new:
-                self._learn(list(new))
+                self._learn(new)
             ids_of = self.known.__getitem__
             out += [b"".join(map(ids_of, parts)) for parts in split]
             first = last
