@@ -225,6 +225,28 @@ def test_encoder_equals_the_library_on_any_text():
         assert got == [i[:-1] for i in encoded(made, 0, as_text)]
 
 
+def test_encoder_keeps_little_of_each_word():
+    import tracemalloc
+
+    e = bpe.BpeEncoder(bpe.tokenizer_path())
+    e.encode(["a"])  # makes the tables that do not grow
+    tracemalloc.start()
+    for i in range(0, 100_000, 10_000):
+        e.encode([" ".join(f"w{chr(97 + j % 26)}{chr(97 + j // 26 % 26)}{chr(97 + j // 676 % 26)}{chr(97 + j // 17576)}" for j in range(i, i + 10_000))])
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 64 * 100_000
+
+
+def test_encoder_begins_anew(monkeypatch):
+    monkeypatch.setattr(bpe, "MAX_PARTS", 5)
+    monkeypatch.setattr(bpe.text, "PIECE", 200)
+    made = [(None, t) for _, t in texts(awkward())] + [(None, " \u3000\nx"), (None, "it's  \n\n'so' \u00a0 5's")]
+    e = bpe.BpeEncoder(bpe.tokenizer_path())
+    for _ in range(2):
+        assert [np.frombuffer(b, e.dtype).tolist() for b in e.encode([t for _, t in made])] == [i[:-1] for i in encoded(made, 0)]
+
+
 @pytest.mark.parametrize("block", [7, 100, 1 << 20])
 def test_separator_scan(spark, block):
     files = write_token_files(frame(spark), ordered=block > 50)

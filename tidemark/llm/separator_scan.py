@@ -65,7 +65,7 @@ def write_token_files(
             if out is None:
                 encoder = worker_encoder(path, True)
                 out, end = files.open_output_stream(f"{root}/{file}"), np.array([separator], encoder.dtype).tobytes()
-            for ids in encoder.encode(batch.column("text").to_pylist()):
+            for ids in encoder.encode(batch.column("text")):
                 out.write(ids + end)
                 n += len(ids) // encoder.width + 1
         if out is not None:

@@ -104,7 +104,7 @@ def write_records(
                 end = np.array([end_id], encoder.dtype).tobytes()
                 out.write(MAGIC)
             sizes = []
-            for ids in encoder.encode(batch.column("text").to_pylist()):
+            for ids in encoder.encode(batch.column("text")):
                 record = frame(ids + end)
                 out.write(record)
                 sizes.append(len(record))
