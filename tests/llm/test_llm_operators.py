@@ -414,6 +414,21 @@ def test_licenses_at_any_offset(spark, at):
     assert [x.name for x in scan_licenses(df).first().licenses] == ["MIT"]
 
 
+def test_only_windows_near_a_wanted_pair_are_hashed(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from tidemark.llm.license_scan import _near_starts
+
+    r = random.Random(4)
+    rows = [([r.randrange(60) for _ in range(r.randrange(80))],) for _ in range(60)]
+    df = spark.createDataFrame(rows, "pairs array<long>")
+    got = df.select("pairs", _near_starts(F.col("pairs"), [3, 7], 9).alias("starts")).collect()
+    assert all(sorted(x.starts) == [i + 1 for i in range(0, len(x.pairs), 5) if {3, 7} & set(x.pairs[i : i + 9])] for x in got)
+    assert df.select(F.size(_near_starts(F.col("pairs"), [], 9)).alias("n")).distinct().first().n == 0
+
+
 def test_licenses_of_awkward_rows_and_nothing(docs, nothing):
     assert scan_licenses(docs).count() == len(awkward()) and scan_licenses(nothing).count() == 0
     assert scan_licenses(docs, {}).filter("size(licenses) > 0").count() == 0

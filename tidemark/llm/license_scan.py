@@ -4,7 +4,8 @@ Templates are cut into pieces of PIECE_WORDS words, and texts into windows of tw
 many words that overlap by half, so a piece that occurs lies inside a window whole. Both
 are sets of word pairs. Ten hash functions give ten minima and ten maxima, each a band of
 its own: a piece inside a window has similarity of at least 4/9 to it, and the chance that
-all 20 bands differ is below 1e-5. Templates found so are verified by exact containment of
+all 20 bands differ is below 1e-5. Only windows that hold a pair of some template are
+hashed: no other can share a band. Templates found so are verified by exact containment of
 their five-word shingles. A text is scanned within its row: nothing is shuffled.
 """
 
@@ -83,16 +84,34 @@ def _pairs(words: Column) -> Column:
 def _bands(pairs: Column, starts: Column, width: int) -> Column:
     """Band keys of the sets of `width` pairs from each start on, all in one array."""
 
-    def of(k: int) -> Column:
-        hashed = F.transform(pairs, lambda x: x.bitwiseXOR(F.lit(MASKS[k])))
-        ends = lambda window: F.array(F.array_min(window), F.array_max(window))
-        return let(hashed, lambda h: F.flatten(F.transform(starts, lambda i: let(F.slice(h, i, width), ends))))
+    def ends(window: Column, k: int) -> list[Column]:
+        hashed = lambda pick: pick(F.transform(window, lambda x: x.bitwiseXOR(F.lit(MASKS[k]))))
+        return [hashed(F.array_min), hashed(F.array_max)]
 
-    return F.concat(*[of(k) for k in range(HASHES)])
+    def of(window: Column) -> Column:
+        return F.array(*[key for k in range(HASHES) for key in ends(window, k)])
+
+    return F.flatten(F.transform(starts, lambda i: let(F.slice(pairs, i, width), of)))
+
+
+def _near_starts(pairs: Column, wanted: list[int], width: int) -> Column:
+    """Starts 1, 6, 11, ... of the windows of `width` pairs that hold a wanted one.
+
+    A band key is the hash of one of the set's own pairs, so no other window shares a band.
+    """
+    if not wanted:
+        return F.array().cast("array<int>")
+    held = F.transform(pairs, lambda x, i: F.when(x.isin(*wanted), i))
+    at = F.filter(held, lambda i: i.isNotNull())
+    # Place i, from 0 on, is in the windows that begin at the greatest multiple of the step up to it and, if near, at the one before.
+    first = lambda i: i - i % PIECE_WORDS
+    windows = [(lambda i, b=b: F.when((first(i) >= b) & (i < first(i) - b + width), first(i) - b + 1)) for b in range(0, width, PIECE_WORDS)]
+    starts = F.flatten(F.transform(at, lambda i: F.array(*[w(i) for w in windows])))
+    return F.array_distinct(F.filter(starts, lambda i: i.isNotNull()))
 
 
 def _templates(spark, templates: Mapping[str, str]) -> list:
-    """(name, shingles, keys) of each template with enough words for a shingle; driver-sized by contract."""
+    """(name, shingles, keys, pairs) of each template with enough words for a shingle; driver-sized by contract."""
     listed = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(t).alias("text")) for n, t in sorted(templates.items())])
     rows = spark.range(1).select(F.inline(listed)) if templates else spark.range(0).selectExpr("'' AS name", "'' AS text")
     words = license_words(F.col("text"))
@@ -104,6 +123,7 @@ def _templates(spark, templates: Mapping[str, str]) -> list:
     return named.select(
         "name", F.array_distinct(_runs(F.col("words"), SHINGLE)).alias("shingles"),
         F.array_distinct(_bands(_pairs(F.col("words")), pieces, PIECE_WORDS - 1)).alias("keys"),
+        F.array_distinct(_pairs(F.col("words"))).alias("pairs"),
     ).collect()
 
 
@@ -125,11 +145,13 @@ def scan_licenses(
             by_key.setdefault(key, []).append(i)
     words = license_words(F.coalesce("text", F.lit("")))
     rows = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), words.alias("words"))
-    starts = F.sequence(F.lit(1), F.greatest(F.size("pairs"), F.lit(1)), F.lit(PIECE_WORDS))
-    keys = F.when(F.size("pairs") > 0, _bands(F.col("pairs"), starts, 2 * PIECE_WORDS - 1))
     rows = rows.withColumn("pairs", _pairs(F.col("words")))
+    wanted = sorted({pair for t in found for pair in t["pairs"]})
+    width = 2 * PIECE_WORDS - 1
+    rows = rows.withColumn("starts", _near_starts(F.col("pairs"), wanted, width))
+    keys = F.when(F.size("starts") > 0, _bands(F.col("pairs"), F.col("starts"), width))
     hit = F.array_distinct(F.filter(keys, lambda k: k.isin(*by_key))) if by_key else F.array().cast("array<bigint>")
-    rows = rows.withColumn("hit", F.coalesce(hit, F.array().cast("array<bigint>"))).drop("pairs")
+    rows = rows.withColumn("hit", F.coalesce(hit, F.array().cast("array<bigint>"))).drop("pairs", "starts")
     # Only templates that share a band are verified, and only in texts that have one.
     shingles = F.when(F.size("hit") > 0, F.array_distinct(_runs(F.col("words"), SHINGLE)))
     rows = rows.withColumn("shingles", shingles)
