@@ -369,6 +369,39 @@ def test_a_passage_goes_on_beyond_one_edit(edit):
     assert passages(shingles(a), shingles([f"c{i}" for i in range(20)] + other), [(70, 60 + len(other) - 52)]) == []
 
 
+def test_a_run_of_one_word_has_two_windows_a_function(spark):
+    from tidemark.llm.compact_windows import HASHES, windows
+
+    alone = spark.createDataFrame([(1, "the " * 3000)], "doc_id long, text string")
+    got = windows(alone).collect()
+    assert sorted({(r.c, r.run) for r in got}) == [(0, 2995), (2995, -2995)] and len(got) == 2 * HASHES
+
+
+def test_runs_of_one_word(spark):
+    def run(i, word, n):
+        return f"{prose(910 + 2 * i, 60)} {' '.join([word] * n)} {prose(911 + 2 * i, 60)}"
+
+    rows = [(1, run(1, "the", 500)), (2, run(2, "the", 70)), (3, run(3, "of", 300)), (4, run(4, "the", 40)), (5, run(5, "the", 30))]
+    got = {r.doc_id: (r.n_passages, r.n_repeated_words, r.component_id) for r in repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (1, 500, 1), 2: (1, 70, 1), 3: (0, 0, 3), 4: (0, 0, 4), 5: (0, 0, 5)}
+
+
+def test_runs_of_many_lengths_are_told_apart_at_once(spark):
+    from tidemark.llm.compact_windows import first_windows
+
+    rows = [(7, i, 10, 5, i, i) for i in range(20, 45)]
+    first = first_windows(spark.createDataFrame(rows, "key long, text_key long, c int, left int, right int, run int")).collect()
+    assert [(r.key, r.w.text_key, r.n) for r in first] == [(7, 44, 25)]
+
+
+def test_a_place_keeps_its_farthest_reach(spark):
+    from tidemark.llm.compact_windows import with_widest_reach
+
+    rows = [(k, 1, 5, 0, 0, t, 5, reach, reach, 0) for k, reach in ((1, 10), (2, 40)) for t in (2, 3)]
+    apart = spark.createDataFrame(rows, "key long, a long, ca int, la int, ra int, b long, c int, left int, right int, run int")
+    assert {(r.key, r.b, r.left, r.right) for r in with_widest_reach(apart).collect()} == {(k, t, 40, 40) for k in (1, 2) for t in (2, 3)}
+
+
 def test_repeated_passages_of_nothing(nothing):
     assert repeated_passages(nothing).count() == 0
 

@@ -5,13 +5,13 @@ the least of every subsequence between its neighbours in the Cartesian tree of t
 one compact window (l, c, r) stands for all subsequences [i, j] with l <= i <= c <= j <= r,
 which share its hash as signature. Only windows that hold a passage of WIDTH shingles are
 kept, about 2n/WIDTH per function: they are those whose shingle is the least of some
-WIDTH shingles in a row.
+WIDTH shingles in a row. Of a run of equal shingles the first and the last one are kept.
 
 Two texts with windows of one signature, from any of HASHES functions, may hold a common
 passage; at similarity 0.8 no function agrees with probability 0.2**4. Windows must also
 agree in the words just before or just after c, since a passage reaches far enough to one
 side of c, and their intervals, laid upon each other at c, must leave room for a passage.
-The texts of one signature are compared with the least of them first; those that are not
+The texts of one signature are compared with one of them first; those that are not
 verified with it are compared again among themselves. Each such pair of texts is verified
 on its full shingles.
 """
@@ -45,6 +45,9 @@ PERCENT = 80
 CONTEXT = 16
 # Aligned pieces of one passage may be this many shingles apart.
 GAP = 2 * SHINGLE
+# Pairs of steps up to GAP, numbered row by row: the least shift first, then the nearest.
+_steps = np.indices((GAP + 1, GAP + 1)).reshape(2, -1)
+NEAREST = np.lexsort((abs(_steps[0] - _steps[1]), _steps.max(axis=0)))
 # So many windows of a key that are left after a round are compared each with each.
 FEW = 64
 
@@ -101,12 +104,16 @@ def window_keys(shingles: np.ndarray, seed: int) -> np.ndarray:
 
 
 def compact_windows(shingles: np.ndarray, bounds: np.ndarray, seed: int, width: int = WIDTH, reaches: bool = True):
-    """(c, left, right) of the windows of one hash function over rows laid in a line.
+    """(c, left, right, run) of the windows of one hash function over rows laid in a line.
 
-    `bounds` are the rows' first shingles; without `reaches` only c has a meaning.
+    `bounds` are the rows' first shingles. Of a run of equal shingles, as a word said over and
+    over makes, only the first and the last stand for windows: a passage that meets the run
+    holds one of them, or lies inside it. `run` tells at the first how many follow, at the last
+    how many go before, as a negative number. Without `reaches` there are only first ones, and
+    only c has a meaning.
     """
     if len(shingles) < width:
-        return (np.zeros(0, np.int64),) * 3
+        return (np.zeros(0, np.int64),) * 4
     keys = window_keys(shingles, seed)
     least = least_of_runs(keys, width)
     sizes = np.diff(bounds)
@@ -116,10 +123,20 @@ def compact_windows(shingles: np.ndarray, bounds: np.ndarray, seed: int, width:
     np.add.at(change, bounds[1:][long] - width + 1, -1)
     whole = np.cumsum(change[: len(least)]) > 0
     c = np.unique((least[whole] & PLACE).astype(np.int64))
+    # Equal shingles count from left to right, so a run's first one is a window where any is.
+    begins = np.ones(len(shingles) + 1, bool)
+    begins[1:-1] = shingles[1:] != shingles[:-1]
+    begins[bounds] = True
+    c = c[begins[c]]
     if not reaches:
-        return c, c, c
+        return c, c, c, c
     row = np.searchsorted(bounds, c, "right") - 1
-    return c, np.minimum(reach(keys, c, -1), c - bounds[row]), np.minimum(reach(keys, c, 1), bounds[row + 1] - 1 - c)
+    left, right = np.minimum(reach(keys, c, -1), c - bounds[row]), np.minimum(reach(keys, c, 1), bounds[row + 1] - 1 - c)
+    starts = np.flatnonzero(begins)
+    run = starts[np.searchsorted(starts, c, "right")] - 1 - c
+    more = run > 0
+    last = (c + run)[more], (left + run)[more], (right - run)[more], -run[more]
+    return tuple(np.concatenate(x) for x in zip((c, left, right, run), last))
 
 
 def text_shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -134,18 +151,21 @@ def text_shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
 
 
 def signatures(docs: DataFrame, hashes: int = HASHES) -> DataFrame:
-    """(signature) of every window of all rows; one pass, no shuffle."""
+    """(signature, text_key) of the windows of all rows, each run of equal shingles once; one pass, no shuffle."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text.text_bytes(batch.column("text"))
+            keys = batch.column("text_key").to_numpy()
             for a, b in text.pieces(offsets):
                 _, _, values, bounds = text_shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 for f in range(hashes):
                     c = compact_windows(values, bounds, f, reaches=False)[0]
-                    yield pa.RecordBatch.from_arrays([pa.array(signature(values[c], f).view(np.int64))], names=["signature"])
+                    row = np.searchsorted(bounds, c, "right") - 1
+                    yield pa.RecordBatch.from_arrays([pa.array(signature(values[c], f).view(np.int64)), pa.array(keys[a + row])], names=["signature", "text_key"])
 
-    return docs.select("text").filter("text IS NOT NULL").mapInArrow(run, "signature long")
+    keyed = docs.select(text_key(F.col("text")).alias("text_key"), "text").filter("text IS NOT NULL")
+    return keyed.mapInArrow(rows, "signature long, text_key long")
 
 
 def signature(shingles: np.ndarray, f: int) -> np.ndarray:
@@ -153,13 +173,13 @@ def signature(shingles: np.ndarray, f: int) -> np.ndarray:
 
 
 def windows(docs: DataFrame, hashes: int = HASHES) -> DataFrame:
-    """(signature, text_key, c, left, right, before, after) of all rows; one pass, no shuffle.
+    """(signature, text_key, c, left, right, run, before, after) of all rows; one pass, no shuffle.
 
     `before` and `after` name the CONTEXT words up to c's shingle and from it on; 0 where
     the text has fewer.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text.text_bytes(batch.column("text"))
             keys = batch.column("text_key").to_numpy()
@@ -167,7 +187,7 @@ def windows(docs: DataFrame, hashes: int = HASHES) -> DataFrame:
                 words, first, values, bounds = text_shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 context = text.shingle_hashes(words, CONTEXT)
                 for f in range(hashes):
-                    c, left, right = compact_windows(values, bounds, f)
+                    c, left, right, run = compact_windows(values, bounds, f)
                     row = np.searchsorted(bounds, c, "right") - 1
                     at = c - bounds[row]
                     word, n = first[row] + at, (first[row + 1] - first[row])
@@ -177,42 +197,47 @@ def windows(docs: DataFrame, hashes: int = HASHES) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(signature(values[c], f).view(np.int64)), pa.array(keys[a + row]),
-                            *(pa.array(x.astype(np.int32)) for x in (at, left, right, before, after)),
+                            *(pa.array(x.astype(np.int32)) for x in (at, left, right, run, before, after)),
                         ],
-                        names=["signature", "text_key", "c", "left", "right", "before", "after"],
+                        names=["signature", "text_key", "c", "left", "right", "run", "before", "after"],
                     )
 
-    rows = docs.select(text_key(F.col("text")).alias("text_key"), "text").filter("text IS NOT NULL")
-    return rows.mapInArrow(run, "signature long, text_key long, c int, left int, right int, before int, after int")
+    keyed = docs.select(text_key(F.col("text")).alias("text_key"), "text").filter("text IS NOT NULL")
+    return keyed.mapInArrow(rows, "signature long, text_key long, c int, left int, right int, run int, before int, after int")
 
 
 def placed_windows(docs: DataFrame, hashes: int = HASHES) -> DataFrame:
-    """(key, text_key, c, left, right) of windows whose signature recurs; key names it, one side of c and the words there."""
-    shared = signatures(docs, hashes).groupBy("signature").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("signature")
-    met = stored(windows(docs, hashes).join(stored(shared, "signatures"), "signature"), "compact-windows")
+    """(key, text_key, c, left, right, run) of windows whose signature several texts have; key names it, one side of c and the words there."""
+    shared = signatures(docs, hashes).groupBy("signature").agg(F.min("text_key").alias("_a"), F.max("text_key").alias("_z"))
+    shared = shared.filter("_a < _z").select("signature")
+    met = stored(windows(docs, hashes).join(stored(shared, "signatures"), "signature").distinct(), "compact-windows")
     sides = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("before").alias("near")), F.struct(F.lit(1).alias("side"), F.col("after").alias("near"))))
-    placed = met.select("signature", "text_key", "c", "left", "right", sides.alias("s")).filter("s.near <> 0")
-    return placed.select(F.xxhash64("signature", "s.side", "s.near").alias("key"), "text_key", "c", "left", "right")
+    placed = met.select("signature", "text_key", "c", "left", "right", "run", sides.alias("s")).filter("s.near <> 0")
+    return placed.select(F.xxhash64("signature", "s.side", "s.near").alias("key"), "text_key", "c", "left", "right", "run")
 
 
 def first_windows(members: DataFrame) -> DataFrame:
-    """(key, w, n): the first window of the least text of each key that several texts have."""
-    first = F.min(F.struct("text_key", "c", "left", "right")).alias("w")
-    return members.groupBy("key").agg(first, F.max("text_key").alias("_z"), F.count(F.lit(1)).alias("n")).filter("w.text_key < _z").drop("_z")
+    """(key, w, n): of each key that several texts have, the window of the longest run, of equals that of the least text.
+
+    Shorter runs then differ from it where they end, and what follows tells them apart at once.
+    """
+    first = F.min(F.struct((-F.abs("run")).alias("shorter"), "text_key", "c", "left", "right")).alias("w")
+    several = members.groupBy("key").agg(first, F.min("text_key").alias("_a"), F.max("text_key").alias("_z"), F.count(F.lit(1)).alias("n"))
+    return several.filter("_a < _z").drop("_a", "_z")
 
 
 def beside_first(members: DataFrame, firsts: DataFrame) -> DataFrame:
-    """(key, a, ca, la, ra, b, c, left, right): the windows of a key beside its first one."""
+    """(key, a, ca, la, ra, b, c, left, right, run): the windows of a key beside its first one."""
     return members.join(firsts, "key").filter("text_key <> w.text_key OR c <> w.c").select(
         "key", F.col("w.text_key").alias("a"), F.col("w.c").alias("ca"), F.col("w.left").alias("la"), F.col("w.right").alias("ra"),
-        F.col("text_key").alias("b"), "c", "left", "right",
+        F.col("text_key").alias("b"), "c", "left", "right", "run",
     )
 
 
 def beside_each(windows: DataFrame) -> DataFrame:
     """The same columns for every two windows of a key."""
     one = windows.select("key", F.col("b").alias("a"), F.col("c").alias("ca"), F.col("left").alias("la"), F.col("right").alias("ra"))
-    return one.join(windows.select("key", "b", "c", "left", "right"), "key").filter("a < b OR (a = b AND ca < c)")
+    return one.join(windows.select("key", "b", "c", "left", "right", "run"), "key").filter("a < b OR (a = b AND ca < c)")
 
 
 def candidate_pairs(beside: DataFrame) -> DataFrame:
@@ -225,6 +250,24 @@ def candidate_pairs(beside: DataFrame) -> DataFrame:
     )
 
 
+def with_widest_reach(apart: DataFrame) -> DataFrame:
+    """The same windows, with the farthest reaches that any key has for a place.
+
+    Keys with the same windows are then alike, and one may stand for them all.
+    """
+    widest = apart.groupBy("b", "c").agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    return apart.drop("left", "right").join(widest, ["b", "c"])
+
+
+def own_runs(members: DataFrame) -> DataFrame:
+    """Runs of equal shingles as passages that their texts repeat one word on."""
+    start, end = F.col("c").cast("long"), (F.col("c") + F.col("run") + SHINGLE).cast("long")
+    return members.filter(F.col("run") >= WIDTH).select(
+        F.col("text_key").alias("a"), F.col("text_key").alias("b"),
+        start.alias("a_start"), (end - 1).alias("a_end"), (start + 1).alias("b_start"), end.alias("b_end"),
+    ).distinct()
+
+
 def different_keys(windows: DataFrame) -> DataFrame:
     """(key, n) of the keys that several texts have; of keys with the same windows the least one."""
     sets = windows.groupBy("key").agg(
@@ -243,25 +286,29 @@ def linked_passages(docs: DataFrame, hashes: int = HASHES) -> DataFrame:
     there. Their keys become longer in every round, and the first window leaves, until no
     key has two texts left.
     """
-    members, few, found = placed_windows(docs, hashes), None, []
+    members, few, texts = placed_windows(docs, hashes), None, None
+    found = [own_runs(members)]
     while members is not None or few is not None:
         beside = few
         if members is not None:
             firsts = stored(first_windows(members), "first-windows")
             beside = beside_first(members, firsts) if few is None else few.unionByName(beside_first(members, firsts))
-        verified = stored(verified_passages(stored(candidate_pairs(beside), "passage-pairs"), docs), "passages")
+        pairs = stored(candidate_pairs(beside), "passage-pairs")
+        verified = stored(verified_passages(pairs, texts or texts_of(pairs, docs)), "passages")
         found.append(verified.filter("NOT place").drop("place"))
         if members is None:
             break
         met = verified.filter("place").select("a", F.col("a_start").cast("int").alias("ca"), "b", F.col("b_start").cast("int").alias("c"))
         apart = beside_first(members, firsts.filter("n > 2")).join(met, ["a", "ca", "b", "c"], "left_anti").distinct()
-        apart = stored(apart, "windows-apart")
+        apart = stored(with_widest_reach(stored(apart, "windows-apart")), "windows-apart")
+        # Later rounds are about texts of this one.
+        texts = texts or texts_of(apart, docs)
         left = stored(different_keys(apart.select("key", F.col("b").alias("text_key"), "c")), "keys-apart")
         small, many = left.filter(F.col("n") <= FEW), left.filter(F.col("n") > FEW)
         few = None if small.isEmpty() else beside_each(apart.join(small.select("key"), "key"))
         members = None
         if not many.isEmpty():
-            told = stored(told_apart(apart.join(many.select("key"), "key"), docs).distinct(), "windows-told-apart")
+            told = stored(told_apart(apart.join(many.select("key"), "key"), texts).distinct(), "windows-told-apart")
             members = told.join(stored(different_keys(told), "keys-told-apart").select("key"), "key")
     return reduce(DataFrame.union, found)
 
@@ -299,11 +346,12 @@ def bridged(x: np.ndarray, y: np.ndarray, a: int, b: int) -> list[tuple[int, int
         """(start in u, start in v, length) of what follows u[p] and v[q]."""
         out = []
         while True:
-            # The least shift first, then the nearest.
-            near = np.argwhere(u[p : p + GAP + 1, None] == v[None, q : q + GAP + 1])
-            if not len(near):
+            same = u[p : p + GAP + 1, None] == v[None, q : q + GAP + 1]
+            if not same.any():
                 return out
-            d, e = min(near.tolist(), key=lambda z: (max(z), abs(z[0] - z[1])))
+            near = np.zeros((GAP + 1, GAP + 1), bool)
+            near[: same.shape[0], : same.shape[1]] = same
+            d, e = divmod(int(NEAREST[near.ravel()[NEAREST].argmax()]), GAP + 1)
             p, q = p + d, q + e
             n = min(len(u) - p, len(v) - q)
             # Runs are short as a rule; the look ahead grows with them.
@@ -331,10 +379,15 @@ def agreement(x: np.ndarray, y: np.ndarray, a: int, b: int) -> tuple[int, int]:
 def passages(x: np.ndarray, y: np.ndarray, places: list[tuple[int, int]], percent: int = PERCENT) -> list[tuple[int, int, int, int]]:
     """Verified passages (start in x, end, start in y, end), in shingles."""
     pieces: set[tuple[int, int, int, int]] = set()
+    lines: dict[int, list[tuple[int, int]]] = {}
     for a, b in sorted(places):
-        if any(p[0] <= a < p[1] and p[2] <= b < p[3] and a - p[0] == b - p[2] for p in pieces):
+        # Both ends of a piece lie on its line, and so does a place in it.
+        if any(i <= a < j for i, j in lines.get(a - b, ())):
             continue
-        pieces.update(bridged(x, y, a, b))
+        for p in bridged(x, y, a, b):
+            if p not in pieces:
+                pieces.add(p)
+                lines.setdefault(p[0] - p[2], []).append((p[0], p[1]))
     chains: list[list[tuple[int, int, int, int]]] = []
     for p in sorted(pieces):
         last = chains[-1][-1] if chains else None
@@ -379,7 +432,7 @@ def _longest(x: np.ndarray, y: np.ndarray, chain: list[tuple[int, int, int, int]
     # Stretch [f, t) has sums[t] - starts[f]; only starts less than all before can begin the longest.
     starts = np.cumsum(np.add([0, *gains[:-1]], steps))
     sums = np.cumsum(np.add(gains, steps))
-    least = [f for f in range(len(chain)) if not f or starts[f] < starts[:f].min()]
+    least = np.flatnonzero(np.append(True, starts[1:] < np.minimum.accumulate(starts)[:-1])).tolist()
     best, length = (0, 0), 0
     for t in range(len(chain) - 1, -1, -1):
         while least and (least[-1] > t or sums[t] >= starts[least[-1]]):
@@ -409,13 +462,17 @@ def _shingled(column: pa.Array) -> list[np.ndarray]:
     return out
 
 
-def _over_pairs(pairs: DataFrame, docs: DataFrame, rows: Callable[..., list[tuple]], schema: str) -> DataFrame:
-    """`rows`(a, b, shingles of a, shingles of b, places) of all pairs (a, b, places); longs and truth values."""
+def texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """(text_key, text), once each, of the texts a and b."""
     keys = pairs.select(F.col("a").alias("_key")).union(pairs.select(F.col("b").alias("_key"))).distinct()
     keyed = docs.select(text_key(F.col("text")).alias("text_key"), "text").filter("text IS NOT NULL")
     kept = keyed.join(keys, F.col("text_key") == F.col("_key"), "left_semi")
     one = F.row_number().over(Window.partitionBy("text_key").orderBy(F.lit(0)))
-    texts = stored(kept.withColumn("_n", one).filter("_n = 1").select("text_key", "text"), "passage-texts")
+    return stored(kept.withColumn("_n", one).filter("_n = 1").select("text_key", "text"), "passage-texts")
+
+
+def _over_pairs(pairs: DataFrame, texts: DataFrame, rows: Callable[..., list[tuple]], schema: str) -> DataFrame:
+    """`rows`(a, b, shingles of a, shingles of b, places) of all pairs (a, b, places); longs and truth values."""
     # The last join gathers the pairs of one least text, whose shingles are then made once.
     both = pairs.join(texts.select(F.col("text_key").alias("b"), F.col("text").alias("text_b")), "b").join(
         texts.select(F.col("text_key").alias("a"), F.col("text").alias("text_a")), "a"
@@ -426,19 +483,22 @@ def _over_pairs(pairs: DataFrame, docs: DataFrame, rows: Callable[..., list[tupl
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            a_keys, least = batch.column("a").to_pylist(), {}
-            for i, a in enumerate(a_keys):
-                least.setdefault(a, i)
-            own = dict(zip(least, _shingled(batch.column("text_a").take(pa.array(list(least.values()), pa.int64())))))
-            for a, b, y, places in zip(a_keys, batch.column("b").to_pylist(), _shingled(batch.column("text_b")), batch.column("places").to_pylist()):
-                out += rows(a, b, own[a], y, places)
+            a_keys, b_keys, own = batch.column("a").to_pylist(), batch.column("b").to_pylist(), {}
+            for keys, texts in ((a_keys, "text_a"), (b_keys, "text_b")):
+                first = {}
+                for i, k in enumerate(keys):
+                    if k not in own:
+                        first.setdefault(k, i)
+                own.update(zip(first, _shingled(batch.column(texts).take(pa.array(list(first.values()), pa.int64())))))
+            for a, b, places in zip(a_keys, b_keys, batch.column("places").to_pylist()):
+                out += rows(a, b, own[a], own[b], places)
             columns = zip(*out) if out else [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=list(names))
 
     return both.select("a", "b", "text_a", "text_b", "places").mapInArrow(run, schema)
 
 
-def verified_passages(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def verified_passages(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b, a_start, a_end, b_start, b_end, place) in words, for every passage of a candidate pair.
 
     A row with `place` true tells in a_start and b_start a place that lies in a passage.
@@ -451,15 +511,15 @@ def verified_passages(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         out = [(a, b, i, j + SHINGLE - 1, k, m + SHINGLE - 1, False) for i, j, k, m in found]
         return out + [(a, b, p, p, q, q, True) for p, q in met if any(i <= p < j and k <= q < m for i, j, k, m in found)]
 
-    return _over_pairs(pairs, docs, rows, "a long, b long, a_start long, a_end long, b_start long, b_end long, place boolean")
+    return _over_pairs(pairs, texts, rows, "a long, b long, a_start long, a_end long, b_start long, b_end long, place boolean")
 
 
-def told_apart(apart: DataFrame, docs: DataFrame) -> DataFrame:
-    """(key, text_key, c, left, right): windows under keys of what follows their agreement with the first window.
+def told_apart(apart: DataFrame, texts: DataFrame) -> DataFrame:
+    """(key, text_key, c, left, right, run): windows under keys of what follows their agreement with the first window.
 
     Each gets a key for every shingle up to GAP beyond either end, where a passage may go on.
     """
-    place = F.struct("key", F.col("ca").alias("a"), F.col("c").alias("b"), "left", "right")
+    place = F.struct("key", F.col("ca").alias("a"), F.col("c").alias("b"), "left", "right", "run")
     pairs = stored(apart.groupBy("a", "b").agg(F.collect_set(place).alias("places")), "pairs-apart")
 
     def rows(a: int, b: int, x: np.ndarray, y: np.ndarray, places: list[dict]) -> list[tuple]:
@@ -468,10 +528,10 @@ def told_apart(apart: DataFrame, docs: DataFrame) -> DataFrame:
             start, end = agreement(x, y, p["a"], p["b"])
             for side, next_ in enumerate((y[max(start - GAP - 1, 0) : start], y[end : end + GAP + 1])):
                 key = np.uint64(p["key"] & (1 << 64) - 1) + np.uint64(side + 1)
-                out.update((k, b, p["b"], p["left"], p["right"]) for k in text.mix(next_ ^ text.mix(np.full(1, key))).view(np.int64).tolist())
+                out.update((k, b, p["b"], p["left"], p["right"], p["run"]) for k in text.mix(next_ ^ text.mix(np.full(1, key))).view(np.int64).tolist())
         return list(out)
 
-    return _over_pairs(pairs, docs, rows, "key long, text_key long, c int, left int, right int")
+    return _over_pairs(pairs, texts, rows, "key long, text_key long, c int, left int, right int, run int")
 
 
 def carried(spans: list[tuple[int, int]], own: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
@@ -489,6 +549,11 @@ def carried(spans: list[tuple[int, int]], own: list[tuple[int, int, int, int]])
             for p, q in merged[max(bisect_right(starts, i) - 1, 0) : bisect_left(starts, j)]:
                 # The part that recurs elsewhere, laid upon the repeat.
                 u, v = max(p, i) - i + k, min(q, j) - i + k
+                if i < k < j and v - u >= max(PASSAGE_WORDS, k - i):
+                    # A repeat that overlaps itself carries a span step by step over all of it.
+                    if not (p <= i and m <= q):
+                        more.append((i, m))
+                    continue
                 u, v = (k if p <= i else u), (m if q >= j else min(v, m))
                 at = bisect_right(starts, u) - 1
                 if v - u >= PASSAGE_WORDS and not (at >= 0 and merged[at][1] >= v):
